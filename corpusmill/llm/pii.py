@@ -56,7 +56,7 @@ def _spans(kind: str) -> str:
       else cast(array() as array<struct<m: string, a: int>>) end"""
 
 
-LUHN = """(aggregate(sequence(1, length({d})), 0, (s, i) -> s + case when (length({d}) - i) % 2 = 0 then int(substring({d}, i, 1))
+LUHN = """(aggregate(sequence(1, length({d})), 0, (q, i) -> q + case when (length({d}) - i) % 2 = 0 then int(substring({d}, i, 1))
   else int(substring({d}, i, 1)) * 2 - if(int(substring({d}, i, 1)) > 4, 9, 0) end) % 10 = 0)"""
 DIGITS = "regexp_replace(s.m, '[^0-9]', '')"
 IBAN = "regexp_replace(s.m, ' ', '')"
@@ -97,7 +97,8 @@ def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame
 
 def joined(pii: Column, kinds: tuple[str, ...]) -> Column:
     """kind:start:end of all spans by kind as listed, then start."""
-    each = [F.transform(pii[k], lambda s, k=k: F.concat_ws(":", F.lit(k), s["a"], s["a"] + F.length(s["m"]))) for k in kinds]
+    named = lambda k: lambda s: F.concat_ws(":", F.lit(k), s["a"], s["a"] + F.length(s["m"]))
+    each = [F.transform(pii[k], named(k)) for k in kinds]
     return F.array_join(F.concat(*each), ",")
 
 
@@ -105,7 +106,8 @@ def redacted(text: Column, pii: Column) -> Column:
     """The text with each found value replaced by its kind in angle brackets, base kinds in order."""
     done = text
     for k in (*ADDED, *BASE):
-        done = F.aggregate(pii[k], done, lambda t, s, k=k: F.replace(t, s["m"], F.lit(f"<{k}>")))
+        mark = F.lit(f"<{k}>")
+        done = F.aggregate(pii[k], done, lambda t, s: F.replace(t, s["m"], mark))  # noqa: B023
     return done
 
 
