@@ -26,6 +26,8 @@ def workers_can_import(spark: SparkSession) -> None:
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *[p for p in paths if p]])
+    # what workers free goes back to the system
+    env |= {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 
 
 def shared_dir(spark: SparkSession) -> str:
