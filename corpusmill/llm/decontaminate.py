@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import cut, drop, slices, table, workers_can_import
 
 WINDOW = 8
-SEGMENT_BYTES = 16 << 20  # text bytes of a segment
+SEGMENT_BYTES = 4 << 20  # text bytes of a segment
 BLOCK_BYTES = 16 << 20  # text bytes of a benchmark block: the bound of what is sent to every task
 INDEX = "segment long, n_docs long, content binary"
 
