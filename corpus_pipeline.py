@@ -1,7 +1,7 @@
 """A corpus run in five stages over ``documents``; each stage's outcome is written and read again by the next.
 
 Language ID drops texts without a language or with an uncertain one, near-dedup keeps one document of each group,
-decontamination drops documents that hold two or more benchmark items, mixing takes each source to its weight
+decontamination drops documents with a benchmark passage (a window of any item), mixing takes each source to its weight
 (documents may repeat), and the last stage writes the token shards and reads their digest back.
 """
 
@@ -31,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), least_items=1)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
