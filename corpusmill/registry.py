@@ -1,6 +1,500 @@
-"""Queries over the standard tables and their DuckDB SQL."""
+"""Queries over the standard tables and their DuckDB SQL. Every query reads its whole tables."""
 
 from __future__ import annotations
 
+from collections import Counter
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .functions import lexicon as lx
+from .functions import matching as mt
+from .operators import decisions as dc
+from .operators import metrics as mx
+from .operators import quality_features as qf
+from .operators import spam_features as sf
+from .operators import splits as sp
+
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality(spark, sf_dir: str, names: list[str], table: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
+    docs = read(spark, sf_dir, table).select(key, text)
+    return qf.quality_features(docs, names, text).select(key, "quality.*")
+
+
+# --- text quality -----------------------------------------------------------------------------------------------
+_N = lambda pattern, t="text": f"len(regexp_extract_all({t}, '{pattern}'))"
+_WORDS = "list_filter(regexp_split_to_array(text, '[ \\t\\n\\r]+'), lambda w: w <> '')"
+
+
+@query(f"""SELECT doc_id, CAST(length(text) AS INT) AS length, {_N(r"\s")} / length(text) AS white_space_ratio, {_N(r"[^\p{L}\p{N}]")} / length(text) AS non_alpha_digit_ratio,
+  {_N(r"\p{Nd}")} / length(text) AS digit_ratio, {_N(r"\p{Lu}")} / length(text) AS uppercase_ratio, {_N(r"\.\.\.|…")} / length(text) AS elipsis_ratio,
+  {_N(r"[.,;:!?()\[\]\x22\x27]")} / length(text) AS punctuation_ratio FROM documents""")
+def q_base_stats(spark, sf_dir):
+    return quality(spark, sf_dir, qf.BASE)
+
+
+_LITERALS = {"comma_ratio": ",", "period_ratio": ".", "question_mark_ratio": "?", "exclamation_ratio": "!", "colon_ratio": ":", "semicolon_ratio": ";"}
+_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in lx.STOPWORDS) + "]"
+
+
+@query(f"""WITH d AS (SELECT doc_id, text, CAST(length(text) AS DOUBLE) AS n, {_WORDS} AS ws, greatest(1, {_N("[.?!]")}) AS sc FROM documents)
+SELECT doc_id, CAST(len(ws) AS INT) AS word_count, CAST(sc AS INT) AS sentence_count, CAST(len(list_distinct(list_transform(ws, lambda w: lower(w)))) AS INT) AS vocabulary_size,
+  {_N(r"\p{Ll}")} / n AS lowercase_ratio, {_N("[aeiouàèéìòù]", "lower(text)")} / n AS vowel_ratio,
+  len(list_filter(regexp_extract_all(lower(text), '\\p{{L}}'), lambda c: NOT contains('aeiouàèéìòù', c))) / n AS consonant_ratio,
+  CASE WHEN len(ws) > 0 THEN list_sum(list_transform(ws, lambda w: length(w))) / len(ws) ELSE 0 END AS avg_word_length, len(ws) / sc AS avg_sentence_length,
+  {_N("[\\x22\\x27«»]")} / n AS quote_ratio, {_N("[()]")} / n AS parenthesis_ratio,
+  {", ".join(f"(length(text) - length(replace(text, '{s}', ''))) / n AS {k}" for k, s in _LITERALS.items())},
+  CASE WHEN len(ws) > 0 THEN len(list_filter(ws, lambda w: list_contains({_STOP}, lower(w)))) / len(ws) ELSE 0 END AS stopword_ratio FROM d""")
+def q_linguistic_stats(spark, sf_dir):
+    return quality(spark, sf_dir, qf.LINGUISTIC)
+
+
+@query(f"""SELECT doc_id, CASE WHEN len({_WORDS}) > 0 THEN len(list_filter({_WORDS}, lambda w: list_contains({_STOP}, lower(w)))) / len({_WORDS}) ELSE 0 END AS stopword_ratio FROM documents""")
+def q_stopword_ratio(spark, sf_dir):
+    return quality(spark, sf_dir, ["stopword_ratio"])
+
+
+@query(f"""WITH d AS (SELECT page_id, html AS text, CAST(length(html) AS DOUBLE) AS n, string_split(html, chr(10)) AS raw, {_WORDS.replace("text", "html")} AS ws,
+    list_filter(string_split(html, chr(10) || chr(10)), lambda p: regexp_matches(p, '\\S')) AS ps FROM pages),
+  e AS (SELECT *, CASE WHEN raw[-1] = '' THEN raw[:-2] ELSE raw END AS ls FROM d)
+SELECT page_id, CAST(len(ls) AS INT) AS line_count, CAST(len(ps) AS INT) AS paragraph_count, n / len(ls) AS avg_line_length, n / len(ps) AS avg_paragraph_length,
+  len(list_filter(ls, lambda x: NOT regexp_matches(x, '\\S'))) / len(ls) AS empty_line_ratio, CAST({_N("(?m)^\\s*[-*•]\\s")} AS INT) AS bullet_point_count, {_N("(?m)^\\s*[-*•]\\s")} / n AS bullet_point_ratio,
+  CAST({_N("https?://[^\\s)>\\]\\x22\\x27}]*")} AS INT) AS url_count, {_N("https?://[^\\s)>\\]\\x22\\x27}]*")} / len(ws) AS url_density,
+  CAST({_N("\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Z|a-z]{2,}\\b")} AS INT) AS email_count, {_N("\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Z|a-z]{2,}\\b")} / len(ws) AS email_density,
+  CAST({_N("<[^>]+>")} AS INT) AS html_tag_count, {_N("<[^>]+>")} / n AS html_tag_ratio, {_N("[@#$%^&*+=]")} / n AS special_char_ratio FROM e""")
+def q_structural_stats(spark, sf_dir):
+    return quality(spark, sf_dir, qf.STRUCTURAL, "pages", "page_id", "html")
+
+
+_ANOMALY = [k for k in qf.ANOMALY if k not in ("repeated_char_count", "repeated_char_ratio", "repeated_sequence_count", "text_entropy")]
+_SHARE = lambda test: f"CASE WHEN len(ws) > 0 THEN len(list_filter(ws, lambda w: {test})) / len(ws) ELSE 0 END"
+_UP, _LOW = r"regexp_matches(w, '\p{Lu}')", r"regexp_matches(w, '\p{Ll}')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, row_number() OVER () AS k, text, {_WORDS} AS ws FROM documents),
+  c AS (SELECT k, w, count(*) AS m FROM (SELECT k, unnest(list_transform(ws, lambda w: lower(w))) AS w FROM d) GROUP BY k, w),
+  a AS (SELECT k, max(m) AS top, count(*) FILTER (WHERE m > 1) AS rep, count(*) AS dist FROM c GROUP BY k)
+SELECT doc_id, CAST(coalesce(top, 0) AS INT) AS most_common_word_freq, CAST(coalesce(rep, 0) AS INT) AS repeated_word_count, coalesce(rep / len(ws), 0) AS repeated_word_ratio,
+  CAST(coalesce(dist, 0) AS INT) AS unique_word_count, coalesce(dist / len(ws), 0) AS unique_word_ratio, {_SHARE(f"{_UP} AND NOT {_LOW} AND length(w) > 1")} AS all_caps_word_ratio,
+  {_SHARE(f"{_LOW} AND NOT {_UP}")} AS all_lowercase_word_ratio, {_SHARE(f"{_LOW} AND {_UP}")} AS mixed_case_word_ratio,
+  CAST({_N(" {2,}")} AS INT) AS consecutive_spaces_count, CAST({_N("[.!?,;:]{2,}")} AS INT) AS consecutive_punctuation_count FROM d LEFT JOIN a USING (k)""")
+def q_anomaly_words(spark, sf_dir):
+    return quality(spark, sf_dir, _ANOMALY)
+
+
+@query("""WITH c AS (SELECT doc_id, ch, count(*) AS m FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents) GROUP BY doc_id, ch),
+  t AS (SELECT doc_id, m / sum(m) OVER (PARTITION BY doc_id) AS p FROM c)
+SELECT doc_id, round(-sum(p * log2(p)), 9) AS text_entropy FROM t GROUP BY doc_id""")
+def q_char_entropy(spark, sf_dir):
+    return quality(spark, sf_dir, ["text_entropy"]).select("doc_id", F.round("text_entropy", 9).alias("text_entropy"))
+
+
+@query()
+def q_repeated_runs(spark, sf_dir):
+    return quality(spark, sf_dir, ["repeated_char_count", "repeated_char_ratio", "repeated_sequence_count"])
+
+
+@query()
+def q_quality_features(spark, sf_dir):
+    return quality(spark, sf_dir, qf.FEATURES)
+
+
+# --- spam ---------------------------------------------------------------------------------------------------------
+def spam(spark, sf_dir: str, names: list[str], table: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
+    docs = read(spark, sf_dir, table)
+    language = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    return sf.spam_features(docs.select(key, text, *(["lang"] if "lang" in docs.columns else [])), text, F.col(key), [], language).select(key, *[F.col("spam")[k].alias(k) for k in names])
+
+
+_CHARS = ["char_count", "digit_count", "digit_ratio", "uppercase_ratio", "punctuation_ratio", "whitespace_ratio", "exclamation_count", "question_count", "newline_count", "currency_symbol_count"]
+
+
+@query(f"""SELECT doc_id, CAST(length(text) AS DOUBLE) AS char_count, CAST({_N(r"\p{Nd}")} AS DOUBLE) AS digit_count, {_N(r"\p{Nd}")} / length(text) AS digit_ratio, {_N(r"\p{Lu}")} / length(text) AS uppercase_ratio,
+  {_N(r"[^\p{L}\p{N}\s]")} / length(text) AS punctuation_ratio, {_N(r"\s")} / length(text) AS whitespace_ratio, CAST({_N("!")} AS DOUBLE) AS exclamation_count, CAST({_N(r"\?")} AS DOUBLE) AS question_count,
+  CAST({_N(r"\n")} AS DOUBLE) AS newline_count, CAST({_N("[€$]")} AS DOUBLE) AS currency_symbol_count FROM documents""")
+def q_spam_char_stats(spark, sf_dir):
+    return spam(spark, sf_dir, _CHARS)
+
+
+_TOKENS = r"regexp_extract_all({t}, '[\p{{L}}\p{{N}}_](?:[\p{{L}}\p{{N}}_\x27-]*[\p{{L}}\p{{N}}_])?')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_TOKENS.format(t="text")} AS k FROM documents)
+SELECT doc_id, CAST(len(k) AS DOUBLE) AS word_count, CAST(len(list_distinct(list_transform(k, lambda w: lower(w)))) AS DOUBLE) AS unique_word_count,
+  coalesce(len(list_distinct(list_transform(k, lambda w: lower(w)))) / nullif(len(k), 0), 0) AS unique_word_ratio, coalesce(list_sum(list_transform(k, lambda w: length(w))) / nullif(len(k), 0), 0) AS avg_word_length FROM d""")
+def q_tokens(spark, sf_dir):
+    return spam(spark, sf_dir, ["word_count", "unique_word_count", "unique_word_ratio", "avg_word_length"])
+
+
+_PAD = "concat(' ', trim(regexp_replace(strip_accents(lower({t})), '[^0-9a-zA-ZÀ-ÖØ-öø-ÿ]+', ' ', 'g')), ' ')"
+
+
+def _hits(terms: list[str], p: str = "p") -> str:
+    listed = sorted(Counter(mt.normal_term(t) for t in terms).items())
+    return "CAST(" + " + ".join(f"{n} * ((length({p}) - length(replace({p}, ' {t} ', ''))) // {len(t) + 2})" for t, n in listed) + " AS DOUBLE)"
+
+
+_KEYWORDS = {"spam": lx.SPAM, "urgency": lx.URGENCY, "money": lx.MONEY, "cta": lx.CTA, "account": lx.ACCOUNT, "security": lx.SECURITY, "delivery": lx.DELIVERY, "brand": lx.BRAND, "unsubscribe": lx.UNSUBSCRIBE, "promo": lx.PROMO_CODE}
+_HITS = ", ".join(f"{_hits(v)} AS {k}_keyword_hits" for k, v in _KEYWORDS.items())
+_HAM = {"ham_business_hits": lx.BUSINESS, "ham_formal_hits": lx.FORMAL, "ham_admin_doc_hits": lx.ADMIN, "ham_technical_business_hits": lx.TECHNICAL, "safe_security_ham_hits": lx.SAFE_SECURITY, "action_phrase_count": lx.ACTION}
+_PADDED = f"WITH d AS (SELECT doc_id, text, lang, {_PAD.format(t='text')} AS p, CAST(len({_TOKENS.format(t='text')}) AS DOUBLE) AS wc FROM documents)"
+
+
+@query(f"{_PADDED} SELECT doc_id, {_HITS} FROM d")
+def q_keyword_hits(spark, sf_dir):
+    return spam(spark, sf_dir, [f"{k}_keyword_hits" for k in _KEYWORDS])
+
+
+@query(f"{_PADDED} SELECT doc_id, " + ", ".join(f"coalesce({_hits(v)} / nullif(wc, 0), 0) AS {k}_density" for k, v in [("spam_keyword", lx.SPAM), ("cta_keyword", lx.CTA), ("money_keyword", lx.MONEY), ("urgency_keyword", lx.URGENCY), ("ham_business", lx.BUSINESS)]) + " FROM d")
+def q_keyword_density(spark, sf_dir):
+    return spam(spark, sf_dir, [f"{k}_density" for k in ("spam_keyword", "cta_keyword", "money_keyword", "urgency_keyword", "ham_business")])
+
+
+@query(f"{_PADDED} SELECT doc_id, " + ", ".join(f"{_hits(v)} AS {k}" for k, v in _HAM.items()) + " FROM d")
+def q_ham_signals(spark, sf_dir):
+    return spam(spark, sf_dir, list(_HAM))
+
+
+_FLAGS = ["has_urgency_and_cta", "has_money_and_cta", "has_account_and_security", "has_formal_and_no_cta", "has_technical_business_and_no_cta", "ham_to_spam_keyword_ratio", "ham_to_cta_ratio", "safe_security_to_spam_ratio"]
+
+
+@query(f"""{_PADDED}, h AS (SELECT doc_id, {_HITS}, {", ".join(f"{_hits(v)} AS {k}" for k, v in _HAM.items())} FROM d)
+SELECT doc_id, CASE WHEN urgency_keyword_hits > 0 AND action_phrase_count > 0 THEN 1e0 ELSE 0e0 END AS has_urgency_and_cta, CASE WHEN money_keyword_hits > 0 AND action_phrase_count > 0 THEN 1e0 ELSE 0e0 END AS has_money_and_cta,
+  CASE WHEN account_keyword_hits > 0 AND security_keyword_hits > 0 THEN 1e0 ELSE 0e0 END AS has_account_and_security, CASE WHEN ham_formal_hits > 0 AND cta_keyword_hits = 0 THEN 1e0 ELSE 0e0 END AS has_formal_and_no_cta,
+  CASE WHEN ham_technical_business_hits > 0 AND cta_keyword_hits = 0 THEN 1e0 ELSE 0e0 END AS has_technical_business_and_no_cta, (ham_business_hits + 1) / (spam_keyword_hits + 1) AS ham_to_spam_keyword_ratio,
+  (ham_business_hits + 1) / (cta_keyword_hits + 1) AS ham_to_cta_ratio, (safe_security_ham_hits + 1) / (spam_keyword_hits + 1) AS safe_security_to_spam_ratio FROM h""")
+def q_flags(spark, sf_dir):
+    return spam(spark, sf_dir, _FLAGS)
+
+
+_EMAIL_D, _CH = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", r"[^\s<>()\[\]{}\x22\x27]"
+_URL_D = rf"(?i)\bhttps?:/{{1,2}}{_CH}+|\bwww\.{_CH}+|\b(?:[a-z0-9](?:[a-z0-9-]{{0,61}}[a-z0-9])?\.)+[a-z]{{2,}}(?:/{_CH}*)?"
+_EDGE_D = r"^[.,;:!?()\[\]{}<>\x22\x27]+|[.,;:!?()\[\]{}<>\x22\x27]+$"
+_URL_FEATURES = ["url_count_text", "unique_url_count_text", "unique_domain_count_text", "email_count_text", "suspicious_tld_count", "shortener_url_count"]
+
+
+@query(f"""WITH u AS (SELECT page_id, {_N(_EMAIL_D, "url")} AS emails, list_transform(regexp_extract_all(regexp_replace(url, '{_EMAIL_D}', ' ', 'g'), '{_URL_D}'), lambda x: regexp_replace(x, '{_EDGE_D}', '', 'g')) AS us FROM pages),
+  v AS (SELECT *, list_filter(list_transform(us, lambda x: string_split(string_split(regexp_replace(regexp_replace(lower(x), '^https?://', ''), '^www\\.', ''), '/')[1], ':')[1]), lambda x: x <> '') AS ds FROM u)
+SELECT page_id, CAST(len(us) AS DOUBLE) AS url_count_text, CAST(len(list_distinct(list_transform(us, lambda x: lower(x)))) AS DOUBLE) AS unique_url_count_text, CAST(len(list_distinct(ds)) AS DOUBLE) AS unique_domain_count_text,
+  CAST(emails AS DOUBLE) AS email_count_text, CAST(len(list_filter(ds, lambda x: regexp_matches(x, '(?:{"|".join(t.replace(".", "[.]") for t in lx.SUSPICIOUS_TLDS)})$'))) AS DOUBLE) AS suspicious_tld_count,
+  CAST(len(list_filter(us, lambda x: regexp_matches(lower(x), '{"|".join(t.replace(".", "[.]") for t in lx.SHORTENERS)}'))) AS DOUBLE) AS shortener_url_count FROM v""")
+def q_url_features(spark, sf_dir):
+    return spam(spark, sf_dir, _URL_FEATURES, "pages", "page_id", "url")
+
+
+_ANY = lambda terms, x: "(" + " OR ".join(f"contains({x}, ' {t} ')" for t in sorted({mt.normal_term(t) for t in terms})) + ")"
+
+
+@query(f"""WITH c AS (SELECT conv_id, turn, row_number() OVER () AS k, list_filter(regexp_split_to_array(text, '[\\n.!?]+'), lambda x: regexp_matches(x, '\\S')) AS cs FROM conversations),
+  p AS (SELECT k, unnest(cs) AS x FROM c), q AS (SELECT k, x, {_PAD.format(t="x")} AS p FROM p),
+  m AS (SELECT k, count(*) FILTER (WHERE {_ANY(lx.CTA, "p")} AND ({_ANY(lx.MONEY, "p")} OR regexp_matches(x, '(?i)€\\s?\\d+[\\d.,]*|\\d+[\\d.,]*\\s?€|\\b\\d+[\\d.,]*\\s?(?:euro|eur)\\b'))) AS n FROM q GROUP BY k)
+SELECT conv_id, turn, CAST(coalesce(n, 0) AS DOUBLE) AS money_cta_combo FROM c LEFT JOIN m USING (k)""")
+def q_cooccurrence(spark, sf_dir):
+    docs = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return sf.spam_features(docs).select("conv_id", "turn", "spam.money_cta_combo")
+
+
+_LP = r"""l AS (SELECT doc_id, wc, length(text) AS n, [lower(x) FOR x IN """ + _TOKENS.format(t="text").replace("{{", "{").replace("}}", "}") + r"""] AS k, text, [trim(x, ' ' || chr(10)) FOR x IN regexp_split_to_array(text, '[.!?\n\r;:]+') IF trim(x, ' ' || chr(10)) <> ''] AS cs FROM (SELECT doc_id, wc, trim(text, ' ' || chr(10)) AS text FROM d)),
+  r AS (SELECT doc_id, len(k) AS m, len(regexp_extract_all(text, '\p{L}')) / n AS alpha, len(regexp_extract_all(text, '\p{Nd}')) / n AS digit, len(regexp_extract_all(text, '[^\p{L}\p{N}\s]')) / n AS punct,
+    len(regexp_extract_all(lower(text), '[àèéìòù]')) / n AS acc, list_sum([length(x) FOR x IN k]) / len(k) AS w, len([x FOR x IN k IF length(x) >= 4]) / len(k) AS lo, len([x FOR x IN k IF length(x) <= 2]) / len(k) AS sh,
+    len([x FOR x IN k IF list_contains(STOPS, x)]) / len(k) AS st, len([x FOR x IN k IF list_contains(COMMONS, x)]) / len(k) AS co, list_sum([length(x) FOR x IN cs]) / len(cs) AS ch FROM l),
+  g AS (SELECT *, 0.22e0 * least(1, alpha / 0.75e0) + 0.22e0 * least(1, st / 0.18e0) + 0.12e0 * least(1, co / 0.08e0)
+    + 0.10e0 * CASE WHEN w BETWEEN 4 AND 8.5e0 THEN 1 WHEN w >= 3 AND w < 4 THEN w - 3 WHEN w > 8.5e0 AND w <= 11 THEN 1 - (w - 8.5e0) / 2.5e0 ELSE 0 END + 0.08e0 * least(1, lo / 0.45e0)
+    + 0.08e0 * CASE WHEN ch BETWEEN 20 AND 180 THEN 1 WHEN ch >= 10 AND ch < 20 THEN (ch - 10) / 10 WHEN ch > 180 AND ch <= 260 THEN 1 - (ch - 180) / 80 ELSE 0 END + 0.04e0 * least(1, acc / 0.01e0)
+    - (0.10e0 * least(1, digit / 0.2e0) + 0.08e0 * least(1, punct / 0.22e0) + 0.06e0 * least(1, sh / 0.45e0)) AS s FROM r)"""
+_LIST = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+_LP = _LP.replace("STOPS", _LIST(lx.MINI_STOPWORDS)).replace("COMMONS", _LIST(lx.COMMON_WORDS))
+
+
+@query(f"{_PADDED}, {_LP} SELECT doc_id, CASE WHEN m > 0 THEN round(0.15e0 + 0.75e0 * greatest(0, least(1, s)), 3) ELSE 0 END AS lang_score FROM g")
+def q_lang_score(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    ready = sf.prepared(docs, "text", F.col("doc_id"), [], F.col("lang"), F.lit(None))
+    parts = sf.language_parts(sf.tx.stripped(F.col("t")), F.col("low"), F.col("lid"))
+    p = ready.select(F.col("_row")["doc_id"].alias("doc_id"), parts.alias("p"))
+    return p.select("doc_id", F.round(sf.language_score(F.col("p"), None), 3).alias("lang_score"))
+
+
+_NOISE = ["noise_score", "spam_intent_score", "noise_without_spam_intent", "symbol_pressure_score", "promo_symbol_count_clip", "exclamation_count_clip", "digit_run_count_clip"]
+
+
+@query()
+def q_intent_noise(spark, sf_dir):
+    return spam(spark, sf_dir, _NOISE)
+
+
+@query()
+def q_spam_features(spark, sf_dir):
+    return spam(spark, sf_dir, [c for c in sf.COLUMNS if c != "doc_id"])
+
+
+# --- decisions ------------------------------------------------------------------------------------------------------
+#: A stand-in for a model's score where the decision, not the model, is under test.
+_SCORE = "CAST((doc_id * 37) % 1000 AS DOUBLE) / 1000"
+
+
+@query("""SELECT doc_id, lang, lang = 'fr' AND CAST((doc_id * 37) % 1000 AS DOUBLE) / 1000 > 0.75e0 AS keep FROM documents""")
+def q_language_filter(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return docs.select("doc_id", "lang", dc.language_keep(F.col("lang"), F.expr(_SCORE), "fr").alias("keep"))
+
+
+@query("""SELECT page_id, length(html) >= 120 AND length(html) - length(replace(html, '|', '')) <= 6
+  AND contains(lower(html), 'home')::INT + contains(lower(html), 'contatti')::INT + contains(lower(html), 'cookie policy')::INT + contains(lower(html), 'privacy')::INT + contains(lower(html), 'login')::INT < 3 AS keep FROM pages""")
+def q_heuristic_filter(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", dc.heuristic_keep(F.col("html")).alias("keep"))
+
+
+@query(f"""{_PADDED}, h AS (SELECT doc_id, {_HITS}, {_hits(lx.BUSINESS)} AS ham_business_hits, {_hits(lx.FORMAL + lx.ADMIN + lx.TECHNICAL)} AS strength, {_SCORE} AS s FROM d)
+SELECT doc_id, (account_keyword_hits > 0 AND security_keyword_hits > 0) OR (spam_keyword_hits >= 4 AND (cta_keyword_hits > 0 OR urgency_keyword_hits > 0 OR money_keyword_hits > 0))
+  OR (s >= 0.9e0 AND ham_business_hits = 0 AND strength = 0) AS strong_evidence FROM h""")
+def q_strong_evidence(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = docs.select("doc_id", F.expr(_SCORE).alias("s"), mt.padded(F.col("text")).alias("p"))
+    names = {**{f"{k}_keyword_hits": v for k, v in _KEYWORDS.items()}, "ham_business_hits": lx.BUSINESS, "ham_strength_score": lx.FORMAL + lx.ADMIN + lx.TECHNICAL}
+    rest = [F.lit(0.0).alias(k) for k in ("suspicious_tld_count", "shortener_url_count", "cta_plus_url_score", "urgency_cta_url_combo", "money_cta_combo", "url_count_text")]
+    packed = hits.select("doc_id", "s", F.struct(*[mt.term_hits(F.col("p"), v).cast("double").alias(k) for k, v in names.items()], *rest).alias("spam"))
+    return packed.select("doc_id", dc.strong_evidence(F.col("spam"), F.col("s")).alias("strong_evidence"))
+
+
+@query()
+def q_spam_decision(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    made = sf.spam_features(docs, doc_id=F.col("doc_id"), language=F.col("lang"))
+    return made.select("doc_id", dc.spam_decision(F.col("spam"), F.expr(_SCORE)).alias("d")).select("doc_id", "d.*")
+
+
+@query(f"""SELECT doc_id, {_SCORE} >= 0.65e0 AS keep, CASE WHEN {_SCORE} >= 0.65e0 THEN NULL ELSE 'quality_bad' END AS reason, CASE WHEN {_SCORE} >= 0.65e0 THEN 'good' ELSE 'bad' END AS label, {_SCORE} AS score FROM documents""")
+def q_quality_decision(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return docs.select("doc_id", dc.quality_decision(F.expr(_SCORE), F.lit(True)).alias("d")).select("doc_id", "d.*")
+
+
+@query("""SELECT text, label_rilevata, scartato_da, file FROM (
+  SELECT text, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS label_rilevata, CASE WHEN n_chars < 600 THEN '1_language' WHEN n_chars < 1500 THEN '2_spam' ELSE '3_quality' END AS scartato_da,
+    CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS file FROM documents JOIN labels USING (doc_id))""")
+def q_reject_audit(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    stage = F.when(F.col("n_chars") < 600, "1_language").when(F.col("n_chars") < 1500, "2_spam").otherwise("3_quality")
+    rows = rows.withColumn("stage", stage).withColumn("label", F.when(F.col("quality") == 1, " Good ").when(F.col("quality") == 0, "bad"))
+    return dc.reject_audit(rows, "text", "label", "stage")
+
+
+@query("""SELECT CASE WHEN n_chars < 600 THEN '1_language' WHEN n_chars < 1500 THEN '2_spam' ELSE '3_quality' END AS stage, lang AS reason, count(*) AS n FROM documents GROUP BY ROLLUP (stage, reason)""")
+def q_funnel(spark, sf_dir):
+    stage = F.when(F.col("n_chars") < 600, "1_language").when(F.col("n_chars") < 1500, "2_spam").otherwise("3_quality")
+    docs = read(spark, sf_dir, "documents").select(stage.alias("stage"), F.col("lang").alias("reason"))
+    return docs.rollup("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT doc_id, text, 'documents' AS part FROM documents UNION ALL SELECT item_id AS doc_id, text, 'benchmark' AS part FROM benchmark""")
+def q_union_parts(spark, sf_dir):
+    from .sources.io import union_parts
+
+    a = read(spark, sf_dir, "documents").select("doc_id", "text", F.lit("documents").alias("part"))
+    return union_parts([a, read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text", F.lit("benchmark").alias("part"))])
+
+
+# --- metrics ----------------------------------------------------------------------------------------------------------
+#: Truth: labels.quality. Score: the share of distinct words.
+_SCORED = f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+  s AS (SELECT w.doc_id, l.quality AS y, coalesce(len(list_distinct(list_transform(ws, lambda x: lower(x)))) / nullif(len(ws), 0), 0) AS score FROM w JOIN labels l USING (doc_id))"""
+_CONF = "count(*) FILTER (WHERE y = 0 AND p = 0) AS tn, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp, count(*) FILTER (WHERE y = 1 AND p = 0) AS fn, count(*) FILTER (WHERE y = 1 AND p = 1) AS tp"
+_R = lambda a, b: f"coalesce(({a}) / nullif(CAST({b} AS DOUBLE), 0), 0)"
+_RATES = {"accuracy": _R("tp + tn", "tn + fp + fn + tp"), "precision_1": _R("tp", "tp + fp"), "recall_1": _R("tp", "tp + fn"), "precision_0": _R("tn", "tn + fn"), "recall_0": _R("tn", "tn + fp"), "loss_rate": _R("fp", "tn + fp"), "contamination_rate": _R("fn", "tn + fn"), "miss_rate": _R("fn", "fn + tp"), "predicted_positive_rate": _R("tp + fp", "tn + fp + fn + tp")}
+_MORE = {"balanced_accuracy": "(recall_0 + recall_1) / 2", "f1_1": _R("2 * precision_1 * recall_1", "(precision_1 + recall_1)"), "f1_0": _R("2 * precision_0 * recall_0", "(precision_0 + recall_0)"), "preservation_rate": "recall_0", "detection_rate": "recall_1"}
+_ALL_RATES = f"SELECT *, {', '.join(f'{v} AS {k}' for k, v in _MORE.items())} FROM (SELECT *, {', '.join(f'{v} AS {k}' for k, v in _RATES.items())} FROM c)"
+
+
+def scored(spark, sf_dir: str) -> DataFrame:
+    """doc_id, y, score of the labelled documents."""
+    made = quality(spark, sf_dir, ["unique_word_ratio"])
+    return made.join(read(spark, sf_dir, "labels"), "doc_id").select("doc_id", F.col("quality").alias("y"), F.col("unique_word_ratio").alias("score"))
+
+
+def predicted(spark, sf_dir: str) -> DataFrame:
+    return scored(spark, sf_dir).withColumn("p", (F.col("score") >= 0.65).cast("int"))
+
+
+@query(f"{_SCORED}, p AS (SELECT *, (score >= 0.65e0)::INT AS p FROM s) SELECT {_CONF} FROM p")
+def q_confusion(spark, sf_dir):
+    return mx.confusion(predicted(spark, sf_dir), "y", "p")
+
+
+@query(f"{_SCORED}, p AS (SELECT *, (score >= 0.65e0)::INT AS p FROM s), c AS (SELECT {_CONF} FROM p) {_ALL_RATES}")
+def q_operating_metrics(spark, sf_dir):
+    return mx.operating_metrics(predicted(spark, sf_dir), "y", "p")
+
+
+@query(f"""{_SCORED}, p AS (SELECT *, (score >= 0.65e0)::INT AS p FROM s), c AS (SELECT {_CONF} FROM p), m AS ({_ALL_RATES})
+SELECT '0' AS class, precision_0 AS precision, recall_0 AS recall, f1_0 AS f1, tn + fp AS support FROM m UNION ALL SELECT '1', precision_1, recall_1, f1_1, fn + tp FROM m
+UNION ALL SELECT 'macro', (precision_0 + precision_1) / 2, (recall_0 + recall_1) / 2, (f1_0 + f1_1) / 2, tn + fp + fn + tp FROM m
+UNION ALL SELECT 'weighted', {", ".join(_R(f"{k}_0 * (tn + fp) + {k}_1 * (fn + tp)", "(tn + fp + fn + tp)") for k in ("precision", "recall", "f1"))}, tn + fp + fn + tp FROM m""")
+def q_class_report(spark, sf_dir):
+    return mx.class_report(predicted(spark, sf_dir), "y", "p")
+
+
+_CUM = """, b AS (SELECT score, sum((y = 1)::INT) AS pos, sum((y = 0)::INT) AS neg FROM s GROUP BY score),
+  u AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, sum(pos) OVER () AS np, sum(neg) OVER () AS nn FROM b)"""
+
+
+@query(f"{_SCORED}{_CUM} SELECT round(sum(neg * (tp - pos / 2e0)) / max(CAST(np AS DOUBLE) * nn), 9) AS roc_auc FROM u")
+def q_roc_auc(spark, sf_dir):
+    return mx.roc_auc(scored(spark, sf_dir), "y", "score").select(F.round("roc_auc", 9).alias("roc_auc"))
+
+
+@query(f"{_SCORED}{_CUM} SELECT round(sum(CAST(pos AS DOUBLE) / np * tp / (tp + fp)), 9) AS average_precision FROM u")
+def q_pr_auc(spark, sf_dir):
+    return mx.average_precision(scored(spark, sf_dir), "y", "score").select(F.round("average_precision", 9).alias("average_precision"))
+
+
+@query(f"{_SCORED}{_CUM} SELECT score AS threshold, CAST(fp AS DOUBLE) / nn AS fpr, CAST(tp AS DOUBLE) / np AS tpr FROM u")
+def q_roc_curve(spark, sf_dir):
+    return mx.roc_curve(scored(spark, sf_dir), "y", "score")
+
+
+@query(f"{_SCORED}{_CUM} SELECT score AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / np AS recall FROM u")
+def q_pr_curve(spark, sf_dir):
+    return mx.pr_curve(scored(spark, sf_dir), "y", "score")
+
+
+_STEPS = [0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90]
+
+
+@query(f"{_SCORED}, t AS (SELECT CAST(unnest({_STEPS}) AS DOUBLE) AS threshold), c AS (SELECT threshold, {_CONF} FROM (SELECT threshold, y, (score >= threshold)::INT AS p FROM t, s) GROUP BY threshold) {_ALL_RATES}")
+def q_threshold_sweep(spark, sf_dir):
+    return mx.threshold_sweep(scored(spark, sf_dir), "y", "score", _STEPS)
+
+
+_FEW = ["length", "word_count", "uppercase_ratio", "avg_word_length", "unique_word_ratio"]
+_FEW_SQL = f"""WITH d AS (SELECT doc_id, length(text) AS length, {_N(r"\p{Lu}")} / length(text) AS uppercase_ratio, {_WORDS} AS ws FROM documents),
+  f AS (SELECT doc_id, CAST(length AS DOUBLE) AS length, CAST(len(ws) AS DOUBLE) AS word_count, uppercase_ratio, coalesce(list_sum(list_transform(ws, lambda w: length(w))) / nullif(len(ws), 0), 0) AS avg_word_length,
+    coalesce(len(list_distinct(list_transform(ws, lambda w: lower(w)))) / nullif(len(ws), 0), 0) AS unique_word_ratio, CAST(l.quality AS DOUBLE) AS y FROM d JOIN labels l USING (doc_id))"""
+
+
+def few(spark, sf_dir: str) -> DataFrame:
+    return quality(spark, sf_dir, _FEW).join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
+
+
+@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM f" for i, a in enumerate(_FEW) for b in _FEW[i + 1 :]))
+def q_corr_pairs(spark, sf_dir):
+    return mx.correlations(few(spark, sf_dir), _FEW).select("a", "b", F.round("r", 6).alias("r"))
+
+
+@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS feature, round(corr({a}, y), 6) AS r FROM f" for a in _FEW))
+def q_label_correlations(spark, sf_dir):
+    return mx.label_correlations(few(spark, sf_dir), _FEW, "y").select("feature", F.round("r", 6).alias("r"))
+
+
+@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS feature, round(avg({a}), 6) AS mean, round(stddev_pop({a}), 6) AS std FROM f" for a in _FEW))
+def q_scaler_fit(spark, sf_dir):
+    return mx.scaler_fit(few(spark, sf_dir), _FEW).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+_NC = ["n_chars", "quality", "toxic"]
+
+
+@query("""WITH v AS (SELECT 'n_chars' AS feature, CAST(n_chars AS DOUBLE) AS value FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'quality', quality FROM documents LEFT JOIN labels USING (doc_id)
+    UNION ALL SELECT 'toxic', toxic FROM documents LEFT JOIN labels USING (doc_id)), c AS (SELECT feature, value, count(*) AS n FROM v GROUP BY feature, value)
+SELECT feature, count(*) AS n_distinct, max(n) / CAST(sum(n) AS DOUBLE) AS top_share, count(*) <= 1 AS constant, max(n) / CAST(sum(n) AS DOUBLE) >= 0.995e0 AS near_constant FROM c GROUP BY feature""")
+def q_near_constant(spark, sf_dir):
+    return mx.near_constant(read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left"), _NC)
+
+
+_PLACED = "p AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(concat(CAST(doc_id AS VARCHAR), '42')), doc_id) AS i, count(*) OVER (PARTITION BY quality) AS n FROM labels)"
+
+
+@query(f"WITH {_PLACED} SELECT doc_id, quality, CASE WHEN i - 1 < floor(n * CAST(0.7e0 AS DOUBLE) + 0.5e0) THEN 'train' WHEN i - 1 < floor(n * (0.7e0 + 0.15e0) + 0.5e0) THEN 'validation' ELSE 'test' END AS split FROM p")
+def q_stratified_split(spark, sf_dir):
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    return sp.stratified_split(labels, "doc_id", "quality", {"train": 0.7, "validation": 0.15, "test": 0.15})
+
+
+@query(f"WITH {_PLACED} SELECT doc_id, quality, CAST((i - 1) % 5 AS INT) AS fold FROM p")
+def q_kfold(spark, sf_dir):
+    return sp.stratified_folds(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "quality")
+
+
+_FOLDS = """f AS (SELECT lang AS model, doc_id % 5 AS fold, avg(quality) AS q, avg(toxic) AS t FROM documents JOIN labels USING (doc_id) GROUP BY lang, doc_id % 5),
+  m AS (SELECT model, avg(q) AS q_mean, stddev_pop(q) AS q_std, avg(t) AS t_mean, stddev_pop(t) AS t_std FROM f GROUP BY model)"""
+
+
+def fold_means(spark, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
+    folds = rows.groupBy(F.col("lang").alias("model"), (F.col("doc_id") % 5).alias("fold")).agg(F.avg("quality").alias("q"), F.avg("toxic").alias("t"))
+    return mx.fold_summary(folds, "model", ["q", "t"])
+
+
+@query(f"WITH {_FOLDS} SELECT model, round(q_mean, 9) AS q_mean, round(q_std, 9) AS q_std, round(t_mean, 9) AS t_mean, round(t_std, 9) AS t_std FROM m")
+def q_fold_summary(spark, sf_dir):
+    return fold_means(spark, sf_dir).select("model", *[F.round(c, 9).alias(c) for c in ("q_mean", "q_std", "t_mean", "t_std")])
+
+
+@query(f"WITH {_FOLDS} SELECT model, row_number() OVER (ORDER BY round(q_mean, 9) DESC, round(t_mean, 9) DESC, model) AS rank FROM m")
+def q_model_ranking(spark, sf_dir):
+    rounded = fold_means(spark, sf_dir).select("model", F.round("q_mean", 9).alias("q_mean"), F.round("t_mean", 9).alias("t_mean"))
+    return mx.ranking(rounded, ["q_mean", "t_mean"]).select("model", F.col("rank").cast("long").alias("rank"))
+
+
+# --- models and whole runs ----------------------------------------------------------------------------------------------
+def quality_matrix(spark, sf_dir: str) -> DataFrame:
+    from .operators import models as md
+
+    made = quality(spark, sf_dir, qf.FEATURES).join(read(spark, sf_dir, "labels"), "doc_id")
+    return md.matrix(made, "doc_id", {k: F.col(k) for k in qf.FEATURES}, F.col("quality")).cache()
+
+
+@query()
+def q_quality_model(spark, sf_dir):
+    from .operators import models as md
+
+    data = sp.stratified_split(quality_matrix(spark, sf_dir), "id", "y", {"train": 0.8, "test": 0.2})
+    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
+    return md.score_by("logistic_regression", train, test, qf.FEATURES).select(F.col("id").alias("doc_id"), "y", "score")
+
+
+@query()
+def q_spam_model(spark, sf_dir):
+    from .operators import models as md
+
+    made = spam(spark, sf_dir, sf.MODEL_FEATURES).join(read(spark, sf_dir, "labels"), "doc_id")
+    data = sp.stratified_split(md.matrix(made, "doc_id", {k: F.col(k) for k in sf.MODEL_FEATURES}, F.col("toxic")).cache(), "id", "y", {"train": 0.8, "test": 0.2})
+    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
+    return md.error_rows(md.score_by("gbdt", train, test, sf.MODEL_FEATURES, trees=20), 0.75).select(F.col("id").alias("doc_id"), "true_label", "pred_label", "spam_probability", "threshold", "is_error", "error_type")
+
+
+@query()
+def q_topk_importance(spark, sf_dir):
+    from .operators import models as md
+
+    names = ["length", "unique_word_ratio", "text_entropy"]
+    data = quality_matrix(spark, sf_dir)
+    model = md.fit("logistic_regression", data, names)
+    return md.importance_shares(md.permutation_importance(model, data, names, 0.5, repeats=2), 10)
+
+
+@query()
+def q_full_pipeline(spark, sf_dir):
+    from .plans.curation import Config, curate
+
+    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.col("lang").alias("language"), F.lit(1.0).alias("language_score"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label")).alias("meta"))
+    done = curate(rows, Config(language="fr"), lambda s: F.least(F.lit(1.0), s["spam_keyword_hits"] / 10), lambda q: F.least(F.lit(1.0), q["unique_word_ratio"] * 2))
+    return done.select("id", "decision.*")
