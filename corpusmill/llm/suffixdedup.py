@@ -30,8 +30,8 @@ from .neardup import _mix
 
 LENGTH = 200
 GRAM = 48
-MANY = 200  # classes of a gram, above which its windows are counted across the cluster
-PIECE = 4 << 20  # bytes whose windows are computed at once; longer texts are cut in overlapping pieces
+MANY = 4096  # classes of a gram, above which its windows are counted across the cluster
+PIECE = 1 << 20  # bytes whose windows are computed at once; longer texts are cut in overlapping pieces
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xDA942042E4DD58B5)
 PLACE_BITS = np.uint64(24)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -79,15 +79,15 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> t
     least = np.minimum(behind[: m - w + 1], ahead[w - 1 : m])
     anchor = (least & _PLACE).astype(np.int64)
     begins = np.concatenate([[0], ends[:-1]])
-    sizes = np.maximum(0, ends - begins - length + 1)
-    window = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begins, sizes)
-    own = anchor[window]
-    text = np.repeat(np.arange(len(ends)), sizes)
-    new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])])) if len(window) else none
-    first = window[new]
-    last = window[np.append(new[1:], len(window)) - 1] if len(new) else none
+    sizes = np.maximum(0, ends - begins - length + 1)  # windows of each text
+    cuts = np.concatenate([np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, begins, begins + sizes])
+    cuts = np.append(np.unique(cuts[cuts < len(anchor)]), len(anchor))
+    text = np.searchsorted(ends, cuts[:-1], side="right")
+    inside = np.flatnonzero(cuts[:-1] < begins[text] + sizes[text])  # a run lies within one text's windows or outside all
+    first, last = cuts[inside], cuts[inside + 1] - 1
+    own = anchor[first]
     body = _mix(hashes(p, first, last - first + length, BASES[0]) + (last - first).astype(np.uint64))
-    return first, last, grams[own[new]] if len(new) else none.astype(np.uint64), body
+    return first, last, grams[own], body
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
@@ -139,13 +139,19 @@ class Suffixes:
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension, by binary search on prefix hashes."""
-        lo, hi = np.zeros(len(a), np.int64), np.full(len(a), self.length, np.int64)
-        pa_, pb, wa, wb = self.p[a], self.p[b], self.pw[a], self.pw[b]
-        for _ in range(int(self.length).bit_length()):
+        p, pw, length = self.p, self.pw, self.length
+        whole = (p[a + length] - p[a]) * pw[b] == (p[b + length] - p[b]) * pw[a]
+        out = np.full(len(a), length, np.int64)
+        rest = np.flatnonzero(~whole)
+        a, b = a[rest], b[rest]
+        lo, hi = np.zeros(len(a), np.int64), np.full(len(a), length - 1, np.int64)
+        from_a, from_b, wa, wb = p[a], p[b], pw[a], pw[b]
+        for _ in range(int(length - 1).bit_length()):
             mid = (lo + hi + 1) >> 1
-            same = (self.p[a + mid] - pa_) * wb == (self.p[b + mid] - pb) * wa
+            same = (p[a + mid] - from_a) * wb == (p[b + mid] - from_b) * wa
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
+        out[rest] = lo
+        return out
 
     def less(self, a: np.ndarray, b: np.ndarray, or_equal: bool) -> np.ndarray:
         n = self.common(a, b)
