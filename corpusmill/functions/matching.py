@@ -47,6 +47,31 @@ def term_hits(pad: Column, terms: list[str]) -> Column:
     return total
 
 
+def term_table(pad: Column, categories: dict[str, list[str]]) -> Column:
+    """array<struct<n, w>> of the terms that occur: their count, and how often each category lists them.
+
+    Only terms whose first word is in the text are counted, so a text costs little however long the lists are.
+    """
+    named: dict[str, list[int]] = {}
+    for k, terms in enumerate(categories.values()):
+        for t in terms:
+            named.setdefault(normal_term(t), [0] * len(categories))[k] += 1
+    by_first: dict[str, list[str]] = {}
+    for t in named:
+        by_first.setdefault(t.split(" ")[0], []).append(t)
+    entry = lambda t: F.struct(F.lit(f" {t} ").alias("t"), F.array(*[F.lit(n) for n in named[t]]).alias("w"))
+    listed = F.create_map(*[x for first, terms in sorted(by_first.items()) for x in (F.lit(first), F.array(*[entry(t) for t in terms]))])
+    there = F.array_intersect(F.split(F.trim(pad), " "), F.array(*[F.lit(x) for x in sorted(by_first)]))
+    found = F.flatten(F.transform(there, lambda first: F.element_at(listed, first)))
+    counted = F.transform(found, lambda c: F.struct(((F.length(pad) - F.length(F.replace(pad, c["t"], F.lit("")))) / F.length(c["t"])).cast("int").alias("n"), c["w"].alias("w")))
+    return F.filter(counted, lambda c: c["n"] > 0)
+
+
+def category_hits(table: Column, categories: dict[str, list[str]], name: str) -> Column:
+    k = list(categories).index(name)
+    return F.aggregate(table, F.lit(0), lambda s, c: s + c["n"] * c["w"][k])
+
+
 def any_term(pad: Column, terms: list[str]) -> Column:
     found = F.lit(False)
     for term in sorted({normal_term(t) for t in terms}):

@@ -98,15 +98,16 @@ def prepared(docs: DataFrame, text: str, doc_id: Column, labels: list[Column], l
     held = F.struct(*docs.columns).alias("_row")
     out = docs.select(held, doc_id.cast("string").alias("id"), spam_label(*labels).alias("label"), language.cast("string").alias("language"), score.cast("double").alias("lid"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     out = out.withColumn("n", F.length("t")).withColumn("toks", tx.tokens(F.col("t"))).withColumn("pad", mt.padded(F.col("t"))).withColumn("urls", mt.urls(F.col("t")))
+    out = out.withColumn("hits", mt.term_table(F.col("pad"), lx.CATEGORIES))
     return out.withColumn("low", F.transform("toks", lambda w: F.lower(w))).withColumn("wc", F.size("toks"))
 
 
 def counts() -> dict[str, Column]:
     """Base counts over the columns of ``prepared``; all other columns are algebra over these."""
-    t, toks, pad, found, low, n = (F.col(c) for c in ("t", "toks", "pad", "urls", "low", "n"))
+    t, toks, hits, found, low, n = (F.col(c) for c in ("t", "toks", "hits", "urls", "low", "n"))
     digits, others = f"[{tx.DIGIT}]", rf"[^\p{{L}}\p{{N}}{tx.WS}]"
     has_cta, has_link = lambda c: mt.any_term(mt.padded(c), lx.CTA), mt.has_url
-    cta, linked = mt.term_hits(pad, lx.CTA), F.size(found) > 0
+    cta, linked = mt.category_hits(hits, lx.CATEGORIES, "cta"), F.size(found) > 0
     guard = lambda test, x: F.when(test, x).otherwise(0)
     return {
         "char_count": n,
@@ -139,7 +140,7 @@ def counts() -> dict[str, Column]:
         "brand_plus_link_score": guard(linked, mt.chunks_with(t, has_link, lambda c: mt.any_term(mt.padded(c), lx.BRAND))),
         "urgency_cta_url_combo": guard((cta > 0) & linked, mt.chunks_with(t, has_link, has_cta, lambda c: mt.any_term(mt.padded(c), lx.URGENCY))),
         "money_cta_combo": guard(cta > 0, mt.chunks_with(t, has_cta, lambda c: mt.any_term(mt.padded(c), lx.MONEY) | (mt.amounts(c) > 0))),
-        **{f"{k}_hits": mt.term_hits(pad, v) for k, v in lx.CATEGORIES.items()},
+        **{f"{k}_hits": mt.category_hits(hits, lx.CATEGORIES, k) for k in lx.CATEGORIES},
     }
 
 
@@ -197,8 +198,8 @@ def derived(c) -> dict[str, Column]:
     }
 
 
-def spam_features(docs: DataFrame, text: str = "text", doc_id: Column | None = None, labels: list[Column] | None = None, language: Column | None = None, score: Column | None = None, out: str = "spam") -> DataFrame:
-    """All columns of ``docs`` plus the struct ``out`` of the 84 columns, in their fixed order; a null text counts as empty."""
+def spam_features(docs: DataFrame, text: str = "text", doc_id: Column | None = None, labels: list[Column] | None = None, language: Column | None = None, score: Column | None = None, out: str = "spam", names: list[str] | None = None) -> DataFrame:
+    """All columns of ``docs`` plus the struct ``out`` of the 84 columns (or the named ones), in their fixed order; a null text counts as empty."""
     none = F.lit(None)
     ready = prepared(docs, text, doc_id if doc_id is not None else F.lit(""), labels or [], language if language is not None else none, score if score is not None else none)
     parts = language_parts(tx.stripped(F.col("t")), F.col("low"), F.col("lid"))
@@ -206,5 +207,5 @@ def spam_features(docs: DataFrame, text: str = "text", doc_id: Column | None = N
     counted = counted.withColumn("lang_score", language_score(F.col("lp")))
     made = derived(lambda k: F.col(k).cast("double"))
     made |= {"doc_id": F.col("id"), "target_label": F.col("label"), "spam_target_label": F.col("label")}
-    row = counted.select("_row", F.struct(*[made[k].alias(k) for k in COLUMNS]).alias("_made"))
+    row = counted.select("_row", F.struct(*[made[k].alias(k) for k in names or COLUMNS]).alias("_made"))
     return row.select(*[F.col("_row")[c].alias(c) for c in docs.columns], F.col("_made").alias(out))

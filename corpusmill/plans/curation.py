@@ -51,25 +51,24 @@ class Config:
 def curate(docs: DataFrame, config: Config, spam_score: Callable[[Column], Column], quality_score: Callable[[Column], Column]) -> DataFrame:
     """``docs`` (id, text, meta) plus spam, quality and decision.
 
-    A stage only computes for what the stages before kept: its features are null for the others. The two scores are
-    columns made from the feature structs. decision: stage (language, spam, quality, clean), keep, reason and the
-    spam and quality details.
+    A stage works on an empty text where a stage before rejected the row, so it costs nothing there, and its features
+    are null for that row; one linear plan, nothing is computed twice. The two scores are columns made from the
+    feature structs. decision: stage (language, spam, quality, clean), keep, reason and the spam and quality details.
     """
-    m = F.col("meta")
-    passed = docs.withColumn("_lang", dc.language_keep(m["language"], m["language_score"], config.language, config.lang_threshold))
-    judged = passed.filter("_lang")
-    spam = sf.spam_features(judged, doc_id=F.col("id"), language=m["language"], score=m["language_score"])
-    spam = spam.withColumn("_sd", dc.spam_decision(F.col("spam"), spam_score(F.col("spam")), config.threshold_spam))
-    kept = qf.quality_features(spam.filter("_sd.keep"), qf.FEATURES)
-    kept = kept.withColumn("_qd", dc.quality_decision(quality_score(F.col("quality")), dc.complete(F.col("quality"), qf.FEATURES), config.threshold_quality))
-    types = dict(kept.select("spam", "quality", "_sd", "_qd").dtypes)
-    none = lambda k: F.lit(None).cast(types[k]).alias(k)
-    cols = docs.columns
-    rows = passed.filter("not _lang").select(*cols, none("spam"), none("quality"), none("_sd"), none("_qd"), F.lit("language").alias("_stage"))
-    rows = rows.unionByName(spam.filter("not _sd.keep").select(*cols, "spam", none("quality"), "_sd", none("_qd"), F.lit("spam").alias("_stage")))
-    rows = rows.unionByName(kept.select(*cols, "spam", "quality", "_sd", "_qd", F.when(F.col("_qd.keep"), "clean").otherwise("quality").alias("_stage")))
-    reason = F.when(F.col("_stage") == "language", "language").otherwise(F.coalesce("_qd.reason", "_sd.reason"))
-    decision = F.struct(F.col("_stage").alias("stage"), (F.col("_stage") == "clean").alias("keep"), reason.alias("reason"), F.col("_sd.pred_label").alias("spam_pred_label"), F.col("_sd.pred_score").alias("spam_pred_score"), F.col("_sd.strong_evidence").alias("spam_strong_evidence"), F.col("_sd.uncertain_reason").alias("spam_uncertain_reason"), F.col("_qd.label").alias("quality_label"), F.col("_qd.score").alias("quality_score"))
+    m, cols = F.col("meta"), docs.columns
+    rows = docs.withColumn("_lang", dc.language_keep(m["language"], m["language_score"], config.language, config.lang_threshold))
+    rows = rows.withColumn("_text", F.when(F.col("_lang"), F.col("text")))
+    rows = sf.spam_features(rows, "_text", F.col("id"), language=m["language"], score=m["language_score"], out="_spam")
+    rows = rows.withColumn("spam", F.when(F.col("_lang"), F.col("_spam"))).drop("_spam")
+    rows = rows.withColumn("_sd", F.when(F.col("_lang"), dc.spam_decision(F.col("spam"), spam_score(F.col("spam")), config.threshold_spam)))
+    rows = rows.withColumn("_kept", F.coalesce(F.col("_sd.keep"), F.lit(False))).withColumn("_text", F.when(F.col("_kept"), F.col("text")))
+    rows = qf.quality_features(rows, qf.FEATURES, "_text", "_quality")
+    rows = rows.withColumn("quality", F.when(F.col("_kept"), F.col("_quality"))).drop("_quality")
+    rows = rows.withColumn("_qd", F.when(F.col("_kept"), dc.quality_decision(quality_score(F.col("quality")), dc.complete(F.col("quality"), qf.FEATURES), config.threshold_quality)))
+    stage = F.when(~F.col("_lang"), "language").when(~F.col("_kept"), "spam").when(F.col("_qd.keep"), "clean").otherwise("quality")
+    reason = F.when(~F.col("_lang"), "language").otherwise(F.coalesce("_qd.reason", "_sd.reason"))
+    details = {"spam_pred_label": "_sd.pred_label", "spam_pred_score": "_sd.pred_score", "spam_strong_evidence": "_sd.strong_evidence", "spam_uncertain_reason": "_sd.uncertain_reason", "quality_label": "_qd.label", "quality_score": "_qd.score"}
+    decision = F.struct(stage.alias("stage"), (stage == "clean").alias("keep"), reason.alias("reason"), *[F.col(v).alias(k) for k, v in details.items()])
     return rows.select(*cols, "spam", "quality", decision.alias("decision"))
 
 

@@ -120,7 +120,7 @@ def q_quality_features(spark, sf_dir):
 def spam(spark, sf_dir: str, names: list[str], table: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
     docs = read(spark, sf_dir, table)
     language = F.col("lang") if "lang" in docs.columns else F.lit(None)
-    return sf.spam_features(docs.select(key, text, *(["lang"] if "lang" in docs.columns else [])), text, F.col(key), [], language).select(key, *[F.col("spam")[k].alias(k) for k in names])
+    return sf.spam_features(docs.select(key, text, *(["lang"] if "lang" in docs.columns else [])), text, F.col(key), [], language, names=names).select(key, *[F.col("spam")[k].alias(k) for k in names])
 
 
 _CHARS = ["char_count", "digit_count", "digit_ratio", "uppercase_ratio", "punctuation_ratio", "whitespace_ratio", "exclamation_count", "question_count", "newline_count", "currency_symbol_count"]
@@ -208,7 +208,7 @@ _ANY = lambda terms, x: "(" + " OR ".join(f"contains({x}, ' {t} ')" for t in sor
 SELECT conv_id, turn, CAST(coalesce(n, 0) AS DOUBLE) AS money_cta_combo FROM c LEFT JOIN m USING (k)""")
 def q_cooccurrence(spark, sf_dir):
     docs = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return sf.spam_features(docs).select("conv_id", "turn", "spam.money_cta_combo")
+    return sf.spam_features(docs, names=["money_cta_combo"]).select("conv_id", "turn", "spam.money_cta_combo")
 
 
 _LP = r"""l AS (SELECT doc_id, wc, length(text) AS n, [lower(x) FOR x IN """ + _TOKENS.format(t="text").replace("{{", "{").replace("}}", "}") + r"""] AS k, text, [trim(x, ' ' || chr(10)) FOR x IN regexp_split_to_array(text, '[.!?\n\r;:]+') IF trim(x, ' ' || chr(10)) <> ''] AS cs FROM (SELECT doc_id, wc, trim(text, ' ' || chr(10)) AS text FROM d)),
@@ -267,10 +267,10 @@ SELECT doc_id, (account_keyword_hits > 0 AND security_keyword_hits > 0) OR (spam
   OR (s >= 0.9e0 AND ham_business_hits = 0 AND strength = 0) AS strong_evidence FROM h""")
 def q_strong_evidence(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = docs.select("doc_id", F.expr(_SCORE).alias("s"), mt.padded(F.col("text")).alias("p"))
     names = {**{f"{k}_keyword_hits": v for k, v in _KEYWORDS.items()}, "ham_business_hits": lx.BUSINESS, "ham_strength_score": lx.FORMAL + lx.ADMIN + lx.TECHNICAL}
+    hits = docs.select("doc_id", F.expr(_SCORE).alias("s"), mt.padded(F.col("text")).alias("p")).withColumn("h", mt.term_table(F.col("p"), names))
     rest = [F.lit(0.0).alias(k) for k in ("suspicious_tld_count", "shortener_url_count", "cta_plus_url_score", "urgency_cta_url_combo", "money_cta_combo", "url_count_text")]
-    packed = hits.select("doc_id", "s", F.struct(*[mt.term_hits(F.col("p"), v).cast("double").alias(k) for k, v in names.items()], *rest).alias("spam"))
+    packed = hits.select("doc_id", "s", F.struct(*[mt.category_hits(F.col("h"), names, k).cast("double").alias(k) for k in names], *rest).alias("spam"))
     return packed.select("doc_id", dc.strong_evidence(F.col("spam"), F.col("s")).alias("strong_evidence"))
 
 
