@@ -6,12 +6,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import decisions as dc
 from ..operators import quality_features as qf
 
-DOCUMENT = T.StructType.fromDDL("id string, text string, metadata map<string,string>")
+DOCUMENT = "id string, text string, metadata map<string,string>"
 #: Where each stage's rejects go.
 FOLDERS = {"language": "1_language", "spam": "2_spam", "quality": "3_quality"}
 
