@@ -7,9 +7,10 @@ Two sets agree in a coordinate with the probability of their weighted Jaccard si
 ``k ln k`` darts whatever its size.
 
 Equal sets are one class from the start. Classes that share a band are candidates: each is compared with a few hubs
-of its bucket; where a bucket then still holds several components, every pair across them that has a member outside
-the bucket's largest component is compared too, so each candidate pair is either verified or known to be joined. All
-comparisons are of whole shingle sets.
+of its bucket. Candidates that hang together form a cluster; where a cluster then still holds several components, its
+classes are compared block by block, all pairs inside a task, which only gives back the links that join components.
+Clusters too large for that get longer bands instead, and pairs of different components that share one are compared.
+All comparisons are of whole shingle sets.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,10 @@ from .graph import components
 SHINGLE, SIMILAR = 5, 0.8
 ROWS, BANDS = 5, 25  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 5) ** 25 = 5e-5
 HUBS = 4
+CROWD = 32  # a bucket of more classes has one hub, the one that shares most
+BLOCK, BLOCK_BYTES = 400, 1 << 20  # classes, and bytes of their sets, that are compared with as many others in one task
+CLUSTER = 25_600  # classes of a cluster that is compared block by block; larger ones go by longer bands
+STEEP_ROWS, STEEP_BANDS = 16, 200  # a pair at 0.8 shares no such band with probability 0.003, one at 0.62 shares one with 0.09
 FIRST_BAND = 0.125  # height of the lowest rank region
 SLACK = 3.0  # darts: k * (ln k + SLACK); coordinates that stay empty get a further rank region
 SET_BITS = 40  # of a shingle's hash, when sets are compared
@@ -160,7 +166,7 @@ def _names(e: np.ndarray, w: np.ndarray, sizes: np.ndarray) -> list[bytes | None
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, rows: int, bands: int, counted: bool) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1, 3 << 20):
+    for batch in slices(batches, 1, 2 << 20):
         e, w, sizes = sets_of(texts_of(batch.column(1)), size, counted)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         keys = band_keys(signatures(e, w, owner, len(sizes), rows * bands), rows)
@@ -191,7 +197,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _packed(batches: Iterator[pa.RecordBatch], size: int, counted: bool) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1, 3 << 20):
+    for batch in slices(batches, 1, 2 << 20):
         e, w, sizes = sets_of(texts_of(batch.column(1)), size, counted)
         ends = np.cumsum(sizes)
         blobs = [pack_set(e[z - n : z], w[z - n : z], counted) for z, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
@@ -231,27 +237,48 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, size: int = SHINGLE
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("tie").alias("tie"))
     nodes = cut(signed.filter("node is not null").groupBy("node").agg(F.min(F.struct(rank.alias("r"), F.col("bands").alias("bands"))).alias("m")).select("node", F.col("m.r").alias("r"), F.col("m.bands").alias("bands")))
     placed = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), F.col("node").alias("node"))).alias(f"h{i}") for i in range(HUBS)]
-    buckets = cut(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *hubs).filter("n > 1").select("key", F.array_distinct(F.array(*[F.col(f"h{i}")["node"] for i in range(HUBS)])).alias("hubs")))
-    shared = cut(placed.join(buckets, "key").select("key", "node", "hubs"))
-    pairs = shared.select("node", F.explode("hubs").alias("hub")).filter("node <> hub")
-    pairs = cut(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    buckets = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = cut(placed.join(buckets.hint("merge"), "key").select("key", "node", "n"))
+    pairs = cut(_hub_pairs(shared))
     contents = _contents(own, nodes, shared.select("node").distinct(), size, counted)
     links = cut(_linked(pairs, contents, least))
     labels = cut(components(links))
-    rest = cut(_across(shared.select("key", "node"), labels, pairs))
-    if rest.limit(1).count():
-        more = cut(_linked(rest, contents, least))
+    clusters = cut(components(pairs))
+    open_ = cut(_open(clusters, labels))
+    if open_.limit(1).count():
+        more = _within(open_.filter(F.col("n") <= CLUSTER), contents, least, counted)
+        large = open_.filter(F.col("n") > CLUSTER)
+        if large.limit(1).count():
+            steep = cut(large.join(contents, "node").select("node", "c", "content").mapInArrow(_steep, "node binary, c binary, keys array<long>"))
+            more = more.unionByName(_linked(_across(steep.select("node", "c", F.explode("keys").alias("key")), pairs), contents, least))
+        more = cut(more)
         if more.limit(1).count():
             labels = cut(components(links.unionByName(more)))
-    drop(buckets, shared, pairs, contents, rest)
-    return _classes(signed, nodes, labels)
+    drop(shared, pairs, contents, clusters, open_)
+    out = cut(_classes(signed, nodes, labels))
+    drop(signed, nodes, links)
+    return out
+
+
+def _hub_pairs(shared: DataFrame) -> DataFrame:
+    """Each class with the hubs of its buckets: the class that shares most, by the sizes of its buckets, and (unless crowded) some by hash.
+
+    What a group of near copies was copied from shares more bands than the copies do with each other.
+    """
+    mass = shared.groupBy("node").agg(F.sum("n").alias("mass"))
+    h = lambda i: F.xxhash64("node", F.lit(i))
+    hubs = [F.max(F.struct("mass", h(HUBS).alias("h"), F.col("node").alias("node"))).alias("h0")]
+    hubs += [F.min(F.struct(h(i).alias("h"), F.col("node").alias("node"))).alias(f"h{i}") for i in range(1, HUBS)]
+    every, first = F.array(*[F.col(f"h{i}")["node"] for i in range(HUBS)]), F.array(F.col("h0")["node"])
+    found = shared.join(mass, "node").groupBy("key").agg(F.max("n").alias("n"), *hubs).select("key", F.array_distinct(F.when(F.col("n") <= CROWD, every).otherwise(first)).alias("hubs"))
+    pairs = shared.join(found, "key").select("node", F.explode("hubs").alias("hub")).filter("node <> hub")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _contents(own: DataFrame, nodes: DataFrame, needed: DataFrame, size: int, counted: bool) -> DataFrame:
     """The sets of the needed classes, made again from one text of each."""
     want = cut(nodes.select("node", F.col("r.doc_id").alias("rep"), F.col("r.tie").alias("rtie")).join(needed, "node", "left_semi"))
-    texts = own.join(want, (F.coalesce("doc_id", F.lit(0)) == F.coalesce("rep", F.lit(0))) & own["doc_id"].eqNullSafe(want["rep"]) & (F.col("tie") == F.col("rtie"))).select("node", "text")
+    texts = own.join(want.hint("merge"), (F.coalesce("doc_id", F.lit(0)) == F.coalesce("rep", F.lit(0))) & own["doc_id"].eqNullSafe(want["rep"]) & (F.col("tie") == F.col("rtie"))).select("node", "text")
     out = cut(texts.mapInArrow(lambda it: _packed(it, size, counted), "node binary, content binary").groupBy("node").agg(F.min("content").alias("content")), "uncompressed")
     drop(want)
     return out
@@ -263,10 +290,82 @@ def _linked(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(lambda it: _verified(it, least), "a binary, b binary")
 
 
-def _across(shared: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
+def _open(clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, c (component), cluster, n: the classes of clusters of candidates that hold several components, and their number."""
+    at = clusters.select("node", F.col("component").alias("cluster")).join(labels, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c"))
+    several = at.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("cluster", "n")
+    return at.join(several, "cluster").select("node", "c", "cluster", "n")
+
+
+def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool) -> DataFrame:
+    """Links between components of one cluster: its classes are dealt to blocks, and each pair of blocks is compared in one task.
+
+    A task holds two blocks and gives back no more links than it takes to join what belongs together.
+    """
+    held = cut(open_.join(contents, "node"), "uncompressed")
+    blocks = F.greatest(F.ceil(F.max("n") / BLOCK), F.ceil(F.sum(F.octet_length("content")) / BLOCK_BYTES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = held.join(held.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").withColumn("own", own)
+    dealt = dealt.select("node", "c", "cluster", "content", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    keyed = dealt.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "c", "content")
+    return keyed.groupBy("cluster", "i", "j").applyInPandas(lambda f: _compared(f, least, counted), "a binary, b binary")
+
+
+def _compared(frame: pd.DataFrame, least: float, counted: bool) -> pd.DataFrame:
+    sets = [unpack_set(x) for x in frame["content"]]
+    n, c = len(sets), frame["c"].tolist()
+    sizes = np.array([w.sum() for _, w in sets])
+    both = np.zeros((n, n))
+    if counted:
+        for i in range(n):
+            for j in range(i):
+                if c[i] != c[j]:
+                    both[i, j] = both[j, i] = similarity(sets[i], sets[j]) * (sizes[i] + sizes[j]) / (1 + similarity(sets[i], sets[j]))
+    else:
+        who = np.repeat(np.arange(n), [len(x) for x, _ in sets])
+        _, which, times = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True, return_counts=True)
+        shared = times[which] > 1  # shingles of one set alone add nothing
+        who, which = who[shared], np.unique(which[shared], return_inverse=True)[1]
+        order = np.argsort(which, kind="stable")
+        who, which = who[order], which[order]
+        for lo in range(0, int(which[-1]) + 1 if len(which) else 0, 4096):
+            a, z = np.searchsorted(which, [lo, lo + 4096])
+            grid = np.zeros((n, 4096), np.float32)
+            grid[who[a:z], which[a:z] - lo] = 1
+            both += grid @ grid.T
+    alike = np.argwhere(np.triu(both >= least * (sizes[:, None] + sizes[None, :] - both) - 1e-9, 1) & (both > 0))
+    root = {x: x for x in c}
+
+    def find(x: bytes) -> bytes:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in alike.tolist():
+        x, y = find(c[i]), find(c[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((frame["node"].iloc[i], frame["node"].iloc[j]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _steep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of longer bands: pairs clearly below the threshold rarely share one."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 40):
+            batch = whole.slice(lo, 40)
+            sets = [unpack_set(x) for x in batch.column(2).to_pylist()]
+            e = np.concatenate([_mix(x << np.uint64(64 - SET_BITS)) for x, _ in sets])
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+            keys = band_keys(signatures(e, np.concatenate([w for _, w in sets]), owner, len(sets), STEEP_ROWS * STEEP_BANDS, 2), STEEP_ROWS)
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * STEEP_BANDS), pa.array(keys.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), listed], names=["node", "c", "keys"])
+
+
+def _across(at: DataFrame, done: DataFrame) -> DataFrame:
     """Pairs of one bucket in different components, one of them outside the bucket's largest, that were not compared."""
-    at = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    per = cut(at.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")))
+    per = at.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     top = per.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("top.c").alias("main"))
     open_ = cut(at.join(top, "key"))
     few = open_.filter("c <> main").select("key", F.col("node").alias("x"), F.col("c").alias("cx"))
@@ -291,6 +390,8 @@ def deduplicated(docs: DataFrame, **kw) -> DataFrame:
     """
     found = near_duplicates(docs, **kw)
     gone = cut(found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct())
+    drop(found)
+    gone = gone.hint("merge")  # at any size the same plan
     same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_tie"])
     left = docs.join(gone, (F.coalesce(docs["doc_id"], F.lit(0)) == F.coalesce(gone["_id"], F.lit(0))) & same, "left_anti")
     return left.dropDuplicates(["doc_id", "text"])
@@ -304,3 +405,16 @@ def op8_near_duplicates(spark, sf_dir: str) -> DataFrame:
 def column_similar(a: Column, b: Column) -> Column:
     """Jaccard similarity of two arrays of shingles; for small checks in SQL."""
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT k, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+p AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k <> b.k GROUP BY a.k, b.k),
+l AS (SELECT x, y FROM p JOIN n a ON a.k = x JOIN n b ON b.k = y WHERE c >= 0.8e0 * (a.n + b.n - c)),
+r AS (SELECT DISTINCT x AS k, x AS root FROM l UNION SELECT l.y, r.root FROM r JOIN l ON r.k = l.x),
+m AS (SELECT r.k, min(d.doc_id) AS class_id FROM r JOIN d ON d.k = r.root GROUP BY r.k)
+SELECT d.doc_id, coalesce(m.class_id, d.doc_id) AS class_id, d.doc_id = coalesce(m.class_id, d.doc_id) AS kept FROM d LEFT JOIN m USING (k)
+"""
