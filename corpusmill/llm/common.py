@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -35,10 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_DEFAULT).rstrip("/")
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder; below the local default it is removed when this process ends."""
+    path = f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+    if path.startswith(LOCAL_DEFAULT):
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage ends here and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch(spark, "tables")
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
@@ -82,6 +92,16 @@ def ranked(df: DataFrame, order: list[Column], rank: str, sums: dict[str, str] |
     return out.drop(pid, "_n0", *[f"_o{i}" for i in range(len(sums))])
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def own_cache(name: str, clear: Callable[[], None]) -> None:
+    """Says that ``name`` now fills its cache in this worker; what other operators remember here is let go."""
+    for other in [k for k in _caches if k != name]:
+        _caches.pop(other)()
+    _caches[name] = clear
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Strings of a column; null is the empty text."""
     return ["" if x is None else x for x in column.to_pylist()]

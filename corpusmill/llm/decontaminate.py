@@ -295,8 +295,9 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     found = None
     for k, block in enumerate(blocks_of(benchmark, window=window)):
         part = index.select("segment", "content").mapInArrow(lambda it, b=block, every=k == 0: _search(it, b, every), FOUND)
-        part = cut(part) if k else part
+        part = cut(part)
         found = part if found is None else found.unionByName(part)
+    drop(index)
     if k:
         found = found.groupBy("segment", "ordinal").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import slices, table, texts_of, workers_can_import
+from .common import own_cache, slices, table, texts_of, workers_can_import
 
 #: The sample that is learned from, at most: rows a language, code points a row, languages, word types a language.
 ROWS, ROW_CHARS, LANGUAGES, TYPES = 200, 20_000, 200, 4000
@@ -217,6 +217,7 @@ _models: dict[int, Model] = {}
 
 def _shared(model: Model) -> Model:
     """One copy of a model in a worker, so that scored words are remembered between tasks."""
+    own_cache("langid", _models.clear)
     key = zlib.crc32(model.pieces.tobytes())
     if key not in _models:
         _models.clear()

@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, ranked, shared_dir, table, workers_can_import
+from .common import cut, drop, ranked, scratch, table, workers_can_import
 
 REVISIT_FROM = 100  # bytes; smaller payloads are always written in full
 SHARD_BYTES = 32 << 20  # payload bytes of one group of records
 ROLL_BYTES = 16 << 20  # compressed size at which a file is closed
-MOST_SHARDS = 4096  # bounds kept on the driver; groups grow beyond SHARD_BYTES before there are more
+MOST_SHARDS = 1 << 16  # bounds (8 bytes each) kept on the driver; groups grow beyond SHARD_BYTES before there are more
 DATE = "1970-01-01T00:00:00Z"  # fixed, so that reruns agree
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
@@ -132,7 +132,7 @@ def write_warc(pages: DataFrame, to: str | None = None, shard_bytes: int = SHARD
     """
     spark = pages.sparkSession
     workers_can_import(spark)
-    to = to or f"{shared_dir(spark)}/warc/{uuid.uuid4().hex}"
+    to = to or scratch(spark, "warc")
     html = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select("page_id", "url", "html", F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("n"))
     slim = cut(own.select("page_id", "digest", "n", F.xxhash64("url", "html").alias("tie")))
