@@ -7,14 +7,13 @@ decontamination drops documents with a benchmark passage (a window of any item),
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, langid, mixing, neardup, tokens
-from corpusmill.llm.common import fresh, shared_dir, table
+from corpusmill.llm.common import fresh, scratch, table
 
 LEAST_SCORE = 0.5  # posterior of the predicted language
 
@@ -58,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}"
+    folder = scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
