@@ -35,6 +35,10 @@ EMAIL_WITH_BAR = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 AMOUNT = r"€\s?\d+[\d.,]*|\d+[\d.,]*\s?€|\b\d+[\d.,]*\s?(?:euro|eur)\b"
 PROMO_CODE_PATTERN = r"\b(?:codice(?:\s+(?:promo|sconto|offerta))?|coupon|promo(?:code)?|voucher)\b\s*[:=-]?\s*(?-i:[A-Z0-9][A-Z0-9_-]{3,})\b"
 SIGNATURE = r"\bp\.?\s*iva\b|\bpartita\s+iva\b|\bcodice\s+fiscale\b|\bpec\b|\btel\.?\b|\btelefono\b|\bcell\.?\b|\bcellulare\b|\bsede\s+legale\b|\bsede\s+operativa\b|\bwww\.[^\s]+|\bvia\s+[a-zàèéìòù0-9\s,'-]+"
+URL = rf"\bhttps?:/{{1,2}}{URL_CHARS}+|\bwww\.{URL_CHARS}+|\b(?:[a-z0-9](?:[a-z0-9-]{{0,61}}[a-z0-9])?\.)+[a-z]{{2,}}(?:/{URL_CHARS}*)?"
+PLAIN_URL = r"https?://[^\s)>\]\"'}]*"
+HTML_TAG = r"<[^>]+>"
+MENU_WORDS = ["home", "contatti", "cookie policy", "privacy", "login"]
 HAM_LABELS, SPAM_LABELS = ["ham", "not_spam", "non_spam", "legit"], ["spam", "junk"]
 LABEL_KEYS = ["spam_label_gold", "spam_label", "spam_gold_label"]
 # End of the fixed values.

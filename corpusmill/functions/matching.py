@@ -79,7 +79,7 @@ def any_term(pad: Column, terms: list[str]) -> Column:
     return found
 
 
-URL = rf"(?iU)\bhttps?:/{{1,2}}{lx.URL_CHARS}+|\bwww\.{lx.URL_CHARS}+|\b(?:[a-z0-9](?:[a-z0-9-]{{0,61}}[a-z0-9])?\.)+[a-z]{{2,}}(?:/{lx.URL_CHARS}*)?"
+URL = "(?iU)" + lx.URL
 
 
 def emails(text: Column) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import lexicon as lx
 from ..functions import text as tx
 
 LANGUAGE_THRESHOLD, SPAM_THRESHOLD, QUALITY_THRESHOLD = 0.75, 0.75, 0.65
 CERTAIN = 0.90
-MENU_WORDS = ["home", "contatti", "cookie policy", "privacy", "login"]
 
 
 def language_keep(language: Column, score: Column, wanted: str = "it", threshold: float = LANGUAGE_THRESHOLD) -> Column:
@@ -19,7 +19,7 @@ def language_keep(language: Column, score: Column, wanted: str = "it", threshold
 def heuristic_keep(text: Column, least: int = 120, pipes: int = 6, menu: int = 3) -> Column:
     """False for short texts, many vertical bars, and pages that look like a menu."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    items = sum((F.when(F.contains(low, F.lit(w)), 1).otherwise(0) for w in MENU_WORDS), F.lit(0))
+    items = sum((F.when(F.contains(low, F.lit(w)), 1).otherwise(0) for w in lx.MENU_WORDS), F.lit(0))
     return (F.length(low) >= least) & (tx.count_literal(low, "|") <= pipes) & (items < menu)
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lx
 from ..functions import text as tx
 
+# The feature names and their order.
 BASE = ["length", "white_space_ratio", "non_alpha_digit_ratio", "digit_ratio", "uppercase_ratio", "elipsis_ratio", "punctuation_ratio"]
 LINGUISTIC = ["word_count", "sentence_count", "vocabulary_size", "lowercase_ratio", "vowel_ratio", "consonant_ratio", "avg_word_length", "avg_sentence_length", "quote_ratio", "parenthesis_ratio", "comma_ratio", "period_ratio", "question_mark_ratio", "exclamation_ratio", "colon_ratio", "semicolon_ratio", "stopword_ratio"]
 STRUCTURAL = ["line_count", "paragraph_count", "avg_line_length", "avg_paragraph_length", "empty_line_ratio", "bullet_point_count", "bullet_point_ratio", "url_count", "url_density", "email_count", "email_density", "html_tag_count", "html_tag_ratio", "special_char_ratio"]
 ANOMALY = ["most_common_word_freq", "repeated_word_count", "repeated_word_ratio", "repeated_char_count", "repeated_char_ratio", "repeated_sequence_count", "text_entropy", "unique_word_count", "unique_word_ratio", "all_caps_word_ratio", "all_lowercase_word_ratio", "mixed_case_word_ratio", "consecutive_spaces_count", "consecutive_punctuation_count"]
+# End of the fixed values.
 FEATURES = [*BASE, *LINGUISTIC, *STRUCTURAL, *ANOMALY]
 MODEL_FEATURES = ["language_score", *FEATURES]
 VOWELS = "aeiouàèéìòù"
@@ -33,9 +35,9 @@ def expressions() -> dict[str, Column]:
     some = lambda test: tx.per(F.size(F.filter(ws, test)), wc)
     lines, paragraphs = tx.lines(t), F.size(F.filter(F.split(t, "\n\n"), lambda p: ~tx.blank(p)))
     upper, lower = lambda w: w.rlike(tx.UPPER), lambda w: w.rlike(tx.LOWER)
-    bullets, urls = tx.count(t, f"(?md)^[{tx.WS}]*[-*•][{tx.WS}]"), tx.count(t, r"https?://[^\s)>\]\"'}]*")
+    bullets, urls = tx.count(t, f"(?md)^[{tx.WS}]*[-*•][{tx.WS}]"), tx.count(t, lx.PLAIN_URL)
     emails = F.when(F.contains(t, F.lit("@")), tx.count(t, "(?U)" + lx.EMAIL_WITH_BAR)).otherwise(0)
-    tags, runs = tx.count(t, "<[^>]+>"), tx.count(t, r"(?d)(.)\1{2,}")
+    tags, runs = tx.count(t, lx.HTML_TAG), tx.count(t, r"(?d)(.)\1{2,}")
     often, distinct = tx.multiplicities(low), F.size(F.array_distinct(low))
     stop = F.array(*[F.lit(w) for w in lx.STOPWORDS])
     letters = tx.count(t, rf"[\p{{L}}&&[^{VOWELS}{VOWELS.upper()}]]")

@@ -9,6 +9,7 @@ from ..functions import lexicon as lx
 from ..functions import matching as mt
 from ..functions import text as tx
 
+# The column names and their order.
 COLUMNS = """doc_id target_label spam_target_label char_count word_count unique_word_count unique_word_ratio avg_word_length
 digit_count digit_ratio uppercase_ratio punctuation_ratio whitespace_ratio exclamation_count question_count newline_count
 currency_symbol_count url_count_text unique_url_count_text unique_domain_count_text email_count_text url_density email_density
@@ -23,6 +24,7 @@ promo_keyword_hits lang_score lang_is_ita ham_to_spam_keyword_ratio ham_to_cta_r
 ham_strength_score noise_score spam_intent_score noise_without_spam_intent promo_symbol_count_clip exclamation_count_clip
 digit_run_count_clip uppercase_token_count_clip safe_security_ham_hits safe_security_to_spam_ratio spam_keyword_density
 cta_keyword_density money_keyword_density urgency_keyword_density ham_business_density""".split()
+# End of the fixed values.
 # Columns that the model does not see. ``shortner_url_count`` is misspelt in the lists that results are
 # compared with, so ``shortener_url_count`` stays an input.
 EXCLUDED = """doc_id target_label spam_target_label lang_score lang_is_ita noise_without_spam_intent unsubscribe_keyword_hits
