@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,18 +20,20 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, ranked, shared_dir, slices, table, texts_of, workers_can_import
+from .common import cut, drop, own_cache, ranked, reused_memory, scratch, slices, table, workers_can_import
 
 MAGIC = b"WVM1"
 BLOCK = 512  # bytes of a plane between two stored ranks
-SHARD_BYTES = 8 << 20  # text bytes of a shard
-MOST_SHARDS = 65536  # bounds kept on the driver; shards grow beyond SHARD_BYTES before there are more
+SHARD_BYTES = 2 << 20  # text bytes of a shard
+MOST_SHARDS = 1 << 20  # bounds (8 bytes each) kept on the driver; shards grow beyond SHARD_BYTES before there are more
 FILES = "shard long, n_docs long, n_tokens long, content binary"
-CACHE = 300_000  # encoded words that a worker remembers
+SIGNS = ".,;:!?%$#&*()+=/@~"  # as the end of a word; no letter, digit, apostrophe or angle bracket
+CACHE = 750_000  # encoded words that a worker remembers
 ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
@@ -47,9 +48,9 @@ class WaveletMatrix:
         zeros, planes, ranks = [], [], []
         level = ids
         for b in range(width - 1, -1, -1):
-            bits = (level >> level.dtype.type(b)) & level.dtype.type(1) != 0
+            bits = (level & level.dtype.type(1 << b)) != 0
             plane = np.packbits(bits)
-            low, high = level[~bits], level[bits]
+            low, high = level.take(np.flatnonzero(~bits)), level.take(np.flatnonzero(bits))  # much faster than by mask
             zeros.append(len(low))
             planes.append(plane)
             ranks.append(cls._ranks(plane))
@@ -59,8 +60,9 @@ class WaveletMatrix:
 
     @staticmethod
     def _ranks(plane: np.ndarray) -> np.ndarray:
-        at = np.arange(0, len(plane), BLOCK)
-        per = np.add.reduceat(ONES[plane].astype(np.uint64), at) if len(plane) else np.zeros(0, dtype=np.uint64)
+        eight = np.zeros(-(-len(plane) // BLOCK) * BLOCK // 8, dtype=np.uint64)
+        eight.view(np.uint8)[: len(plane)] = plane
+        per = np.bitwise_count(eight).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint64)
         return np.concatenate([[0], np.cumsum(per)]).astype("<u8")
 
     def _rank1(self, k: int, i: int) -> int:
@@ -119,8 +121,8 @@ class WaveletMatrix:
         for k in range(self.width - 1, -1, -1):
             bits = np.unpackbits(self.planes[k], count=self.n).view(bool)
             upper = np.empty_like(values)
-            upper[~bits] = values[: self.zeros[k]]
-            upper[bits] = values[self.zeros[k] :] | values.dtype.type(1 << (self.width - 1 - k))
+            upper[np.flatnonzero(~bits)] = values[: self.zeros[k]]
+            upper[np.flatnonzero(bits)] = values[self.zeros[k] :] | values.dtype.type(1 << (self.width - 1 - k))
             values = upper
         return values
 
@@ -155,42 +157,107 @@ def _tokenizer(path: str):
 
 
 def spaces_separate(path: str) -> bool:
-    """Whether the tokenizer drops white space and never joins what stands on its two sides."""
+    """Whether the tokenizer lower-cases, drops white space and encodes letters, digits and signs apart."""
     with open(path, encoding="utf-8") as f:
-        split = ((json.load(f).get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-    return split.get("type") == "Split" and split.get("behavior") == "Removed" and bool(split.get("invert")) and split["pattern"].get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        content = json.load(f)
+    split = ((content.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    steps = [x.get("type") for x in (content.get("normalizer") or {}).get("normalizers", [])]
+    return "Lowercase" in steps and split.get("type") == "Split" and split.get("behavior") == "Removed" and bool(split.get("invert")) and split["pattern"].get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+@lru_cache(maxsize=2)
+def _word_ends(path: str) -> np.ndarray:
+    """Whether a piece ends a word, by id."""
+    vocab = _tokenizer(path).get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocab.values()) + 1, dtype=bool)
+    out[[i for p, i in vocab.items() if p.endswith("</w>")]] = True
+    return out
+
+
+_known: dict[tuple, dict[str, bytes]] = {}  # per tokenizer, kept by a worker between tasks
 
 
 def encoder(path: str, end: int, dtype: type):
-    """A function from a list of texts to a list of bytes: the ids, with the end id.
+    """A function from texts to the bytes of their ids, with the end id.
 
     Where white space only separates, words are encoded once and remembered; the outcome is that of the whole text.
     """
-    tk, apart, known = _tokenizer(path), spaces_separate(path), {"": b""}
+    own_cache("tokens", _known.clear)
+    tk, apart, known = _tokenizer(path), spaces_separate(path), _known.setdefault((path, dtype), {"": b""})
     last = dtype(end).tobytes()
-
-    def encode(texts: list[str]) -> list[bytes]:
-        if not apart:
-            return [np.array(e.ids, dtype=dtype).tobytes() + last for e in tk.encode_batch(texts, add_special_tokens=False)]
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+    ends = _word_ends(path)
+
+    def learn(new: list[str]) -> None:
+        """Encodes many words as one text and deals the ids out by their places."""
+        for at in range(0, len(new), 500):
+            part = new[at : at + 500]
+            begins = np.cumsum([0] + [len(w) + 1 for w in part])
+            got = tk.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(got.ids, dtype=dtype)
+            places = np.array([a for a, _ in got.offsets], dtype=np.int64)
+            cuts = (np.searchsorted(places, begins) * ids.itemsize).tolist()
+            held = ids.tobytes()
+            known.update(zip(part, [held[a:z] for a, z in zip(cuts, cuts[1:], strict=False)], strict=True))
+
+    def learn_letters(new: list[str]) -> None:
+        """As ``learn`` for words of letters only: each is one unit of the tokenizer and ends where its last piece does."""
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            groups = [part[i : i + 200] for i in range(0, len(part), 200)]
+            for words, got in zip(groups, tk.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, dtype=dtype)
+                stops = ((np.flatnonzero(ends[ids]) + 1) * ids.itemsize).tolist()
+                if len(stops) != len(words):
+                    learn(words)
+                    continue
+                held = ids.tobytes()
+                known.update(zip(words, [held[a:z] for a, z in zip([0, *stops], stops, strict=False)], strict=True))
+
+    def pieces_of(words: list[str]) -> list[bytes]:
         if len(known) > CACHE:
             known.clear()
             known[""] = b""
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            known.update(zip(part, (np.array(e.ids, dtype=dtype).tobytes() for e in tk.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        return [b"".join(map(known.__getitem__, ws)) + last for ws in words]
+        new = set(words).difference(known)
+        plain = {w for w in new if w.isalpha() and (w.isascii() or max(w) < "Ā")}  # beyond, a letter may become a letter and a mark
+        others = new.difference(plain)
+        ended = [(w, s, w[len(s) :]) for w in others if (s := w.rstrip(SIGNS)) and s is not w and s.isalpha() and (s.isascii() or max(s) < "Ā")]  # letters and signs are encoded apart
+        learn_letters(list(plain.union([s for _, s, _ in ended]).difference(known)))
+        learn(list(others.difference([w for w, _, _ in ended]).union([e for _, _, e in ended]).difference(known)))
+        known.update([(w, known[s] + known[e]) for w, s, e in ended])
+        return list(map(known.__getitem__, words))
+
+    def encode(texts: pa.Array) -> pa.Array:
+        texts = texts.fill_null("")
+        if not apart:
+            return pa.array([np.array(e.ids, dtype=dtype).tobytes() + last for e in tk.encode_batch(texts.to_pylist(), add_special_tokens=False)], pa.binary())
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # capitals could else become a special token
+            texts = pc.ascii_lower(texts)
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        pieces = pieces_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        pool = np.frombuffer(b"".join(pieces), dtype=dtype)
+        sizes = np.fromiter(map(len, pieces), dtype=np.int32, count=len(pieces)) // dtype().itemsize
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        at = np.repeat((np.cumsum(sizes, dtype=np.int64) - sizes)[which] - upto[:-1], n)
+        at += np.arange(upto[-1])
+        ids = pool[at]
+        edges = words.offsets.to_numpy()
+        ends_ = upto[edges[1:] - edges[0]]
+        ids = np.insert(ids, ends_, end)
+        offsets = np.concatenate([[0], ends_ + np.arange(1, len(ends_) + 1)]) * ids.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
 
     return encode
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, wide: bool, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     encode = encoder(path, end, np.uint32 if wide else np.uint16)
-    for batch in slices(batches, 1, 4 << 20):
+    for batch in slices(batches, 1, 16 << 20):
         ids = batch.column(0)
         shard = np.searchsorted(bounds, ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False), side="right")
-        yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), ids, pa.array(encode(texts_of(batch.column(1))), pa.binary())], names=["shard", "doc_id", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), ids, encode(batch.column(1))], names=["shard", "doc_id", "ids"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -231,6 +298,11 @@ def _unpacked(batches: Iterator[pa.RecordBatch], starts: dict[int, int]) -> Iter
             yield pa.RecordBatch.from_arrays([docs, pa.array(begins + starts[shard], pa.int64()), pa.array(matrix.lengths, pa.int64()), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
+def _thrifty(work: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with reused_memory():
+        yield from work
+
+
 def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1, shard_bytes: int = SHARD_BYTES) -> str:
     """Encodes every row of ``docs`` (doc_id, text; more columns are not looked at) and writes the shards; returns the folder.
 
@@ -239,7 +311,7 @@ def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1
     """
     spark = docs.sparkSession
     workers_can_import(spark)
-    to = to or f"{shared_dir(spark)}/tokens/{uuid.uuid4().hex}"
+    to = to or scratch(spark, "tokens")
     slim = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"))
     slim = cut(slim.groupBy("doc_id").agg(F.sum("n").alias("n")))
     placed = ranked(slim.filter("doc_id is not null"), [F.col("doc_id")], "place", {"before": "n"})
@@ -249,9 +321,9 @@ def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1
     tk = _tokenizer(path)
     width = max(1, max(tk.get_vocab_size(with_added_tokens=True) - 1, end).bit_length())
     width = 16 if width <= 16 else 32
-    encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _encoded(it, path, end, width > 16, bounds), "shard long, doc_id long, ids binary")
+    encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _thrifty(_encoded(it, path, end, width > 16, bounds)), "shard long, doc_id long, ids binary")
     dealt = encoded.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")
-    dealt.mapInArrow(lambda it: _packed(it, width), FILES).write.option("compression", "uncompressed").parquet(to)
+    dealt.mapInArrow(lambda it: _thrifty(_packed(it, width)), FILES).write.option("compression", "uncompressed").parquet(to)
     drop(slim)
     return to
 
@@ -263,7 +335,7 @@ def read_tokens(spark, folder: str) -> DataFrame:
     sizes = sorted((r["shard"], r["n_tokens"]) for r in files.select("shard", "n_tokens").collect())  # at most MOST_SHARDS + 1
     before = np.concatenate([[0], np.cumsum([n for _, n in sizes])]).tolist()
     starts = {s: b for (s, _), b in zip(sizes, before, strict=False)}
-    return files.select("shard", "content").mapInArrow(lambda it: _unpacked(it, starts), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.select("shard", "content").mapInArrow(lambda it: _thrifty(_unpacked(it, starts)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def occurrences(spark, folder: str, token: int) -> DataFrame:
