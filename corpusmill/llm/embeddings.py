@@ -1,12 +1,13 @@
-"""Near-duplicate vectors by a robust-pruned flat graph.
-
-Equal vectors are one class from the start. Classes are dealt to the cells of their nearest centroids (several, so
-cells overlap); a cell too large for one task is split by hash. In each part the nearest candidates and some random
-ones are pruned robustly (a candidate goes if a chosen neighbour is clearly nearer to it than the vector is). The
-adjacency lists that a class got in its parts are united. Then every class searches the parts of its first cell:
-greedily, starting at the part's medoids, and, once vectors within the range appear, on through all of their
-neighbours. What it finds is checked by cosine in double precision. Parts emit counts and one edge per vector to its
-local root, never all pairs of a dense group.
+"""Near-duplicate vectors by exact comparison of all cells that can hold a partner.
+
+Equal vectors are one class from the start. Every class belongs to the cell of its nearest centroid; neighbouring cells
+form a group, and a group too large for one task is split by hash into blocks. A class visits each block with a cell
+that can hold a vector within the range: the plane halfway between the two centroids is no farther from the class than
+the range is wide, and so is the ring of angles in which the cell's members lie around their centroid. Both bounds are
+exact, so no link is lost, whatever the size of the table or of a dense group; vectors without any structure are all
+compared with each other. Each pair of blocks meets in one task, by matrix products; what lies within rounding of the
+threshold is checked in double precision. Tasks emit counts and one edge per vector to its local root, never all pairs
+of a dense group.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +23,11 @@ from .common import cut, drop, table, workers_can_import
 from .graph import components
 
 COSINE = 0.9
-CELL, OVERLAP = 256, 3  # classes aimed at per cell, cells per class
+CELL = 256  # classes aimed at per cell
 MOST_CELLS, SAMPLE_PER_CELL = 4096, 16  # the centroids are fitted on a sample of at most their product
-PART = 1500  # members, or queries, of one search task
-NEAREST, RANDOM, DEGREE, ALPHA = 40, 6, 20, 1.2
-BEAM, MEDOIDS = 32, 16
+PART = 8192  # classes aimed at per block; two blocks are compared in one task
+PART_BYTES = 16 << 20  # of a block's vectors
+STRIP = 1 << 22  # similarities that are held at once
 SEED = 7
 
 
@@ -49,105 +49,13 @@ def fit_centroids(sample: np.ndarray, cells: int, rounds: int = 4) -> np.ndarray
     return c
 
 
-def prune(x: np.ndarray, nearest: int = NEAREST, degree: int = DEGREE, alpha: float = ALPHA, seed: int = SEED) -> list[np.ndarray]:
-    """Out-neighbours of each row of ``x``: robustly pruned nearest rows, some random ones, and the reverse edges."""
-    n = len(x)
-    rng = np.random.default_rng(seed)
-    if n == 1:
-        return [np.zeros(0, np.int64)]
-    c = min(nearest, n - 1)
-    out: list[list[int]] = [[] for _ in range(n)]
-    for lo in range(0, n, 256):
-        block = x[lo : lo + 256]
-        sims = block @ x.T
-        sims[np.arange(len(block)), np.arange(lo, lo + len(block))] = -2
-        cand = np.argpartition(-sims, c - 1, axis=1)[:, :c]
-        own = np.take_along_axis(sims, cand, axis=1)
-        order = np.argsort(-own, axis=1, kind="stable")
-        cand, own = np.take_along_axis(cand, order, axis=1), np.take_along_axis(own, order, axis=1)
-        away = np.sqrt(np.maximum(0, 2 - 2 * own))
-        v = x[cand]
-        between = np.sqrt(np.maximum(0, 2 - 2 * (v @ v.transpose(0, 2, 1))))
-        alive = np.ones(cand.shape, bool)
-        rows = np.arange(len(block))
-        for _ in range(min(degree, c)):
-            some = alive.any(axis=1)
-            if not some.any():
-                break
-            pick = np.argmax(alive, axis=1)
-            for i in rows[some]:
-                out[lo + i].append(int(cand[i, pick[i]]))
-            alive[rows, pick] = False
-            alive &= alpha * between[rows, pick] > away
-    far = rng.integers(0, n, (n, RANDOM))
-    back: list[list[int]] = [[] for _ in range(n)]
-    for i, near in enumerate(out):
-        near += far[i].tolist()
-        for j in near:
-            if len(back[j]) < 2 * degree:
-                back[j].append(i)
-    return [np.unique(np.array([j for j in out[i] + back[i] if j != i], dtype=np.int64)) for i in range(n)]
-
-
-def medoids(x: np.ndarray, count: int = MEDOIDS) -> np.ndarray:
-    """Rows nearest to the mean and to the means of a few groups."""
-    c = np.concatenate([x.mean(axis=0, keepdims=True), fit_centroids(x, min(count, len(x)))])
-    return np.unique(np.argmax(c @ x.T, axis=1))
-
-
-def range_search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, least: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) pairs with a similarity of ``least`` or more, as far as the graph leads to them.
-
-    All queries take their steps together: each expands its best rows that are not yet expanded, as long as they are
-    among its ``beam`` best, and every row within the range.
-    """
-    n, q = len(x), len(queries)
-    width = max(1, max((len(a) for a in near), default=1))
-    table_ = np.full((n, width), -1, dtype=np.int64)
-    for i, a in enumerate(near):
-        table_[i, : len(a)] = a
-    sims = np.full((q, n), -2.0, dtype=np.float32)
-    expanded = np.zeros((q, n), bool)
-    start = medoids(x)
-    sims[:, start] = queries @ x[start].T
-    active = np.arange(q)
-    k = min(beam, n)
-    while len(active):
-        own = sims[active]
-        floor = np.partition(own, n - k, axis=1)[:, n - k]
-        open_ = (~expanded[active]) & (own > -2) & ((own >= floor[:, None]) | (own >= least))
-        inside = open_ & (own >= least)
-        best = np.where(open_, own, -3).argmax(axis=1)
-        some = open_.any(axis=1)
-        inside[np.flatnonzero(some), best[some]] = True
-        a, node = np.nonzero(inside)
-        active_next = active[some]
-        if len(a):
-            who = active[a]
-            expanded[who, node] = True
-            to = table_[node]
-            pairs = np.unique((np.repeat(who, width) * n + to.ravel())[to.ravel() >= 0])
-            pq, pn = pairs // n, pairs % n
-            new = sims[pq, pn] <= -2
-            pq, pn = pq[new], pn[new]
-            for lo in range(0, len(pq), 200_000):
-                s = slice(lo, lo + 200_000)
-                sims[pq[s], pn[s]] = np.einsum("ij,ij->i", queries[pq[s]], x[pn[s]])
-        active = active_next
-    return np.nonzero(sims >= least)
-
-
-def _assign(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, overlap: int, dim: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = _unit(_matrix(batch.column(1).to_pylist(), dim)).astype(np.float32)
-        m = min(overlap, len(centroids))
-        sims = x @ centroids.T
-        cells = np.argpartition(-sims, m - 1, axis=1)[:, :m]
-        home = np.argmax(sims, axis=1)
-        who = np.repeat(np.arange(len(x)), m)
-        listed = cells.ravel()
-        take = pa.array(who)
-        yield pa.RecordBatch.from_arrays([pa.array(listed, pa.int64()), pa.array(listed == home[who]), batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take)], names=["cell", "home", "node", "v", "copies"])
+def _dense(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a list column, filled up with zeros, and their lengths."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros((len(size), dim))
+    out[np.arange(dim) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out, size
 
 
 def _matrix(lists: list, dim: int) -> np.ndarray:
@@ -157,50 +65,116 @@ def _matrix(lists: list, dim: int) -> np.ndarray:
     return out
 
 
-def _built(frame: pd.DataFrame, dim: int) -> pd.DataFrame:
-    frame = frame.sort_values("node")
-    x = _unit(_matrix(frame["v"].tolist(), dim)).astype(np.float32)
-    nodes = frame["node"].to_numpy()
-    return pd.DataFrame({"node": nodes, "near": [nodes[a].tolist() for a in prune(x)]})
-
-
-def _searched(frame: pd.DataFrame, dim: int, least: float) -> pd.DataFrame:
-    """Members (asks false) and queries (asks true) of one part to rows (node, links, root)."""
-    members = frame[~frame["asks"]].sort_values("node")
-    asking = frame[frame["asks"]].sort_values("node")
-    if not len(members) or not len(asking):
-        return pd.DataFrame({"node": [], "links": [], "root": []}).astype({"node": "int64", "links": "int64", "root": "int64"})
-    nodes, ids = members["node"].to_numpy(), asking["node"].to_numpy()
-    exact, ask = _unit(_matrix(members["v"].tolist(), dim)), _unit(_matrix(asking["v"].tolist(), dim))
-    place = {int(v): i for i, v in enumerate(nodes)}
-    near = [np.array([place[j] for j in set(a) if j in place] if a is not None else [], dtype=np.int64) for a in members["near"]]
-    q, r = range_search(exact.astype(np.float32), near, ask.astype(np.float32), least - 1e-3)
-    size_m, size_q = members["v"].map(len).to_numpy(), asking["v"].map(len).to_numpy()
-    sure = np.zeros(len(q), bool)
-    for lo in range(0, len(q), 100_000):
-        s = slice(lo, lo + 100_000)
-        sure[s] = np.einsum("ij,ij->i", ask[q[s]], exact[r[s]]) >= least
-    sure &= (ids[q] != nodes[r]) & (size_q[q] == size_m[r])
-    q, r = q[sure], r[sure]
-    links = np.bincount(q, weights=members["copies"].to_numpy()[r], minlength=len(ids)).astype(np.int64)
-    root: dict[int, int] = {}
-
-    def find(a: int) -> int:
-        while root.setdefault(a, a) != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        return a
-
-    for a, b in zip(ids[q].tolist(), nodes[r].tolist(), strict=True):
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-    asked = dict(zip(ids.tolist(), links.tolist(), strict=True))
-    every = sorted(set(root) | set(asked))
-    return pd.DataFrame({"node": every, "links": [asked.get(v, 0) for v in every], "root": [find(v) for v in every]}).astype("int64")
-
-
-def link_vectors(vectors: DataFrame, least: float = COSINE, cell: int = CELL, overlap: int = OVERLAP) -> DataFrame:
+def _homes(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, dim: int) -> Iterator[pa.RecordBatch]:
+    """Each class with the cell of its nearest centroid and its cosine to that."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
+            sims = _unit(_dense(part.column(1), dim)[0]) @ centroids.T
+            home = np.argmax(sims, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), pa.array(sims[np.arange(len(home)), home]), *part.columns], names=["cell", "cosine", "node", "v", "copies"])
+
+
+def reachable(x: np.ndarray, home: np.ndarray, centroids: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> np.ndarray:
+    """(rows, cells): whether the cell can hold a vector whose cosine to the row is ``least`` or more.
+
+    ``low`` and ``high`` bound the cosine of the cell's members to its centroid; members are nearer to it than to any
+    other centroid.
+    """
+    slack = 1e-6
+    if least <= 0:
+        return np.ones((len(x), len(centroids)), bool)
+    sims = x @ centroids.T
+    own = centroids[home]
+    apart = np.sqrt(np.maximum(0, (own**2).sum(axis=1)[:, None] + (centroids**2).sum(axis=1) - 2 * own @ centroids.T))
+    wide = np.arccos(min(1.0, least))
+    plane = sims[np.arange(len(x)), home][:, None] - sims <= np.sin(wide) * apart + slack
+    angle = np.arccos(np.clip(sims, -1, 1))
+    ring = (angle - wide <= np.arccos(np.clip(low - slack, -1, 1)) + slack) & (angle + wide >= np.arccos(np.clip(high + slack, -1, 1)) - slack)
+    found = plane & ring
+    found[np.arange(len(x)), home] = True
+    return found
+
+
+def _visits(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, low: np.ndarray, high: np.ndarray, group: np.ndarray, groups: int, dim: int, least: float) -> Iterator[pa.RecordBatch]:
+    """Each class with its own group and, as a list, all groups it has to visit."""
+    order = np.argsort(group, kind="stable")
+    begin = np.searchsorted(group[order], np.arange(groups))  # every group has a cell
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
+            home = part.column(0).to_numpy()
+            cells = reachable(_unit(_dense(part.column(2), dim)[0]), home, centroids, low, high, least)
+            to = np.logical_or.reduceat(cells[:, order], begin, axis=1)
+            ends = np.concatenate([[0], np.cumsum(to.sum(axis=1))]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(to)[1], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(group[home], pa.int64()), listed, *part.columns[1:]], names=["own", "to", "node", "v", "copies"])
+
+
+def _roots(root: np.ndarray) -> np.ndarray:
+    while True:
+        above = root[root]
+        if (above == root).all():
+            return root
+        root = above
+
+
+def _joined(root: np.ndarray, rows: np.ndarray, columns: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """``root`` after the places ``rows`` and ``columns`` are joined where ``hit`` says so."""
+    while True:
+        root = _roots(root)
+        open_ = hit & (root[rows][:, None] != root[columns])
+        down, across = open_.any(axis=1), open_.any(axis=0)
+        if not down.any():
+            return root
+        pairs = [(rows[down], columns[open_[down].argmax(axis=1)]), (rows[open_[:, across].argmax(axis=0)], columns[across])]
+        for a, b in zip(np.concatenate([p[0] for p in pairs]).tolist(), np.concatenate([p[1] for p in pairs]).tolist(), strict=True):
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+
+
+def _compared(held: pa.Table, dim: int, least: float) -> pa.Table:
+    """All classes of two blocks (or of one) to rows (node, links, root)."""
+    x, size = _dense(held["v"], dim)
+    x = _unit(x)
+    rough, near = x.astype(np.float32), (dim + 8) * 1.2e-7  # rounding of a product in single precision
+    own, i, j = (held[c].to_numpy() for c in ("block", "i", "j"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    copies, links, root = held["copies"].to_numpy().astype(float), np.zeros(len(x)), np.arange(len(x))
+    same, even = i[0] == j[0], len(np.unique(size)) == 1
+    step = max(1, STRIP // max(1, len(right)))
+    for lo in range(0, len(left) if len(right) else 0, step):
+        rows = left[lo : lo + step]
+        sims = rough[rows] @ rough[right].T
+        hit = sims >= least - near
+        if not hit.any():
+            continue
+        a, b = np.nonzero(hit & (sims < least + near))
+        for at in range(0, len(a), 100_000):
+            s = slice(at, at + 100_000)
+            hit[a[s], b[s]] = np.einsum("ij,ij->i", x[rows[a[s]]], x[right[b[s]]]) >= least
+        if same:
+            hit[np.arange(len(rows)), lo + np.arange(len(rows))] = False
+        if not even:
+            hit &= size[rows][:, None] == size[right]
+        down = hit.any(axis=1)
+        rows, hit = rows[down], hit[down]
+        across = hit.any(axis=0)
+        columns, hit = right[across], hit[:, across]
+        grid = hit.astype(float)
+        links[rows] += grid @ copies[columns]
+        if not same:
+            links[columns] += copies[rows] @ grid
+        root = _joined(root, rows, columns, hit)
+    some = np.flatnonzero((links > 0) | (root != np.arange(len(x))))
+    nodes = held["node"].to_numpy()
+    return pa.table({"node": pa.array(nodes[some], pa.int64()), "links": pa.array(links[some].astype(np.int64)), "root": pa.array(nodes[root[some]], pa.int64())})
+
+
+def link_vectors(vectors: DataFrame, least: float = COSINE, cell: int = CELL) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     A vector that is null, empty, zero, or has null or non-finite components links with nothing; vectors of unequal
@@ -222,23 +196,30 @@ def link_vectors(vectors: DataFrame, least: float = COSINE, cell: int = CELL, ov
     share = min(1.0, most / facts["n"])
     picked = classes.filter(F.xxhash64("node", F.lit(SEED)) / F.lit(2.0**64) + 0.5 < share).orderBy("node").limit(2 * most).select("v").collect()
     sample = _unit(_matrix([r["v"] for r in picked], dim)) if picked else np.eye(1, dim)
-    centroids = fit_centroids(sample, cells).astype(np.float32)
-    dealt = cut(classes.select("node", "v", "copies").mapInArrow(lambda it: _assign(it, centroids, overlap, dim), "cell long, home boolean, node long, v array<double>, copies long"))
-    sizes = {r["cell"]: (r["n"], r["q"]) for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("home"), 1)).alias("q")).collect()}  # at most MOST_CELLS
-    parts = F.element_at(F.lit([max(1, -(-sizes.get(i, (0, 0))[0] // PART)) for i in range(len(centroids))]), (F.col("cell") + 1).cast("int"))
-    asks = F.element_at(F.lit([max(1, -(-sizes.get(i, (0, 0))[1] // PART)) for i in range(len(centroids))]), (F.col("cell") + 1).cast("int"))
-    members = dealt.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts))
-    near = members.groupBy("cell", "part").applyInPandas(lambda f: _built(f, dim), "node long, near array<long>")
-    united = cut(near.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))  # a list per part of a class
-    held = members.join(united, "node").select("cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), asks - 1)).alias("block"), F.lit(False).alias("asks"), "node", "v", "copies", "near")
-    asking = dealt.filter("home").withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), asks)).select("cell", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "block", F.lit(True).alias("asks"), "node", "v", "copies", F.lit(None).cast("array<long>").alias("near"))
-    found = cut(held.unionByName(asking).groupBy("cell", "part", "block").applyInPandas(lambda f: _searched(f, dim, least), "node long, links long, root long"))
+    centroids = fit_centroids(sample, cells)
+    dealt = cut(classes.select("node", "v", "copies").mapInArrow(lambda it: _homes(it, centroids, dim), "cell long, cosine double, node long, v array<double>, copies long"))
+    facts_of = {r["cell"]: r for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("low"), F.max("cosine").alias("high")).collect()}  # at most MOST_CELLS
+    used = sorted(facts_of)
+    number = np.zeros(len(centroids), np.int64)
+    number[used] = np.arange(len(used))
+    centroids, sizes = centroids[used], np.array([facts_of[c]["n"] for c in used])
+    low, high = (np.array([facts_of[c][k] for c in used]) for k in ("low", "high"))
+    part = max(1, min(PART, PART_BYTES // (8 * dim)))
+    group = np.unique(np.argmax(centroids @ fit_centroids(centroids, -(-facts["n"] // part)).T, axis=1), return_inverse=True)[1]
+    blocks = -(-np.bincount(group, sizes).astype(np.int64) // part)  # of each group
+    first, groups = np.cumsum(blocks) - blocks, len(blocks)
+    at = lambda column, values: F.element_at(F.lit(values.tolist()), (F.col(column) + 1).cast("int"))
+    visits = dealt.select(at("cell", number).alias("cell"), "node", "v", "copies").mapInArrow(lambda it: _visits(it, centroids, low, high, group, groups, dim, least), "own long, to array<long>, node long, v array<double>, copies long")
+    placed = visits.select((at("own", first) + F.pmod(F.xxhash64("node", F.lit(1)), at("own", blocks))).alias("block"), F.explode("to").alias("group"), "node", "v", "copies")
+    met = placed.select("block", F.explode(F.sequence(at("group", first), at("group", first + blocks) - 1)).alias("other"), "node", "v", "copies")
+    pairs = met.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "v", "copies")
+    found = cut(pairs.groupBy("i", "j").applyInArrow(lambda held: _compared(held, dim, least), "node long, links long, root long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = cut(classes.select("node", "copies", "least").join(counts, "node", "left").join(labels, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "least", F.coalesce("component", "node").alias("c")))
     best = known.groupBy("c").agg(F.min("least").alias("best"))
     named = cut(known.join(best, "c").select("node", "n_links", F.col("best.vec_id").alias("component_id")))
-    drop(classes, dealt, united, found, known)
+    drop(classes, dealt, found, known)
     out = rows.select("vec_id", "node").join(named, "node", "left")
     alone = F.col("n_links").isNull()
     component = F.when(alone, F.col("vec_id")).otherwise(F.col("component_id"))

@@ -148,3 +148,20 @@ def test_vectors_oracle(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DIR}/embeddings.parquet'")
     assert sorted(tuple(r) for r in embeddings.op7_embeddings(spark, DIR).collect()) == sorted(con.execute(embeddings.OP7_SQL).fetchall())
+
+
+def test_every_link_of_vectors_is_found(spark, monkeypatch):
+    """A dense third over many cells, and isolated pairs near the threshold in random directions."""
+    monkeypatch.setattr(embeddings, "PART", 300)
+    g = np.random.default_rng(5)
+    x = g.normal(size=(2400, 64))
+    x[:800] = x[0] + 0.2 * g.normal(size=(800, 64))
+    x[1600:] = x[800:1600] + 0.47 * g.normal(size=(800, 64))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embeddings.link_vectors(df, cell=32).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert [got[i]["n_links"] for i in range(2400)] == near.sum(axis=1).tolist()
+    root = union_find(2400, np.argwhere(near).tolist())
+    assert len({(root[i], got[i]["component_id"]) for i in range(2400)}) == len(set(root)) == sum(got[i]["kept"] for i in range(2400))
