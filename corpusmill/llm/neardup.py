@@ -9,8 +9,8 @@ Two sets agree in a coordinate with the probability of their weighted Jaccard si
 Equal sets are one class from the start. Classes that share a band are candidates: each is compared with a few hubs
 of its bucket. Candidates that hang together form a cluster; where a cluster then still holds several components, its
 classes are compared block by block, all pairs inside a task, which only gives back the links that join components.
-Clusters too large for that get longer bands instead, and pairs of different components that share one are compared.
-All comparisons are of whole shingle sets.
+Only sets of sizes too unlike to reach the threshold are not brought together. This is so for clusters of any number of
+classes; no link within a cluster is missed. All comparisons are of whole shingle sets.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ ROWS, BANDS = 5, 25  # a pair at 0.8 shares no band with probability (1 - 0.8 **
 HUBS = 4
 CROWD = 32  # a bucket of more classes has one hub, the one that shares most
 BLOCK, BLOCK_BYTES = 400, 1 << 20  # classes, and bytes of their sets, that are compared with as many others in one task
-CLUSTER = 25_600  # classes of a cluster that is compared block by block; larger ones go by longer bands
-STEEP_ROWS, STEEP_BANDS = 16, 200  # a pair at 0.8 shares no such band with probability 0.003, one at 0.62 shares one with 0.09
 FIRST_BAND = 0.125  # height of the lowest rank region
 SLACK = 3.0  # darts: k * (ln k + SLACK); coordinates that stay empty get a further rank region
 SET_BITS = 40  # of a shingle's hash, when sets are compared
@@ -201,7 +199,8 @@ def _packed(batches: Iterator[pa.RecordBatch], size: int, counted: bool) -> Iter
         e, w, sizes = sets_of(texts_of(batch.column(1)), size, counted)
         ends = np.cumsum(sizes)
         blobs = [pack_set(e[z - n : z], w[z - n : z], counted) for z, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["node", "content"])
+        mass = [float(w[z - n : z].sum()) for z, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary()), pa.array(mass, pa.float64())], names=["node", "content", "mass"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -246,12 +245,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, size: int = SHINGLE
     clusters = cut(components(pairs))
     open_ = cut(_open(clusters, labels))
     if open_.limit(1).count():
-        more = _within(open_.filter(F.col("n") <= CLUSTER), contents, least, counted)
-        large = open_.filter(F.col("n") > CLUSTER)
-        if large.limit(1).count():
-            steep = cut(large.join(contents, "node").select("node", "c", "content").mapInArrow(_steep, "node binary, c binary, keys array<long>"))
-            more = more.unionByName(_linked(_across(steep.select("node", "c", F.explode("keys").alias("key")), pairs), contents, least))
-        more = cut(more)
+        more = cut(_within(open_, contents, least, counted))
         if more.limit(1).count():
             labels = cut(components(links.unionByName(more)))
     drop(shared, pairs, contents, clusters, open_)
@@ -279,7 +273,7 @@ def _contents(own: DataFrame, nodes: DataFrame, needed: DataFrame, size: int, co
     """The sets of the needed classes, made again from one text of each."""
     want = cut(nodes.select("node", F.col("r.doc_id").alias("rep"), F.col("r.tie").alias("rtie")).join(needed, "node", "left_semi"))
     texts = own.join(want.hint("merge"), (F.coalesce("doc_id", F.lit(0)) == F.coalesce("rep", F.lit(0))) & own["doc_id"].eqNullSafe(want["rep"]) & (F.col("tie") == F.col("rtie"))).select("node", "text")
-    out = cut(texts.mapInArrow(lambda it: _packed(it, size, counted), "node binary, content binary").groupBy("node").agg(F.min("content").alias("content")), "uncompressed")
+    out = cut(texts.mapInArrow(lambda it: _packed(it, size, counted), "node binary, content binary, mass double").groupBy("node").agg(F.min("content").alias("content"), F.min("mass").alias("mass")), "uncompressed")
     drop(want)
     return out
 
@@ -300,20 +294,34 @@ def _open(clusters: DataFrame, labels: DataFrame) -> DataFrame:
 def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool) -> DataFrame:
     """Links between components of one cluster: its classes are dealt to blocks, and each pair of blocks is compared in one task.
 
-    A task holds two blocks and gives back no more links than it takes to join what belongs together.
+    Blocks hold sets of one level of size; a set 1 / ``least`` times as large is one level up at most, so levels farther
+    apart have no links. A task holds two blocks and gives back no more links than it takes to join what belongs together.
     """
-    held = cut(open_.join(contents, "node"), "uncompressed")
-    blocks = F.greatest(F.ceil(F.max("n") / BLOCK), F.ceil(F.sum(F.octet_length("content")) / BLOCK_BYTES)).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = held.join(held.groupBy("cluster").agg(blocks.alias("blocks")), "cluster").withColumn("own", own)
-    dealt = dealt.select("node", "c", "cluster", "content", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    keyed = dealt.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "c", "content")
-    return keyed.groupBy("cluster", "i", "j").applyInPandas(lambda f: _compared(f, least, counted), "a binary, b binary")
+    level = F.floor(F.log(F.col("mass")) / (1.0001 * np.log(1 / least) + 1e-9)).cast("long") if least > 0 else F.lit(0).cast("long")  # a little wider, for rounding
+    held = cut(open_.join(contents, "node").withColumn("level", level), "uncompressed")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("content")) / BLOCK_BYTES)).cast("int")
+    sizes = cut(held.groupBy("cluster", "level").agg(blocks.alias("blocks"), F.min("c").alias("c0"), F.max("c").alias("c1")))
+    near = sizes.select("cluster", F.col("level").alias("low"), F.col("blocks").alias("below"), "c0", "c1").join(sizes.select("cluster", (F.col("level") - 1).alias("low"), F.col("blocks").alias("above"), F.col("c0").alias("d0"), F.col("c1").alias("d1")), ["cluster", "low"])
+    near = near.filter((F.least("c0", "d0") != F.greatest("c1", "d1"))).select("cluster", "low", "below", "above")
+    alone = sizes.filter("c0 <> c1").select("cluster", F.col("level").alias("low"), F.col("blocks").alias("below"), F.lit(None).cast("int").alias("above"))
+    h = F.xxhash64("node")
+    own = lambda n: F.pmod(h, F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = ["node", "c", "content"]
+    same = held.withColumnRenamed("level", "low").join(alone, ["cluster", "low"]).select("cluster", "low", own("below").alias("own"), upto("below").alias("other"), *kept)
+    same = same.select("cluster", "low", F.lit(False).alias("two"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *kept)
+    under = held.withColumnRenamed("level", "low").join(near, ["cluster", "low"]).select("cluster", "low", F.lit(True).alias("two"), own("below").alias("i"), upto("above").alias("j"), *kept)
+    over = held.withColumn("low", F.col("level") - 1).join(near, ["cluster", "low"]).select("cluster", "low", F.lit(True).alias("two"), upto("below").alias("i"), own("above").alias("j"), *kept)
+    keyed = same.unionByName(under).unionByName(over)
+    return keyed.groupBy("cluster", "low", "two", "i", "j").applyInPandas(lambda f: _compared(f, least, counted), "a binary, b binary")
 
 
 def _compared(frame: pd.DataFrame, least: float, counted: bool) -> pd.DataFrame:
+    c = frame["c"].tolist()
+    if len(set(c)) < 2:
+        return pd.DataFrame([], columns=["a", "b"])
     sets = [unpack_set(x) for x in frame["content"]]
-    n, c = len(sets), frame["c"].tolist()
+    n = len(sets)
     sizes = np.array([w.sum() for _, w in sets])
     both = np.zeros((n, n))
     if counted:
@@ -350,29 +358,6 @@ def _compared(frame: pd.DataFrame, least: float, counted: bool) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _steep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of longer bands: pairs clearly below the threshold rarely share one."""
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 40):
-            batch = whole.slice(lo, 40)
-            sets = [unpack_set(x) for x in batch.column(2).to_pylist()]
-            e = np.concatenate([_mix(x << np.uint64(64 - SET_BITS)) for x, _ in sets])
-            owner = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
-            keys = band_keys(signatures(e, np.concatenate([w for _, w in sets]), owner, len(sets), STEEP_ROWS * STEEP_BANDS, 2), STEEP_ROWS)
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * STEEP_BANDS), pa.array(keys.ravel(), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), listed], names=["node", "c", "keys"])
-
-
-def _across(at: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components, one of them outside the bucket's largest, that were not compared."""
-    per = at.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    top = per.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("top.c").alias("main"))
-    open_ = cut(at.join(top, "key"))
-    few = open_.filter("c <> main").select("key", F.col("node").alias("x"), F.col("c").alias("cx"))
-    met = few.join(open_.select("key", F.col("node").alias("y"), F.col("c").alias("cy")), "key").filter("cx <> cy")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-
-
 def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     grouped = cut(nodes.select("node", "r").join(labels, "node", "left").select("node", "r", F.coalesce("component", "node").alias("c")))
     best = grouped.groupBy("c").agg(F.min("r").alias("best"))

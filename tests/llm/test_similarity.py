@@ -165,3 +165,41 @@ def test_every_link_of_vectors_is_found(spark, monkeypatch):
     assert [got[i]["n_links"] for i in range(2400)] == near.sum(axis=1).tolist()
     root = union_find(2400, np.argwhere(near).tolist())
     assert len({(root[i], got[i]["component_id"]) for i in range(2400)}) == len(set(root)) == sum(got[i]["kept"] for i in range(2400))
+
+
+def test_large_cluster_loses_no_pair(spark, monkeypatch):
+    """Pairs at exactly 0.8 that no hub link joins, in one cluster of more classes than CLUSTER (if there is such a limit)."""
+    monkeypatch.setattr(neardup, "CLUSTER", 100, raising=False)
+
+    def one_cluster(shared):
+        nodes = shared.select("node").distinct()
+        pairs = nodes.crossJoin(nodes.agg(F.min("node").alias("hub"))).filter("node <> hub")
+        return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+
+    monkeypatch.setattr(neardup, "_hub_pairs", one_cluster)
+    rows = []
+    for i in range(1500):
+        w = [f"w{i}x{k}" for k in range(94)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:84] + [f"v{i}x{k}" for k in range(10)]))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["doc_id"] for r in got if r["class_id"] != r["doc_id"] - r["doc_id"] % 2] == []
+
+
+@pytest.mark.parametrize("counted", [False, True])
+def test_levels_of_size(spark, monkeypatch, counted):
+    """Sets of unlike sizes, over several levels and blocks, against brute force on the sets."""
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    g = np.random.default_rng(3)
+    sets = []
+    for _ in range(12):
+        base = np.unique(g.integers(0, 2**62, 400).astype(np.uint64) << np.uint64(1))
+        for n in [400, 360, 330, 321, 320, 300, 260, 240, 120]:
+            e = np.sort(g.permutation(base)[:n]) if n % 2 else base[:n]
+            sets.append((e, g.integers(1, 3, len(e)).astype(float) if counted else np.ones(len(e))))
+    nodes = [bytes([i]) for i in range(len(sets))]
+    contents = spark.createDataFrame([(v, bytearray(neardup.pack_set(e, w, counted)), float(w.sum())) for v, (e, w) in zip(nodes, sets, strict=True)], "node binary, content binary, mass double")
+    open_ = spark.createDataFrame([(v, v, nodes[0], len(nodes)) for v in nodes], "node binary, c binary, cluster binary, n long")
+    found = neardup._within(open_, contents, 0.8, counted).collect()
+    short = [neardup.unpack_set(neardup.pack_set(e, w, counted)) for e, w in sets]
+    want = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if neardup.similarity(short[i], short[j]) >= 0.8]
+    assert union_find(len(sets), [(r["a"][0], r["b"][0]) for r in found]) == union_find(len(sets), want)
