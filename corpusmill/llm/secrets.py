@@ -4,6 +4,8 @@ Source and configuration text is read as names, operators and literals. Pairs of
 sensitive the name is and by what the literal looks like; a name that is assigned another name or a sum of literals
 takes over their constants, so a key that reaches a sensitive name by way of a plain one is found where it stands.
 Base spans are always kept; an added span (kind ``literal``) is left out where a base span already covers it.
+The length of a literal, a name or a sum and the number of constants are not limited: patterns never go back over what
+they took, and a sum is held as its parts with a count of its characters, not as text.
 """
 
 from __future__ import annotations
@@ -36,11 +38,12 @@ SENSITIVE = (
 NAME_HINTS = ("passw", "pwd", "passphrase", "secret", "key", "token", "bearer", "credential", "auth", "salt", "pin")
 PLACEHOLDER = re.compile(r"^(?:change_?me|example|placeholder|your[_-]?\w+|x{4,}|\*{3,}|none|null|true|false|todo)$|^[$<{%]", re.I | re.A)
 THRESHOLD = 0.7
-LEAST, MOST = 6, 4096  # code points of a literal
-_STRING = r""""(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`"""
+LEAST = 6  # code points of a literal
+HEAD = 64  # code points by which a placeholder is known
+_STRING = r""""[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"""
 LEX = re.compile(
-    rf"""(?<![\w.-])(?P<q>["'`]?)(?P<name>[A-Za-z_][\w.-]{{0,100}}+)(?P=q)[\x20\t]{{0,20}}(?P<op>:=|=>|:(?!:)|=(?!=))[\x20\t]{{0,20}}"""
-    rf"""(?P<value>(?:{_STRING}|[A-Za-z_][\w.-]{{0,100}}+(?![\w.+/=-])|[^\s"'`,;(){{}}\[\]]{{1,4096}})(?:[\x20\t]{{0,20}}\+[\x20\t]{{0,20}}(?:{_STRING}|[A-Za-z_][\w.-]{{0,100}}+)){{0,50}})""",
+    rf"""(?<![\w.-])(?P<q>["'`]?)(?P<name>[A-Za-z_][\w.-]*+)(?P=q)[\x20\t]*+(?P<op>:=|=>|:(?!:)|=(?!=))[\x20\t]*+"""
+    rf"""(?P<value>(?:{_STRING}|[A-Za-z_][\w.-]*+(?![\w.+/=-])|[^\s"'`,;(){{}}\[\]]++)(?:[\x20\t]*+\+[\x20\t]*+(?:{_STRING}|[A-Za-z_][\w.-]*+))*+)""",
     re.A,
 )
 OPERAND = re.compile(rf"{_STRING}|[^\s+\"'`]+(?:\+(?=[^\s\"'`])[^\s+\"'`]+)*", re.A)
@@ -62,20 +65,69 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     return out
 
 
-def entropy(s: str) -> float:
-    return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values()) if s else 0.0
-
-
 def name_weight(name: str) -> float:
     return max((w for p, w in SENSITIVE if p.search(name)), default=0.0)
 
 
-def literal_weight(value: str) -> float:
+class Value:
+    """What a name holds: the places of its literals, and what the characters of all of them are, counted."""
+
+    __slots__ = ("parts", "head", "size", "_counts", "taken")
+
+    def __init__(self, text: str, parts: list[Span | Value]) -> None:
+        self.parts, self.taken, self._counts = parts, False, None
+        self.head, self.size = "", 0
+        for p in parts:
+            head, size = (p.head, p.size) if isinstance(p, Value) else (text[p[0] : min(p[1], p[0] + HEAD)], p[1] - p[0])
+            if len(self.head) == self.size:
+                self.head = (self.head + head)[:HEAD]
+            self.size += size
+        if len(parts) > 1:  # a sum of sums may be far longer than the text
+            self._counts = Counter()
+            for p in parts:
+                self._counts.update(p.counts(text) if isinstance(p, Value) else Counter(text[p[0] : p[1]]))
+
+    def counts(self, text: str) -> Counter:
+        if self._counts is None:
+            self._counts = Counter(text[slice(*self.parts[0])])
+        return self._counts
+
+    def spans(self) -> list[Span]:
+        """Those places that were not asked for before."""
+        out, open_ = [], [self]
+        while open_:
+            v = open_.pop()
+            if not v.taken:
+                v.taken = True
+                out += [p for p in v.parts if not isinstance(p, Value)]
+                open_ += [p for p in v.parts if isinstance(p, Value)]
+        return out
+
+
+def entropy(counts: Counter, size: int) -> float:
+    return -sum(c / size * math.log2(c / size) for c in counts.values()) if size else 0.0
+
+
+def _placeholder(head: str, counts: Counter, size: int) -> bool:
+    if not PLACEHOLDER.search(head):
+        return False
+    if size == len(head) or head[0] in "$<{%":
+        return True
+    same = {"x": counts["x"] + counts["X"], "*": counts["*"]}.get(head[0].lower())  # a long one is a run of these,
+    other = lambda c: sum(n for x, n in c.items() if not re.match(r"\w", x, re.A))  # noqa: E731  or "your" and a word
+    return same == size if same is not None else other(counts) == other(Counter(head))
+
+
+def weight_of(head: str, counts: Counter, size: int) -> float:
     """0 to 0.4, and negative for what is no secret."""
-    if PLACEHOLDER.search(value) or len(value) < LEAST or len(value) > MOST or any(c.isspace() for c in value):
+    if size < LEAST or _placeholder(head, counts, size) or any(c.isspace() for c in counts):
         return -1.0
-    kinds = sum(any(f(c) for c in value) for f in (str.isdigit, str.isupper, str.islower)) + any(not c.isalnum() for c in value)
-    return min(0.4, 0.1 * (kinds - 1) + 0.1 * (entropy(value) >= 3.0) + 0.1 * (len(value) >= 16))
+    kinds = sum(any(f(c) for c in counts) for f in (str.isdigit, str.isupper, str.islower)) + any(not c.isalnum() for c in counts)
+    return min(0.4, 0.1 * (kinds - 1) + 0.1 * (entropy(counts, size) >= 3.0) + 0.1 * (size >= 16))
+
+
+def literal_weight(value: str) -> float:
+    return weight_of(value[:HEAD], Counter(value), len(value))
 
 
 def lexed_spans(text: str) -> list[Span]:
@@ -85,38 +137,41 @@ def lexed_spans(text: str) -> list[Span]:
     low = text.lower()
     if not any(h in low for h in NAME_HINTS):
         return []
-    constants: dict[str, tuple[tuple[Span, ...], str]] = {}
+    constants: dict[str, Value] = {}
     found: set[Span] = set()
     for m in LEX.finditer(text):
-        spans: list[Span] = []
-        value, opaque = "", False
-        for part in OPERAND.finditer(m["value"]):
-            at, got = m.start("value") + part.start(), part[0]
+        parts: list[Span | Value] = []
+        opaque = False
+        for part in OPERAND.finditer(text, *m.span("value")):
+            at, got = part.start(), part[0]
             if got[0] in "\"'`" and len(got) > 1:
-                spans.append((at + 1, at + len(got) - 1))
-                value += got[1:-1]
+                parts.append((at + 1, at + len(got) - 1))
             elif PLAIN_NAME.match(got) and got in constants:
-                spans += constants[got][0]
-                value += constants[got][1]
+                parts.append(constants[got])
             elif m["op"] in (":", "=") and not PLAIN_NAME.match(got):
-                spans.append((at, at + len(got)))
-                value += got
+                parts.append((at, at + len(got)))
             else:
                 opaque = True
-        if not spans or opaque or len(value) > MOST:
+        if not parts or opaque:
             constants.pop(m["name"], None)
             continue
-        if len(constants) < 10_000 or m["name"] in constants:
-            constants[m["name"]] = (tuple(spans[:50]), value)
-        if (weight := name_weight(m["name"])) and weight + literal_weight(value) >= THRESHOLD:
-            found.update(s for s in spans if s[1] > s[0])
+        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(text, parts)
+        constants[m["name"]] = value
+        if (weight := name_weight(m["name"])) and weight + weight_of(value.head, value.counts(text), value.size) >= THRESHOLD:
+            found.update(s for s in value.spans() if s[1] > s[0])
     return sorted(found)
 
 
 def scan(text: str) -> tuple[dict[str, list[Span]], list[Span]]:
     base = base_spans(text)
-    covered = [s for k in BASE for s in base[k]]
-    return base, [s for s in lexed_spans(text) if not any(a <= s[0] and s[1] <= z for a, z in covered)]
+    covered, more, at, upto = sorted(s for k in BASE for s in base[k]), [], 0, 0
+    for s in lexed_spans(text):
+        while at < len(covered) and covered[at][0] <= s[0]:
+            upto = max(upto, covered[at][1])
+            at += 1
+        if s[1] > upto:
+            more.append(s)
+    return base, more
 
 
 def _joined(spans: list[tuple[int, int, str, int]]) -> str:

@@ -143,6 +143,20 @@ def test_secret_propagation():
     assert "Zk39dkL0aQ11zz" not in secrets.redact(text) and secrets.redact(None) is None
 
 
+def test_secrets_without_limits():
+    """Many constants, sums of many parts, long literals and names, and sums that double each time."""
+    found = lambda text: {text[a:z] for a, z in secrets.lexed_spans(text)}
+    many = "".join(f'c{i} = "plain{i}"\n' for i in range(10_500))
+    assert found(many + 'k = "Zk39dkL0aQ11zz"\ndb_pwd = k\n') == {"Zk39dkL0aQ11zz"}
+    parts = [f"Aa1!{i:03}" for i in range(120)]
+    assert found("db_pwd = " + " + ".join(f'"{x}"' for x in parts)) == set(parts)
+    key = "Zk39dkL0aQ" * 30_000
+    assert found(f'credential = "{key}"') == found(f"pwd: '{key}'") == {key}
+    assert found(f'{"n" * 500} = "Zk39dkL0aQ11zz"\npwd{" " * 50}= {"n" * 500}') == {"Zk39dkL0aQ11zz"}
+    assert found('a0 = "Zk39dkL0aQ11zz"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(200)) + "pwd = a200") == {"Zk39dkL0aQ11zz"}
+    assert found(f'pwd = "your{"word1A" * 50}"') == found(f'pwd = "{"x" * 5000}"') == set()
+
+
 def test_suffix_sort(rng):
     for size in (8, 12, 20):
         data = np.frombuffer("".join(rng.choice(["abc ", "foo ", "é", "q"]) for _ in range(300)).encode(), np.uint8)
