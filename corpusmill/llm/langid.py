@@ -186,12 +186,32 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of over ROW_CHARS code points become some of their words, drawn by hash, and texts without words go."""
+    for batch in slices(batches, 2, 4 << 20):
+        texts = texts_of(batch.column(2))
+        for i, t in enumerate(texts):
+            if len(t) > ROW_CHARS:
+                words = WORDS.findall(t)
+                drawn, room = [], ROW_CHARS
+                for k in sorted(range(len(words)), key=lambda k: zlib.crc32(k.to_bytes(8, "little"))):
+                    if room <= 0:
+                        break
+                    drawn.append(words[k][:room])
+                    room -= len(words[k]) + 1
+                texts[i] = " ".join(drawn)
+        some = pa.array([WORDS.search(t) is not None for t in texts], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["lang", "h", "text"]).filter(some)
+
+
 def train(docs: DataFrame, path: str) -> Model:
     """Learns from a bounded sample of the rows that are not held out and have text and lang.
 
     A row is in the sample by a hash of its id and text, so reruns agree; all rows are read to find it, and counts of
-    the languages (the priors) cover all rows. Languages beyond the LANGUAGES most frequent ones are not learned.
+    the languages (the priors) cover all rows. A text longer than ROW_CHARS gives that many characters of its words.
+    Languages beyond the LANGUAGES most frequent ones are not learned.
     """
+    workers_can_import(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     sizes = {r["lang"]: r["count"] for r in found}
@@ -199,7 +219,8 @@ def train(docs: DataFrame, path: str) -> Model:
         return Model([], np.zeros(0), np.zeros((1, 0)), path)
     share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, 3.0 * ROWS / n)))]), F.col("lang"))
     h = F.xxhash64("doc_id", "text")
-    near = rows.withColumn("h", h).filter((F.col("h") / F.lit(2.0**64) + 0.5 < share) & (F.length("text") <= ROW_CHARS))
+    near = rows.withColumn("h", h).filter((F.col("h") / F.lit(2.0**64) + 0.5 < share))
+    near = near.select("lang", "h", "text").mapInArrow(_bounded, near.select("lang", "h", "text").schema)
     first = Window.partitionBy("lang").orderBy("h")
     sample = near.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= ROWS).select("lang", "text").collect()
     counts: dict[str, Counter] = {k: Counter() for k in sorted(sizes)}

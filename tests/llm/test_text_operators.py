@@ -120,6 +120,15 @@ def test_language_edges(spark):
     assert langid.predict(rows, nothing).filter("lang_pred <> 'und' or score <> 0").count() == 0
 
 
+def test_language_of_long_texts_is_learned(spark):
+    """All labelled texts of a language are longer than ROW_CHARS."""
+    rows = [(i, "the cat and the dog", "en") for i in range(20)] + [(100 + i, " " * 30_000 + "der hund und die katze " * 1500, "de") for i in range(20)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.default_vocabulary())
+    assert model.languages == ["de", "en"]
+    asked = spark.createDataFrame([(1, "the dog"), (2, "die katze und der hund")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, model).collect()} == {1: "en", 2: "de"}
+
+
 def test_forward_sums_all_segmentations():
     vocab = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}
     p = np.append(np.array([0.3, 0.2, 0.1, 0.15, 0.25]), 0)[:, None]
