@@ -306,9 +306,10 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no contaminated row; all columns stay."""
-    bad = cut(find_benchmark(docs, benchmark, **kw).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` whose own text is not contaminated (by its 64-bit hash, whatever the doc_id); all columns stay."""
+    own = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = cut(find_benchmark(own, benchmark, **kw).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct())
+    return docs.join(bad, F.xxhash64(docs["text"]) == bad["_bad"], "left_anti")
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:

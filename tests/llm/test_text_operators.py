@@ -94,6 +94,13 @@ def test_decontamination_empty(spark):
     assert digest(contamination(spark, [(1, "a b")], []))[0][:4] == (1, 2, 0, 0)
 
 
+def test_clean_keeps_clean_rows_of_a_shared_id(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, f"x {item} y", 1), (None, "clean text of no id", 2), (7, item, 3), (7, "another clean text", 4), (7, None, 5), (8, "", 6)], "doc_id long, text string, n int")
+    left = dec.clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), least_items=1)
+    assert left.columns == docs.columns and sorted(r["n"] for r in left.collect()) == [2, 4, 5, 6]
+
+
 def test_near_terms():
     s = dec.Segment.build([1, 2], [b"a x x b c", b"b a"])
     key = lambda w: dec.word_keys(np.frombuffer(w, np.uint8))
