@@ -2,8 +2,12 @@
 
 The vocabulary is that of a public tokenizer; each language has a probability for every piece, estimated by
 expectation-maximisation. A word's probability is the sum over all ways to cut it into pieces (forward algorithm), a
-text's the product over its words, and the prediction the language with the largest posterior. Pieces never cross
+text's the product over all its words, and the prediction the language with the largest posterior. Pieces never cross
 words, so words are scored once and remembered.
+
+What is learned from is a sample of bounded size per language, whatever the number of languages: at most ``ROWS`` rows
+of ``ROW_CHARS`` code points each, of which the ``TYPES`` most frequent words count. Each language is learned in a task
+of its own; the driver holds one probability per piece and language.
 """
 
 from __future__ import annotations
@@ -16,21 +20,21 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import own_cache, slices, table, texts_of, workers_can_import
+from .common import fresh, own_cache, slices, table, texts_of, workers_can_import
 
-#: The sample that is learned from, at most: rows a language, code points a row, languages, word types a language.
-ROWS, ROW_CHARS, LANGUAGES, TYPES = 200, 20_000, 200, 4000
+#: The sample that is learned from, at most: rows a language, code points a row, word types a language.
+ROWS, ROW_CHARS, TYPES = 200, 20_000, 4000
 ROUNDS = 4
 SMOOTH = 0.05  # added to the expected count of every piece
 UNKNOWN = 1e-7  # probability of a character that no piece has, in every language
-LONGEST = 16  # code points of a piece
-EVIDENCE = 30  # words that count in full; more raise the certainty no further
+SHORT = 40  # code points of a word up to which all words of one length are scored at once; longer ones are rescaled as they grow
 REMEMBER = 300_000  # scored words that a worker keeps
 UND = "und"
 WORDS = re.compile(r"[^\W\d_]+")
@@ -43,21 +47,32 @@ def vocabulary(path: str) -> dict[str, int]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
-    kept = sorted({q for p in pieces if len(q := p.lower()) <= LONGEST and q.strip("▁").isalpha() and "▁" not in q[1:]})
+    kept = sorted({q for p in pieces if (q := p.lower()).strip("▁").isalpha() and "▁" not in q[1:]})
     return {p: i for i, p in enumerate(kept)}
 
 
+_longest: dict[int, tuple[dict, int]] = {}
+
+
+def longest(vocab: dict[str, int]) -> int:
+    """Code points of the longest piece."""
+    known = _longest.get(id(vocab))
+    if known is None or known[0] is not vocab:
+        known = _longest[id(vocab)] = (vocab, max(map(len, vocab), default=1))
+    return known[1]
+
+
 def marked(word: str) -> str:
     return "▁" + word
 
 
 def _cuts(words: list[str], vocab: dict[str, int]) -> np.ndarray:
     """For words of one length: piece of (word, start, length - 1), or the last index (no piece)."""
-    n, none = len(words[0]), len(vocab)
+    n, none, most = len(words[0]), len(vocab), longest(vocab)
     get = vocab.get
-    flat = [get(w[i : i + k], none) for w in words for i in range(n) for k in range(1, min(LONGEST, n - i) + 1)]
-    out = np.full((len(words), n, min(LONGEST, n)), none, dtype=np.int32)
-    shape = np.array([k <= n - i for i in range(n) for k in range(1, min(LONGEST, n) + 1)]).reshape(n, -1)
+    flat = [get(w[i : i + k], none) for w in words for i in range(n) for k in range(1, min(most, n - i) + 1)]
+    out = np.full((len(words), n, min(most, n)), none, dtype=np.int32)
+    shape = np.array([k <= n - i for i in range(n) for k in range(1, min(most, n) + 1)]).reshape(n, -1)
     out[:, shape] = np.array(flat, dtype=np.int32).reshape(len(words), -1)
     return out
 
@@ -81,15 +96,14 @@ def forward(p: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def _long_word(word: str, vocab: dict[str, int], p: np.ndarray) -> np.ndarray:
     """Log probabilities of a word of any length, rescaled at each step."""
-    none, a, scale = len(vocab), [np.ones(p.shape[1])], 0.0
+    none, most, a, scale = len(vocab), longest(vocab), [np.ones(p.shape[1])], np.zeros(p.shape[1])
     for j in range(1, len(word) + 1):
         got = np.zeros(p.shape[1])
-        for k in range(1, min(LONGEST, j) + 1):
+        for k in range(1, min(most, j) + 1):
             q = p[vocab.get(word[j - k : j], none)]
             got += a[-k] * (np.maximum(q, UNKNOWN) if k == 1 else q)
-        top = got.max()
-        a, scale = [x / top for x in a[-LONGEST + 1 :]] + [got / top], scale + np.log(top)
-    return np.log(np.maximum(a[-1], 1e-300)) + scale
+        a, scale = [x / got for x in a[max(0, len(a) - most + 1) :]] + [np.ones(p.shape[1])], scale + np.log(got)
+    return scale
 
 
 def word_logs(words: list[str], vocab: dict[str, int], p: np.ndarray) -> np.ndarray:
@@ -99,7 +113,7 @@ def word_logs(words: list[str], vocab: dict[str, int], p: np.ndarray) -> np.ndar
     for i, w in enumerate(words):
         by.setdefault(len(w) + 1, []).append(i)
     for n, at in by.items():
-        if n > 40:
+        if n > SHORT:
             for i in at:
                 out[i] = _long_word(marked(words[i]), vocab, p)
             continue
@@ -110,17 +124,22 @@ def word_logs(words: list[str], vocab: dict[str, int], p: np.ndarray) -> np.ndar
 
 
 def learn_pieces(counts: Counter, vocab: dict[str, int]) -> np.ndarray:
-    """Piece probabilities of one language from word counts, by EM over all segmentations."""
+    """Piece probabilities of one language from word counts, by EM over all segmentations.
+
+    A word longer than SHORT (as in scripts without spaces) is learned from as several, each of at most that length.
+    """
     v = len(vocab)
     groups = []
-    by: dict[int, list[str]] = {}
-    for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:TYPES]:
-        if len(w) < 40:
-            by.setdefault(len(w), []).append(w)
-    for words in by.values():
+    by: dict[int, Counter] = {}
+    for word, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:TYPES]:
+        w = marked(word)
+        for at in range(0, len(w), SHORT):
+            by.setdefault(len(w[at : at + SHORT]), Counter())[w[at : at + SHORT]] += n
+    for found in by.values():
+        words = sorted(found)
         for lo in range(0, len(words), 2000):
             part = words[lo : lo + 2000]
-            groups.append((_cuts([marked(w) for w in part], vocab), np.array([counts[w] for w in part], dtype=float)))
+            groups.append((_cuts(part, vocab), np.array([found[w] for w in part], dtype=float)))
     p = np.append(np.full(v, 1.0 / max(1, v)), 0.0)
     for _ in range(ROUNDS):
         expected = np.full(v + 1, SMOOTH)
@@ -174,7 +193,7 @@ class Model:
                 scores.append(0.0)
                 continue
             at = np.fromiter(map(known.__getitem__, ws), dtype=np.int64, count=len(ws))
-            total = self._logs[0][at].sum(axis=0, dtype=np.float64) * min(1.0, EVIDENCE / len(ws)) + self.priors
+            total = self._logs[0][at].sum(axis=0, dtype=np.float64) + self.priors
             best = int(np.argmax(total))
             langs.append(self.languages[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
@@ -204,31 +223,34 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["lang", "h", "text"]).filter(some)
 
 
+def _learned(frame: pd.DataFrame, path: str) -> pd.DataFrame:
+    """The sampled texts of one language to its piece probabilities."""
+    counts: Counter = Counter()
+    for t in frame["text"]:
+        counts.update(WORDS.findall(t.lower()))
+    return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "pieces": [learn_pieces(counts, vocabulary(path)).tobytes()]})
+
+
 def train(docs: DataFrame, path: str) -> Model:
     """Learns from a bounded sample of the rows that are not held out and have text and lang.
 
     A row is in the sample by a hash of its id and text, so reruns agree; all rows are read to find it, and counts of
     the languages (the priors) cover all rows. A text longer than ROW_CHARS gives that many characters of its words.
-    Languages beyond the LANGUAGES most frequent ones are not learned.
+    Every language with a text that has a letter is learned; an empty table gives a model that knows none.
     """
     workers_can_import(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    sizes = {r["lang"]: r["count"] for r in found}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return Model([], np.zeros(0), np.zeros((1, 0)), path)
-    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, 3.0 * ROWS / n)))]), F.col("lang"))
-    h = F.xxhash64("doc_id", "text")
-    near = rows.withColumn("h", h).filter((F.col("h") / F.lit(2.0**64) + 0.5 < share))
+    share = F.element_at(F.create_map(*[x for k, n in sorted(sizes.items()) for x in (F.lit(k), F.lit(min(1.0, 3.0 * ROWS / n)))]), F.col("lang"))
+    near = rows.withColumn("h", F.xxhash64("doc_id", "text")).filter((F.col("h") / F.lit(2.0**64) + 0.5 < share))
     near = near.select("lang", "h", "text").mapInArrow(_bounded, near.select("lang", "h", "text").schema)
-    first = Window.partitionBy("lang").orderBy("h")
-    sample = near.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= ROWS).select("lang", "text").collect()
-    counts: dict[str, Counter] = {k: Counter() for k in sorted(sizes)}
-    for r in sample:
-        counts[r["lang"]].update(WORDS.findall(r["text"].lower()))
-    languages = [k for k in counts if counts[k]]
-    vocab = vocabulary(path)
-    pieces = np.stack([learn_pieces(counts[k], vocab) for k in languages], axis=1) if languages else np.zeros((1, 0))
+    first = Window.partitionBy("lang").orderBy("h", "text")
+    sample = near.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= ROWS).select("lang", "text")
+    learned = {r["lang"]: np.frombuffer(r["pieces"]) for r in sample.groupBy("lang").applyInPandas(lambda f: _learned(f, path), "lang string, pieces binary").collect()}
+    languages = sorted(learned)
+    pieces = np.stack([learned[k] for k in languages], axis=1) if languages else np.zeros((1, 0))
     priors = np.log(np.array([sizes[k] for k in languages], dtype=float) / max(1, sum(sizes[k] for k in languages)))
     return Model(languages, priors, pieces, path)
 
@@ -247,12 +269,14 @@ def _shared(model: Model) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus the predicted language and its posterior (0 to 1).
+    """All columns of ``docs`` plus, as the last two, the predicted language and its posterior (0 to 1).
 
-    A null text and a text without a letter are ``und`` with score 0; so is every text if nothing was learned. Only
-    the text is looked at. Equal posteriors go to the first language in order.
+    Where ``docs`` has a column of such a name, the new one gets underscores in front. A null or empty text and a text
+    without a letter are ``und`` with score 0; so is every text if nothing was learned. All words of a text count, however
+    many. Only the text is looked at, so equal rows get equal results. Equal posteriors go to the first language in order.
     """
     spark = docs.sparkSession
+    lang, score = fresh(docs, lang), fresh(docs, score)
     workers_can_import(spark)
     shared = spark.sparkContext.broadcast(model)
     place = docs.columns.index(text)

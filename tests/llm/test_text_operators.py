@@ -1,4 +1,5 @@
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -136,6 +137,57 @@ def test_language_of_long_texts_is_learned(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, model).collect()} == {1: "en", 2: "de"}
 
 
+def test_language_many_and_clashing_names(spark):
+    """More languages than any list would hold, one in words longer than any that are scored at once; names that clash."""
+    rows = [(k * 4 + i, f"{chr(0x4E00 + k) * 3} {chr(0x4E00 + k)}a", f"l{k:03}") for k in range(230) for i in range(2)] + [(5000 + i, "ㄱㄴㄷ" * 40, "long") for i in range(4)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.default_vocabulary())
+    assert len(model.languages) == 231
+    asked = spark.createDataFrame([(1, chr(0x4E00 + 229) * 3, 0.5, "x")] * 2 + [(2, "ㄱㄴㄷ" * 41, 0.5, "x")], "doc_id long, text string, score double, lang_pred string")
+    got = langid.predict(asked, model)
+    assert got.columns == ["doc_id", "text", "score", "lang_pred", "_lang_pred", "_score"]
+    assert [(r["score"], r["_score"] > 0) for r in got.collect()] == [(0.5, True)] * 3
+    assert langid.predict(asked.limit(0), model).count() == 0
+    assert langid.train(asked.limit(0).withColumn("lang", F.lit("x")), langid.default_vocabulary()).languages == []
+
+
+def log_word(word, pieces, unknown):
+    """Log of the sum over all segmentations, straight from the definition, piece by piece from the left."""
+    a = [0.0]
+    for j in range(1, len(word) + 1):
+        terms = []
+        for i in range(j):
+            q = pieces.get(word[i:j], 0.0)
+            q = max(q, unknown) if j - i == 1 else q
+            if q > 0:
+                terms.append(a[i] + math.log(q))
+        top = max(terms)
+        a.append(top + math.log(sum(math.exp(x - top) for x in terms)))
+    return a[-1]
+
+
+def test_language_against_brute_force(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    model = langid.train(docs, langid.default_vocabulary())
+    vocab = langid.vocabulary(model.path)
+    names = [{p: model.pieces[i, k] for p, i in vocab.items() if model.pieces[i, k] > 0} for k in range(len(model.languages))]
+    known: dict = {}
+    want = {}
+    for r in docs.collect():
+        words = langid.WORDS.findall(r["text"].lower())
+        total = model.priors.copy()
+        for w in words:
+            if w not in known:
+                known[w] = np.array([log_word("▁" + w, p, langid.UNKNOWN) for p in names])
+            total = total + known[w]
+        best = int(np.argmax(total))
+        want[r["doc_id"]] = (model.languages[best] if words else "und", zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2, 1 / np.exp(total - total[best]).sum() if words else 0.0)
+    got = langid.op4_langid(spark, DIR).collect()
+    assert len(got) == len(want)
+    for r in got:
+        lang, held, score = want[r["doc_id"]]
+        assert (r["lang_pred"], r["held_out"]) == (lang, held) and r["score"] == pytest.approx(score, abs=1e-4)
+
+
 def test_forward_sums_all_segmentations():
     vocab = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}
     p = np.append(np.array([0.3, 0.2, 0.1, 0.15, 0.25]), 0)[:, None]
