@@ -30,27 +30,26 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], cap: int, share:
     """Columns src, source_size, target (double): one row per source.
 
     Sources in code point order, null last, get the weights in turn. The level ``v`` with
-    ``sum(least(cap * size, v * weight)) = share * total`` is found by capping sources until none is above; each
-    round brings two sums to the driver, never the sources.
+    ``sum(least(cap * size, v * weight)) = share * total`` is found in one pass over the sources in the order in which
+    they reach their cap: the first at which the rest of the budget is reached before the cap gives it. One row goes
+    to the driver, never the sources.
     """
     per_source = sized.groupBy("src").agg(F.sum("size").alias("source_size"))
-    order = [F.col("src").isNull(), F.col("src")]
-    sources = ranked(per_source, order, "place")
+    name = [F.col("src").isNull(), F.col("src")]
+    sources = ranked(per_source, name, "place")
     wheel = F.array(*[F.lit(int(w)) for w in weights])
-    sources = cut(sources.withColumn("weight", F.element_at(wheel, (F.col("place") % len(weights) + 1).cast("int"))))
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    budget = int(total * share) if share != 1 else int(total)
     bound = F.col("source_size") * cap
-    level, known = None, -1
-    while True:
-        capped = F.lit(False) if level is None else F.col("weight") * F.lit(level) > bound
-        row = sources.agg(F.sum(F.when(capped, bound).otherwise(0)), F.sum(F.when(capped, 0).otherwise(F.col("weight"))), F.count(F.when(capped, 1))).first()
-        if row[2] == known or not row[1]:
-            break
-        level, known = (budget - row[0]) / row[1], row[2]
-    level = 0.0 if level is None else level
-    want = F.col("weight") * F.lit(float(level))
-    return sources.select("src", "source_size", F.when(want > bound, bound.cast("double")).otherwise(want).alias("target"))
+    sources = sources.withColumn("weight", F.element_at(wheel, (F.col("place") % len(weights) + 1).cast("int"))).withColumn("bound", bound)
+    sources = cut(sources.withColumn("ratio", bound.cast("double") / F.col("weight")))
+    row = sources.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weight")).first()
+    total, heavy = int(row["total"] or 0), int(row["weight"] or 0)
+    budget = int(total * share) if share != 1 else total
+    filled = ranked(sources, [F.col("ratio"), *name], "turn", {"capped": "bound", "past": "weight"})
+    level = (F.lit(budget) - F.col("capped")).cast("double") / (F.lit(heavy) - F.col("past")).cast("double")
+    first = filled.select("turn", "ratio", level.alias("level")).filter(F.col("ratio") >= F.col("level")).agg(F.min(F.struct("turn", "level")).alias("s")).first()["s"]
+    most = sources.agg(F.max("ratio")).first()[0]
+    want = F.col("weight") * F.lit(float(first["level"] if first else most or 0.0))  # a budget beyond all caps fills them
+    return sources.select("src", "source_size", F.when(want > F.col("bound"), F.col("bound").cast("double")).otherwise(want).alias("target"))
 
 
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -80,7 +79,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, share: float = 1.0, row_id: str = "doc_id", text: str = "text", source: str = "source", out: str = "mix") -> DataFrame:
     """All rows of ``docs`` plus the struct ``out``: size, source_size, target, copies (how often the mix takes the row).
 
-    A null text has size 0; a null source is a source of its own, last in order. An empty table gives an empty one.
+    A null or empty text has size 0, a text of any length is counted whole; a null source is a source of its own, last
+    in order. An empty table gives an empty one. A column named as ``out`` stays; the new one gets underscores in front.
     Equal rows (same id and text) share a hash and so a fate. A target of 0 (a source without words) takes its rows 0
     times. No source is sampled or sorted; a hot source only fills more of its 4096 cells.
     """

@@ -45,6 +45,35 @@ def test_mixing_against_sql(spark, rng):
     assert sorted(got, key=str) == sorted((tuple(r) for r in op1(df.repartition(3)).collect()), key=str)
 
 
+def test_mixing_levels(spark, rng):
+    """Targets against water-filling by rounds, with many sources, ties and budgets beyond all caps."""
+    for share in (1, 4):
+        rows = [(i, " ".join(["w"] * rng.choice([0, 1, 1, 5, 50, 900])), f"s{rng.randint(0, 40)}") for i in range(300)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        size: dict = {}
+        for _, t, s in rows:
+            size[s] = size.get(s, 0) + len(t.split())
+        weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size))}
+        budget, capped = sum(size.values()) * share, set()
+        while True:
+            open_ = [s for s in size if s not in capped]
+            level = (budget - sum(3 * size[s] for s in capped)) / max(1, sum(weight[s] for s in open_)) if open_ else 0
+            more = {s for s in open_ if weight[s] * level > 3 * size[s]}
+            if not more:
+                break
+            capped |= more
+        want = {s: 3 * size[s] if s in capped else weight[s] * level for s in size}
+        got = {r["source"]: r["mix"]["target"] for r in mixing.mix(df, share=share).collect()}
+        assert got == pytest.approx(want)
+
+
+def test_mixing_long_text(spark):
+    rows = [(1, "word " * 400_000, "a"), (2, "one two", "b"), (3, "x" * 2_000_000, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r[0]: r for r in op1(df).collect()}
+    assert got[1][1] == 400_000 and got[3][1] == 1 and got[2][2] == 3 and got[2][3] == 9
+
+
 def test_mixing_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string, mix int")
     assert mixing.mix(empty).count() == 0 and mixing.mix(empty).columns == ["doc_id", "text", "source", "mix", "_mix"]
@@ -81,6 +110,28 @@ def test_pii_added(spark):
     assert [rows[i]["a"] for i in range(4)] == ["iban:5:27", "", "ssn:10:21", ""] and rows[4]["t"] == "mail <email> now"
 
 
+def test_pii_redacts_spans_not_values(spark):
+    """Where a value also stands inside a longer run that is no span, or two kinds overlap."""
+    texts = ["build 94111 1111 1111 1111000000", "xa@b.coz 4111111111111111 xa@b.coz", "call +378282246310005 now", "😀 a@b.co", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r["doc_id"]: r["t"] for r in pii.find_pii(df).select("doc_id", pii.redacted(F.col("text"), F.col("pii")).alias("t")).collect()}
+    assert rows == {0: texts[0], 1: "<email> <card> <email>", 2: "call <phone> now", 3: "😀 <email>", 4: None, 5: ""}
+
+
+def test_pii_scores(spark):
+    texts = ["mail a@b.co", "invoice a@b.co", "a@b.co", "server 10.0.0.1 and version 10.0.0.2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r["doc_id"]: r["s"] for r in pii.find_pii(df).select("doc_id", pii.scores(F.col("pii"), pii.BASE).alias("s")).collect()}
+    assert rows == {0: "100", 1: "60", 2: "90", 3: "60,30"}
+
+
+def test_pii_empty_and_repeated(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert pii.find_pii(empty).count() == 0
+    twice = spark.createDataFrame([(1, "a@b.co")] * 2 + [(None, "a@b.co")], "doc_id long, text string")
+    assert [len(r["pii"]["email"]) for r in pii.find_pii(twice).collect()] == [1, 1, 1]
+
+
 def test_pii_oracle(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
