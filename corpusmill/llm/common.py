@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import os
+import re
 import shutil
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,8 +38,11 @@ def workers_can_import(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which every executor sees; a local one only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_DEFAULT).rstrip("/")
+    """The folder of ``spark.checkpoint.dir``, which every executor sees; where it is unset, a local one if executors are local too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that every executor sees")
+    return (folder or LOCAL_DEFAULT).rstrip("/")
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
@@ -47,6 +53,42 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return path
 
 
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's URI (a plain path is a local one) and the path there, for code in tasks."""
+    uri = f"file://{folder}" if folder.startswith("/") else re.sub("^file:/(?=[^/])", "file:///", folder)
+    return fs.FileSystem.from_uri(uri)
+
+
+def put_file(folder: str, name: str, content: bytes) -> None:
+    """Writes a file under a name of this attempt and renames it, so no reader meets half a file.
+
+    A repeated attempt replaces the file by one with the same content.
+    """
+    system, path = file_system(folder)
+    system.create_dir(path, recursive=True)
+    own = f"{path}/{name}.{uuid.uuid4().hex}.tmp"
+    with system.open_output_stream(own, compression=None) as out:
+        out.write(content)
+    system.move(own, f"{path}/{name}")
+
+
+def get_file(folder: str, name: str) -> bytes:
+    system, path = file_system(folder)
+    with system.open_input_stream(f"{path}/{name}", compression=None) as held:
+        return held.read()
+
+
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int = 32) -> DataFrame:
+    """A join whose hot keys of ``many`` are dealt over ``salts`` tasks by ``spread``; the rows of ``few`` (few a key) are repeated."""
+    salt = fresh(many, "_salt")
+    left = many.withColumn(salt, F.pmod(spread, F.lit(salts)).cast("int"))
+    right = few.withColumn(salt, F.explode(F.lit(list(range(salts)))))
+    return left.join(right, [*on, salt], how).drop(salt)
+
+
+_made: list[list[DataFrame]] = []  # tables that were cut within each open ``tidying``
+
+
 def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: lineage ends here and a lost executor costs no recomputation."""
     spark = df.sparkSession
@@ -54,14 +96,46 @@ def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if _made:
+        _made[-1].append(out)
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop(*tables: DataFrame) -> None:
     """Deletes what ``cut`` wrote."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.stored_at)
+
+
+@contextlib.contextmanager
+def tidying() -> Iterator[list[DataFrame]]:
+    """Deletes, at the end, all tables that are cut within and still in the list."""
+    _made.append(held := [])
+    try:
+        yield held
+    finally:
+        _made.pop()
+        drop(*held)
+
+
+def tidy(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose result is cut and whose other tables are deleted."""
+
+    @functools.wraps(make)
+    def run(*args, **kw) -> DataFrame:
+        with tidying() as held:
+            out = cut(make(*args, **kw))
+            held.pop()  # cut last
+        if _made:
+            _made[-1].append(out)
+        return out
+
+    return run
 
 
 def fresh(df: DataFrame, name: str) -> str:
