@@ -1,9 +1,11 @@
 """Secret scans: base patterns, and assignment-aware lexing on top.
 
-Source and configuration text is read as names, operators and literals. Pairs of name and literal are scored by how
-sensitive the name is and by what the literal looks like; a name that is assigned another name or a sum of literals
-takes over their constants, so a key that reaches a sensitive name by way of a plain one is found where it stands.
-Base spans are always kept; an added span (kind ``literal``) is left out where a base span already covers it.
+Source and configuration text is read as names, operators and literals: assignments, mappings, quotes over several
+lines, indented blocks after ``name: |``, markup elements, and markup attributes of which one names (``key``, ``name``)
+what another holds (``value``). Pairs of name and literal are scored by how sensitive the name is and by what the literal
+looks like; a name that is assigned another name or a sum of literals takes over their constants, so a key that reaches a
+sensitive name by way of a plain one is found where it stands. A name that is used before it is assigned takes its first
+constant. Base spans are always kept; an added span (kind ``literal``) is left out where a base span already covers it.
 The length of a literal, a name or a sum and the number of constants are not limited: patterns never go back over what
 they took, and a sum is held as its parts with a count of its characters, not as text.
 """
@@ -40,14 +42,19 @@ PLACEHOLDER = re.compile(r"^(?:change_?me|example|placeholder|your[_-]?\w+|x{4,}
 THRESHOLD = 0.7
 LEAST = 6  # code points of a literal
 HEAD = 64  # code points by which a placeholder is known
-_STRING = r""""[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"""
+_TRIPLE = r'"""[^"\\]*+(?:(?:\\[\s\S]|"(?!""))[^"\\]*+)*+"""' + "|" + r"'''[^'\\]*+(?:(?:\\[\s\S]|'(?!''))[^'\\]*+)*+'''"
+_STRING = rf"""{_TRIPLE}|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"""
+_BLOCK = r"[|>][+-]?+[\x20\t]*+\r?+(?:\n[\x20\t]++[^\n]*+)++"  # indented lines
 LEX = re.compile(
+    rf"""<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<inner>[^<>]++)</(?P=tag)>|"""
     rf"""(?<![\w.-])(?P<q>["'`]?)(?P<name>[A-Za-z_][\w.-]*+)(?P=q)[\x20\t]*+(?P<op>:=|=>|:(?!:)|=(?!=))[\x20\t]*+"""
-    rf"""(?P<value>(?:{_STRING}|[A-Za-z_][\w.-]*+(?![\w.+/=-])|[^\s"'`,;(){{}}\[\]]++)(?:[\x20\t]*+\+[\x20\t]*+(?:{_STRING}|[A-Za-z_][\w.-]*+))*+)""",
+    rf"""(?:(?P<block>{_BLOCK})|(?P<value>(?:{_STRING}|[A-Za-z_][\w.-]*+(?![\w.+/=-])|[^\s"'`,;(){{}}\[\]<>]++)(?:[\x20\t]*+\+[\x20\t]*+(?:{_STRING}|[A-Za-z_][\w.-]*+))*+))""",
     re.A,
 )
 OPERAND = re.compile(rf"{_STRING}|[^\s+\"'`]+(?:\+(?=[^\s\"'`])[^\s+\"'`]+)*", re.A)
 PLAIN_NAME = re.compile(r"[A-Za-z_][\w.-]*\Z", re.A)
+NAMING, HOLDING = ("key", "name", "id", "property"), ("value", "content", "default")  # attributes of one element
+PEM = re.compile(r"\s*-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----")
 
 Span = tuple[int, int]
 
@@ -119,7 +126,9 @@ def _placeholder(head: str, counts: Counter, size: int) -> bool:
 
 
 def weight_of(head: str, counts: Counter, size: int) -> float:
-    """0 to 0.4, and negative for what is no secret."""
+    """0 to 0.4, and negative for what is no secret. Only a private key in its usual form may hold white space."""
+    if PEM.match(head):
+        return 0.4
     if size < LEAST or _placeholder(head, counts, size) or any(c.isspace() for c in counts):
         return -1.0
     kinds = sum(any(f(c) for c in counts) for f in (str.isdigit, str.isupper, str.islower)) + any(not c.isalnum() for c in counts)
@@ -132,36 +141,86 @@ def literal_weight(value: str) -> float:
 
 def lexed_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name and look like a secret: the places of their content."""
-    if not (":" in text or "=" in text):
+    if not (":" in text or "=" in text or "</" in text):
         return []
     low = text.lower()
     if not any(h in low for h in NAME_HINTS):
         return []
     constants: dict[str, Value] = {}
+    first: dict[str, Value] = {}
+    open_: list[tuple[str, list]] = []  # assignments with names that have no constant yet
     found: set[Span] = set()
+
+    def assigned(name: str, parts: list[Span | Value]) -> None:
+        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(text, parts)
+        constants[name] = value
+        first.setdefault(name, value)
+        if (weight := name_weight(name)) and weight + weight_of(value.head, value.counts(text), value.size) >= THRESHOLD:
+            found.update(s for s in value.spans() if s[1] > s[0])
+
+    attribute: tuple[str, Span, int] | None = None  # the attribute just before: its name, content and end
     for m in LEX.finditer(text):
-        parts: list[Span | Value] = []
+        if m["tag"]:
+            a, z = m.span("inner")
+            assigned(m["tag"], [(a + len(m["inner"]) - len(m["inner"].lstrip()), z - len(m["inner"]) + len(m["inner"].rstrip()))])
+            continue
+        if m["block"]:
+            a, z = m.span("block")
+            a = text.index("\n", a, z) + 1
+            assigned(m["name"], [(a + len(text[a:z]) - len(text[a:z].lstrip()), z)])
+            continue
+        parts: list = []
         opaque = False
         for part in OPERAND.finditer(text, *m.span("value")):
             at, got = part.start(), part[0]
             if got[0] in "\"'`" and len(got) > 1:
-                parts.append((at + 1, at + len(got) - 1))
-            elif PLAIN_NAME.match(got) and got in constants:
-                parts.append(constants[got])
-            elif m["op"] in (":", "=") and not PLAIN_NAME.match(got):
+                quote = 3 if len(got) >= 6 and got[:3] in ('"""', "'''") else 1
+                parts.append((at + quote, at + len(got) - quote))
+            elif PLAIN_NAME.match(got):
+                parts.append(constants.get(got, got))
+            elif m["op"] in (":", "="):
                 parts.append((at, at + len(got)))
             else:
                 opaque = True
+        name, before = m["name"], attribute
+        literal = len(parts) == 1 and isinstance(parts[0], tuple)
+        attribute = (name.lower(), parts[0], m.end()) if literal and m["op"] == "=" else None
+        if attribute and before and not text[before[2] : m.start()].strip():
+            pair = {before[0]: before[1], attribute[0]: attribute[1]}
+            named, held = (next((pair[k] for k in kinds if k in pair), None) for kinds in (NAMING, HOLDING))
+            if named and held:
+                assigned(text[slice(*named)].strip(), [held])
         if not parts or opaque:
-            constants.pop(m["name"], None)
-            continue
-        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(text, parts)
-        constants[m["name"]] = value
-        if (weight := name_weight(m["name"])) and weight + weight_of(value.head, value.counts(text), value.size) >= THRESHOLD:
-            found.update(s for s in value.spans() if s[1] > s[0])
+            constants.pop(name, None)
+        elif any(isinstance(p, str) for p in parts):
+            constants.pop(name, None)
+            open_.append((name, parts))
+        else:
+            assigned(name, parts)
+    _settle(open_, first, assigned)
     return sorted(found)
 
 
+def _settle(open_: list[tuple[str, list]], first: dict[str, Value], assigned) -> None:
+    """Assignments of names that got their constant only later, each as soon as all its names have one; circles stay open."""
+    waiting: dict[str, list[int]] = {}
+    missing = [{p for p in parts if isinstance(p, str)} for _, parts in open_]
+    for i, names in enumerate(missing):
+        for n in names:
+            waiting.setdefault(n, []).append(i)
+    ready = [n for n in waiting if n in first]
+    while ready:
+        n = ready.pop()
+        for i in waiting.pop(n, ()):
+            missing[i].discard(n)
+            if not missing[i]:
+                name, parts = open_[i]
+                known = name in first
+                assigned(name, [first[p] if isinstance(p, str) else p for p in parts])
+                if not known and name in waiting:
+                    ready.append(name)
+
+
 def scan(text: str) -> tuple[dict[str, list[Span]], list[Span]]:
     base = base_spans(text)
     covered, more, at, upto = sorted(s for k in BASE for s in base[k]), [], 0, 0
