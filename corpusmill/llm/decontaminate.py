@@ -1,10 +1,11 @@
 """Benchmark decontamination with a positional inverted index.
 
 The index is partitioned by documents: each segment holds, for every term of its documents, the sorted list of its
-positions. Positions run through a segment with a gap after each document, so a phrase never crosses one. A test
-phrase is looked up by intersecting the offset-adjusted lists of its terms, the rarest first; two terms within a
-distance are found in the same way. Any task can hold any segment, so neither a frequent term nor a frequent passage
-meets in one task. The benchmark is read in blocks of bounded size, each searched in all segments.
+positions. Positions run through a segment with a gap after each document, so a phrase never crosses one. Test
+phrases are looked up by intersecting the offset-adjusted lists of their terms, the rarest first, all phrases of a block
+at once; terms near each other are found from the rarest in the same way. Any task can hold any segment, so neither a
+frequent term nor a frequent passage meets in one task. The benchmark is read in blocks of bounded size; the text of one
+block is what tasks are sent, and they make its windows, as flat arrays, themselves.
 
 Words of up to 7 bytes are their own keys; longer ones have two independent hashes of 63 and 64 bits, and building a
 segment fails if two different pairs ever share the first.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +24,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, slices, table, workers_can_import
+from .common import cut, drop, own_cache, slices, table, tidy, workers_can_import
 
 WINDOW = 8
 SEGMENT_BYTES = 4 << 20  # text bytes of a segment
-BLOCK_BYTES = 16 << 20  # text bytes of a benchmark block: the bound of what is sent to every task
+BLOCK_BYTES = 4 << 20  # text bytes of a benchmark block (a longer item is a block of its own): the bound of what is sent to every task
+AT_ONCE = 1 << 20  # candidate places, and words of windows, that a task looks up at once
 INDEX = "segment long, n_docs long, content binary"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -80,12 +83,22 @@ def keyed_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return key, second, np.diff(np.searchsorted(starts, edges), prepend=0)
 
 
+def _stretches(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Cuts a row of sizes into stretches of about ``most`` in all; a larger single one is a stretch of its own."""
+    upto, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 class Segment:
     """Postings of some documents."""
 
     def __init__(self, docs: np.ndarray, null: np.ndarray, counts: np.ndarray, terms: np.ndarray, seconds: np.ndarray, offsets: np.ndarray, places: np.ndarray):
         self.docs, self.null, self.counts, self.terms, self.seconds, self.offsets, self.places = docs, null, counts, terms, seconds, offsets, places
         self.first = np.concatenate([[0], np.cumsum(counts + 1)[:-1]]).astype(np.int64) if len(counts) else np.zeros(0, np.int64)
+        self._listed: np.ndarray | None = None
 
     @classmethod
     def build(cls, docs: list[int | None], texts: list[bytes]) -> Segment:
@@ -137,22 +150,63 @@ class Segment:
     def postings(self, term: int) -> np.ndarray:
         return self.places[self.offsets[term] : self.offsets[term + 1]]
 
-    def phrase(self, terms: np.ndarray) -> np.ndarray:
-        """Starts of all occurrences of a sequence of terms (places in the dictionary), by the rarest first."""
-        sizes = self.offsets[terms + 1] - self.offsets[terms]
-        found = None
-        for j in np.argsort(sizes, kind="stable").tolist():
-            own = self.postings(int(terms[j])).astype(np.int64) - j
-            if found is None:
-                found = own
-            elif len(own) > 16 * len(found):
-                at = np.minimum(np.searchsorted(own, found), len(own) - 1)
-                found = found[own[at] == found]
-            else:
-                found = np.intersect1d(found, own, assume_unique=True)
-            if not len(found):
-                break
-        return found
+    @property
+    def listed(self) -> np.ndarray:
+        """All postings as one sorted array of term and position, in which any list is looked up."""
+        if self._listed is None:
+            terms = np.repeat(np.arange(len(self.terms), dtype=np.uint64), np.diff(self.offsets))
+            self._listed = terms << np.uint64(32) | self.places.astype(np.uint64)
+        return self._listed
+
+    def holds(self, terms: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether each place (-1 and below: none) is in its term's list."""
+        if not len(self.listed):
+            return np.zeros(len(places), bool)
+        asked = terms.astype(np.uint64) << np.uint64(32) | np.maximum(places, 0).astype(np.uint64)
+        at = np.minimum(np.searchsorted(self.listed, asked), len(self.listed) - 1)
+        return (self.listed[at] == asked) & (places >= 0)
+
+    def phrases(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, start) of all occurrences of phrases: rows of places in the dictionary, filled up with -1.
+
+        The rarest term's list gives the candidates; the other lists, shifted by the offset of their term, cut them down.
+        """
+        sizes = np.append(np.diff(self.offsets), np.iinfo(np.int64).max)[terms]  # nothing is rarer than what is not there
+        order = np.argsort(sizes, axis=1, kind="stable")
+        rows = np.arange(len(terms))
+        least = sizes[rows, order[:, 0]]
+        who, start = [], []
+        for lo, hi in _stretches(least, AT_ONCE):
+            part = rows[lo:hi]
+            n = least[part]
+            w = np.repeat(part, n)
+            head = terms[part, order[part, 0]]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.offsets[head], n)
+            s = self.places[at].astype(np.int64) - order[w, 0]
+            for j in range(1, terms.shape[1]):
+                t = terms[w, order[w, j]]
+                keep = (t < 0) | self.holds(np.maximum(t, 0), s + order[w, j])
+                w, s = w[keep], s[keep]
+            keep = s >= 0
+            who.append(w[keep])
+            start.append(s[keep])
+        return (np.concatenate(who), np.concatenate(start)) if who else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def within(self, terms: np.ndarray, reach: int) -> np.ndarray:
+        """Places of any of the distinct terms from which on ``reach`` words hold all of them, in one document."""
+        lists = sorted((self.postings(t).astype(np.int64) for t in terms.tolist()), key=len)
+        rare, found = lists[0], []
+        for own in lists:  # a place that lies at most reach - 1 before one of the rarest term
+            next_ = np.searchsorted(rare, own)
+            near = rare[np.minimum(next_, len(rare) - 1)] if len(rare) else own
+            found.append(own[(next_ < len(rare)) & (near - own < reach)])
+        s = np.unique(np.concatenate(found))
+        doc = self.doc_of(s)
+        end = np.minimum(s + reach, self.first[doc] + self.counts[doc])
+        for own in lists:
+            has = np.searchsorted(own, end, side="left") > np.searchsorted(own, s, side="left")
+            s, end = s[has], end[has]
+        return s
 
     def near(self, a: int, b: int, within: int) -> np.ndarray:
         """Positions of term ``a`` that have term ``b`` at most ``within`` words away in the same document."""
@@ -195,54 +249,49 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
 
 
 class TestWindows:
-    """Windows of some items: for each distinct window its keys, and the items that have it."""
+    """The windows of some items, as places in the one array of all their words."""
 
     def __init__(self, items: list, texts: list[bytes], window: int = WINDOW):
         key, second, counts = keyed_texts(texts)
-        seen: dict[bytes, int] = {}
-        self.keys, self.seconds, self.items = [], [], []
-        at = 0
-        for item, n in zip(items, counts.tolist(), strict=True):
-            for j in range(max(1, n - window + 1) if n and item is not None else 0):
-                k, s = key[at + j : at + min(n, j + window)], second[at + j : at + min(n, j + window)]
-                where = seen.setdefault(k.tobytes() + s.tobytes(), len(self.keys))
-                if where == len(self.keys):
-                    self.keys.append(k)
-                    self.seconds.append(s)
-                    self.items.append([])
-                if str(item) not in self.items[where]:
-                    self.items[where].append(str(item))
-            at += n
-        self.sizes = np.array([len(k) for k in self.keys], dtype=np.int64)
-        self.ends = np.cumsum(self.sizes)
-        flat, back = np.unique(np.concatenate(self.keys) if self.keys else np.zeros(0, np.uint64), return_inverse=True)
-        alls = np.concatenate(self.seconds) if self.seconds else np.zeros(0, np.uint64)
-        self.terms, self.back = flat, back
-        self.second_of = np.zeros(len(flat), np.uint64)
-        self.second_of[back] = alls
-        if not (self.second_of[back] == alls).all():
+        self.names, name = np.unique(np.array([str(i) for i in items], dtype=object), return_inverse=True) if items else (np.zeros(0, object), np.zeros(0, int))
+        known = np.array([i is not None for i in items], dtype=bool)
+        n = np.where(known & (counts > 0), np.maximum(1, counts - window + 1), 0)
+        owner = np.repeat(np.arange(len(n)), n)
+        self.start = (np.cumsum(counts) - counts)[owner] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.size, self.name, self.window = np.minimum(counts[owner], window), name[owner].astype(np.int64), window
+        self.terms, self.back = np.unique(key, return_inverse=True)
+        self.second_of = np.zeros(len(self.terms), np.uint64)
+        self.second_of[self.back] = second
+        if not (self.second_of[self.back] == second).all():
             raise ValueError("two words of the benchmark share a key")
 
-    def hits(self, segment: Segment) -> tuple[dict[int, list[tuple[int, int]]], dict[int, set[str]]]:
-        """Per document of the segment: hit intervals of words, and items."""
-        spans: dict[int, list[tuple[int, int]]] = {}
-        items: dict[int, set[str]] = {}
-        if not self.keys:
-            return spans, items
-        where = segment.terms_of(self.terms, self.second_of)[self.back]
-        missing = np.add.reduceat((where < 0).astype(np.int64), self.ends - self.sizes)
-        for w in np.flatnonzero(missing == 0).tolist():
-            at = segment.phrase(where[self.ends[w] - self.sizes[w] : self.ends[w]])
-            if not len(at):
-                continue
+    def hits(self, segment: Segment) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows found in the segment: their numbers, the documents and the words at which they begin."""
+        where = np.append(segment.terms_of(self.terms, self.second_of)[self.back], -1)
+        missing = np.concatenate([[0], np.cumsum(where[:-1] < 0)])
+        alive = np.flatnonzero(missing[self.start + self.size] == missing[self.start])
+        out = []
+        for lo in range(0, len(alive), AT_ONCE // self.window):
+            w = alive[lo : lo + AT_ONCE // self.window]
+            places = self.start[w][:, None] + np.arange(self.window)
+            inside = np.arange(self.window) < self.size[w][:, None]
+            phrase, at = segment.phrases(where[np.where(inside, places, -1)])
             doc = segment.doc_of(at)
-            for d, a in zip(doc.tolist(), (at - segment.first[doc]).tolist(), strict=True):
-                spans.setdefault(d, []).append((a, a + int(self.sizes[w])))
-                items.setdefault(d, set()).update(self.items[w])
-        return spans, items
+            out.append((w[phrase], doc, at - segment.first[doc]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
 
 FOUND = "segment long, ordinal long, doc_id long, n_words long, spans array<struct<a: long, z: long>>, items array<string>"
+_blocks: dict[str, TestWindows] = {}
+
+
+def _windows(name: str, sent, window: int) -> TestWindows:
+    """The windows of the block that was sent under a name, made once in a worker."""
+    own_cache("decontaminate", _blocks.clear)
+    if name not in _blocks:
+        _blocks.clear()
+        _blocks[name] = TestWindows(*sent.value, window)
+    return _blocks[name]
 
 
 def _search(batches: Iterator[pa.RecordBatch], block: TestWindows, every: bool) -> Iterator[pa.RecordBatch]:
@@ -250,52 +299,70 @@ def _search(batches: Iterator[pa.RecordBatch], block: TestWindows, every: bool)
     for batch in batches:
         for number, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             segment = Segment.frombytes(content)
-            spans, items = block.hits(segment)
+            w, doc, a = block.hits(segment)
+            spans, items = _united(doc, a, a + block.size[w]), _named(doc, block.name[w], block.names)
             rows = range(len(segment.docs)) if every else sorted(spans)
             if not rows:
                 continue
             columns = [[number] * len(rows), list(rows), [None if segment.null[i] else int(segment.docs[i]) for i in rows], [int(segment.counts[i]) for i in rows]]
-            columns += [[[{"a": a, "z": z} for a, z in _union(spans.get(i, ()))] for i in rows], [sorted(items.get(i, ())) for i in rows]]
+            columns += [[spans.get(i, []) for i in rows], [items.get(i, []) for i in rows]]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["segment", "ordinal", "doc_id", "n_words", "spans", "items"])
 
 
-def _union(spans) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, z in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], z)
+def _united(doc: np.ndarray, a: np.ndarray, z: np.ndarray) -> dict[int, list[dict[str, int]]]:
+    """Stretches of words of each document that the intervals cover."""
+    order = np.lexsort((a, doc))
+    out: dict[int, list[dict[str, int]]] = {}
+    for d, x, y in zip(doc[order].tolist(), a[order].tolist(), z[order].tolist(), strict=True):
+        held = out.setdefault(d, [])
+        if held and x <= held[-1]["z"]:
+            held[-1]["z"] = max(held[-1]["z"], y)
         else:
-            out.append([a, z])
-    return [(a, z) for a, z in out]
+            held.append({"a": x, "z": y})
+    return out
+
+
+def _named(doc: np.ndarray, name: np.ndarray, names: np.ndarray) -> dict[int, list[str]]:
+    """Names found in each document, in order."""
+    out: dict[int, list[str]] = {}
+    pairs = np.unique(np.stack([doc, name]), axis=1) if len(doc) else np.zeros((2, 0), np.int64)
+    for d, k in zip(*pairs.tolist(), strict=True):
+        out.setdefault(d, []).append(names[k])
+    return out
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW) -> Iterator[TestWindows]:
-    """The benchmark (item_id, text), block by block; only one is on the driver at a time."""
+def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+    """The benchmark (item_id, text), block by block: ids and texts; only one is on the driver at a time."""
     items: list = []
     texts: list[bytes] = []
     held = 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
-        items.append(row[0])
-        texts.append((row[1] or "").encode())
-        held += len(texts[-1]) + 16
-        if held >= block_bytes:
-            yield TestWindows(items, texts, window)
+        text = (row[1] or "").encode()
+        if items and held + len(text) > block_bytes:
+            yield items, texts
             items, texts, held = [], [], 0
-    yield TestWindows(items, texts, window)
+        items.append(row[0])
+        texts.append(text)
+        held += len(text) + 16
+    yield items, texts
 
 
+@tidy
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_items: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, items (sorted as strings), spans (hit words), contaminated.
 
     A word is hit if it is in any occurrence of a window of an item. Null and empty texts have no words; an item
-    without words, or with a null item_id, has no windows. Rows that share a doc_id stay apart. Other columns of
-    either table are not looked at.
+    without words, or with a null item_id, has no windows. Rows that share a doc_id stay apart, equal rows get equal
+    results, and an empty table gives an empty one. A text of any length is one document of one segment. Other columns
+    of either table are not looked at.
     """
     index = build_index(docs)
     found = None
-    for k, block in enumerate(blocks_of(benchmark, window=window)):
-        part = index.select("segment", "content").mapInArrow(lambda it, b=block, every=k == 0: _search(it, b, every), FOUND)
+    for k, block in enumerate(blocks_of(benchmark)):
+        sent, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
+        part = index.select("segment", "content").mapInArrow(lambda it, n=name, b=sent, every=k == 0: _search(it, _windows(n, b, window), every), FOUND)
         part = cut(part)
+        sent.unpersist()
         found = part if found is None else found.unionByName(part)
     drop(index)
     if k:
@@ -305,6 +372,51 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return found.select("doc_id", "n_words", length.alias("n_hit"), "items", "spans", (F.size("items") >= least_items).alias("contaminated"))
 
 
+NEAR = "doc_id long, item_id string, n_words long, places array<long>"
+
+
+def _near(batches: Iterator[pa.RecordBatch], items: list, texts: list[bytes], reach: int) -> Iterator[pa.RecordBatch]:
+    key, second, counts = keyed_texts(texts)
+    ends = np.cumsum(counts)
+    for batch in batches:
+        for content in batch.column(0).to_pylist():
+            segment = Segment.frombytes(content)
+            terms = segment.terms_of(key, second)
+            rows: list[list] = [[], [], [], []]
+            for item, a, z in zip(items, (ends - counts).tolist(), ends.tolist(), strict=True):
+                own = np.unique(terms[a:z])
+                if item is None or a == z or own[0] < 0:
+                    continue
+                places = segment.within(own, reach)
+                doc = segment.doc_of(places)
+                begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else []
+                for lo, hi in zip(begins, [*begins[1:], len(doc)], strict=True):
+                    d = int(doc[lo])
+                    for column, x in zip(rows, (None if segment.null[d] else int(segment.docs[d]), str(item), int(segment.counts[d]), (places[lo:hi] - segment.first[d]).tolist()), strict=True):
+                        column.append(x)
+            if rows[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["doc_id", "item_id", "n_words", "places"])
+
+
+@tidy
+def find_near(docs: DataFrame, queries: DataFrame, reach: int = 20) -> DataFrame:
+    """Proximity matches: doc_id, item_id, n_words, places for each document and query (item_id, text) that meet.
+
+    ``places`` are the numbers of those words of the document that are words of the query and from which on ``reach``
+    words hold all distinct words of the query, in any order. Queries without words or with a null id match nothing;
+    null texts have no words. The index is searched once a block of queries.
+    """
+    index = build_index(docs)
+    found = None
+    for items, texts in blocks_of(queries):
+        sent = docs.sparkSession.sparkContext.broadcast((items, texts))
+        part = cut(index.select("content").mapInArrow(lambda it, b=sent: _near(it, *b.value, reach), NEAR))
+        sent.unpersist()
+        found = part if found is None else found.unionByName(part)
+    drop(index)
+    return found
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` whose own text is not contaminated (by its 64-bit hash, whatever the doc_id); all columns stay."""
     own = docs.select(F.xxhash64("text").alias("doc_id"), "text")
