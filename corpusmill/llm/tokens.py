@@ -1,11 +1,13 @@
 """Token ids as one wavelet matrix per shard, in ascending document order.
 
 A shard file holds, for every bit of the ids, one bit-plane (each plane orders the ids by the bits above it) and the
-number of set bits before each block, so a reader gets any token (access), the occurrences before a place (rank), all
-occurrences of an id (select) and counts from the one compressed file, without unpacking the ids.
+number of set bits before each block. Planes are compressed in chunks of their own, so a reader gets any token (access),
+the occurrences before a place (rank), all occurrences of an id (select) and counts from the one compressed file by
+reading its head and the chunks that hold the asked bits, one or two a plane; nothing else is read or unpacked.
 
 Shards are cut by exact running sums of text bytes in document order, so they do not depend on the partitions of a
-run. Files are rows of binary content that Spark commits through temporary names.
+run. Tasks write plain files under temporary names and rename them; the manifest (JSON lines), which Spark commits after
+all tasks, says which files there are.
 """
 
 from __future__ import annotations
@@ -25,22 +27,46 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, own_cache, ranked, reused_memory, scratch, slices, table, workers_can_import
+from .common import cut, file_system, get_file, own_cache, put_file, ranked, reused_memory, scratch, slices, table, tidy, tidying, workers_can_import
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 BLOCK = 512  # bytes of a plane between two stored ranks
+CHUNK = 16 << 10  # bytes of a plane that are compressed together
 SHARD_BYTES = 2 << 20  # text bytes of a shard
-MOST_SHARDS = 1 << 20  # bounds (8 bytes each) kept on the driver; shards grow beyond SHARD_BYTES before there are more
-FILES = "shard long, n_docs long, n_tokens long, content binary"
+MOST_SHARDS = 1 << 20  # a shard takes the larger of SHARD_BYTES and this share of all bytes; so many bounds (8 bytes each) go to each task
+MANIFEST = "shard long, part long, name string, n_docs long, n_tokens long, bytes long"
 SIGNS = ".,;:!?%$#&*()+=/@~"  # as the end of a word; no letter, digit, apostrophe or angle bracket
 CACHE = 750_000  # encoded words that a worker remembers
 ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
+class Plane:
+    """A bit-plane as an array of bytes, or as chunks of a file that are fetched when asked for."""
+
+    def __init__(self, size: int, held: np.ndarray | None = None, chunk=None):
+        self.size, self.held, self.chunk = size, held, chunk
+        self.known: dict[int, np.ndarray] = {}
+
+    def cut(self, a: int, z: int) -> np.ndarray:
+        if self.held is not None:
+            return self.held[a:z]
+        z = min(z, self.size)
+        if a >= z:
+            return np.zeros(0, np.uint8)
+        parts = []
+        for c in range(a // CHUNK, (z - 1) // CHUNK + 1):
+            if c not in self.known:
+                if len(self.known) >= 64:
+                    self.known.clear()
+                self.known[c] = self.chunk(c)
+            parts.append(self.known[c][max(0, a - c * CHUNK) : z - c * CHUNK])
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 class WaveletMatrix:
     """Planes and ranks of a sequence of ids below ``2 ** width``."""
 
-    def __init__(self, n: int, width: int, zeros: list[int], planes: list[np.ndarray], ranks: list[np.ndarray], docs: np.ndarray, lengths: np.ndarray):
+    def __init__(self, n: int, width: int, zeros: list[int], planes: list[Plane], ranks: list[np.ndarray], docs: np.ndarray, lengths: np.ndarray):
         self.n, self.width, self.zeros, self.planes, self.ranks, self.docs, self.lengths = n, width, zeros, planes, ranks, docs, lengths
 
     @classmethod
@@ -52,7 +78,7 @@ class WaveletMatrix:
             plane = np.packbits(bits)
             low, high = level.take(np.flatnonzero(~bits)), level.take(np.flatnonzero(bits))  # much faster than by mask
             zeros.append(len(low))
-            planes.append(plane)
+            planes.append(Plane(len(plane), plane))
             ranks.append(cls._ranks(plane))
             level = np.concatenate([low, high])
         none = np.zeros(0, dtype=np.int64)
@@ -69,21 +95,24 @@ class WaveletMatrix:
         """Set bits of plane k before place i."""
         byte, bit = divmod(i, 8)
         block = byte // BLOCK
-        count = int(self.ranks[k][block]) + int(ONES[self.planes[k][block * BLOCK : byte]].sum())
-        return count + (int(ONES[self.planes[k][byte] >> (8 - bit)]) if bit else 0)
+        held = self.planes[k].cut(block * BLOCK, byte + (bit > 0))
+        count = int(self.ranks[k][block]) + int(ONES[held[: byte - block * BLOCK]].sum())
+        return count + (int(ONES[held[byte - block * BLOCK] >> (8 - bit)]) if bit else 0)
 
     def _select(self, k: int, one: bool, j: int) -> int:
         """Place of the j-th (from 0) set or unset bit of plane k."""
         r = self.ranks[k].astype(np.int64)
         before = r if one else np.minimum(np.arange(len(r), dtype=np.int64) * BLOCK * 8, self.n) - r
         block = int(np.searchsorted(before, j, side="right")) - 1
-        bits = np.unpackbits(self.planes[k][block * BLOCK : (block + 1) * BLOCK])
+        bits = np.unpackbits(self.planes[k].cut(block * BLOCK, (block + 1) * BLOCK))
         return block * BLOCK * 8 + int(np.flatnonzero(bits == one)[j - int(before[block])])
 
     def access(self, i: int) -> int:
+        if not 0 <= i < self.n:
+            raise IndexError(i)
         value = 0
         for k in range(self.width):
-            bit = int(self.planes[k][i >> 3]) >> (7 - (i & 7)) & 1
+            bit = int(self.planes[k].cut(i >> 3, (i >> 3) + 1)[0]) >> (7 - (i & 7)) & 1
             ones = self._rank1(k, i)
             i, value = (self.zeros[k] + ones if bit else i - ones), value << 1 | bit
         return value
@@ -119,7 +148,7 @@ class WaveletMatrix:
         """All ids, in order."""
         values = np.zeros(self.n, dtype=np.uint16 if self.width <= 16 else np.uint32)
         for k in range(self.width - 1, -1, -1):
-            bits = np.unpackbits(self.planes[k], count=self.n).view(bool)
+            bits = np.unpackbits(self.planes[k].cut(0, self.planes[k].size), count=self.n).view(bool)
             upper = np.empty_like(values)
             upper[np.flatnonzero(~bits)] = values[: self.zeros[k]]
             upper[np.flatnonzero(bits)] = values[self.zeros[k] :] | values.dtype.type(1 << (self.width - 1 - k))
@@ -127,25 +156,66 @@ class WaveletMatrix:
         return values
 
     def tobytes(self) -> bytes:
+        """Magic, lengths, head (JSON), tables (ends and checksums of all chunks, ranks, documents), chunks."""
         pack = zstandard.ZstdCompressor(level=1).compress
-        parts = [pack(x.tobytes()) for k in range(self.width) for x in (self.planes[k], self.ranks[k])]
-        parts += [pack(self.docs.astype("<i8").tobytes()), pack(self.lengths.astype("<i8").tobytes())]
-        head = json.dumps({"n": self.n, "width": self.width, "zeros": self.zeros, "parts": [len(p) for p in parts]}).encode()
-        body = MAGIC + struct.pack("<I", len(head)) + head + b"".join(parts)
-        return body + struct.pack("<I", zlib.crc32(body))
+        chunks = []
+        for plane in self.planes:
+            held = plane.cut(0, plane.size).tobytes()
+            for a in range(0, len(held), CHUNK):
+                raw = held[a : a + CHUNK]
+                packed = pack(raw)
+                chunks.append(packed if len(packed) < len(raw) else raw)
+        ends = np.cumsum([len(c) for c in chunks], dtype=np.int64)
+        sums = np.array([zlib.crc32(c) for c in chunks], dtype="<u4")
+        ranks = np.concatenate(self.ranks) if self.ranks else np.zeros(0, "<u8")
+        tables = [pack(x.tobytes()) for x in (ends.astype("<i8"), sums, ranks, self.docs.astype("<i8"), self.lengths.astype("<i8"))]
+        head = json.dumps({"n": self.n, "width": self.width, "zeros": self.zeros, "tables": [len(t) for t in tables], "chunks": int(ends[-1]) if len(ends) else 0}).encode() + b"".join(tables)
+        lead = len(head) - sum(map(len, tables))
+        return b"".join([MAGIC, struct.pack("<III", lead, len(head), zlib.crc32(head)), head, *chunks])
 
     @classmethod
-    def frombytes(cls, content: bytes) -> WaveletMatrix:
-        if content[:4] != MAGIC or zlib.crc32(content[:-4]) != struct.unpack("<I", content[-4:])[0]:
+    def open(cls, read, size: int) -> WaveletMatrix:
+        """From a file of ``size`` bytes, of which ``read(at, n)`` gives any part: only the head is read now."""
+        begin = read(0, 16)
+        if len(begin) < 16 or begin[:4] != MAGIC:
+            raise ValueError("not a wavelet file")
+        lead, long, crc = struct.unpack("<III", begin[4:])
+        content = read(16, long)
+        if len(content) != long or zlib.crc32(content) != crc:
+            raise ValueError("damaged head of a wavelet file")
+        head, at, tables = json.loads(content[:lead]), lead, []
+        if size != 16 + long + head["chunks"]:
             raise ValueError("not a whole wavelet file")
-        size = struct.unpack("<I", content[4:8])[0]
-        head, at, parts = json.loads(content[8 : 8 + size]), 8 + size, []
-        for n in head["parts"]:
-            parts.append(zstandard.ZstdDecompressor().decompress(content[at : at + n]))
+        for n in head["tables"]:
+            tables.append(zstandard.ZstdDecompressor().decompress(content[at : at + n]))
             at += n
-        planes = [np.frombuffer(p, np.uint8) for p in parts[0 : 2 * head["width"] : 2]]
-        ranks = [np.frombuffer(p, "<u8") for p in parts[1 : 2 * head["width"] : 2]]
-        return cls(head["n"], head["width"], head["zeros"], planes, ranks, np.frombuffer(parts[-2], "<i8"), np.frombuffer(parts[-1], "<i8"))
+        ends, sums, ranks, docs, lengths = (np.frombuffer(t, k) for t, k in zip(tables, ("<i8", "<u4", "<u8", "<i8", "<i8"), strict=True))
+        plane_bytes, unpack = -(-head["n"] // 8), zstandard.ZstdDecompressor()
+        per = -(-plane_bytes // CHUNK)
+
+        def chunk(i: int) -> np.ndarray:
+            a = int(ends[i - 1]) if i else 0
+            packed = read(16 + long + a, int(ends[i]) - a)
+            if zlib.crc32(packed) != sums[i]:
+                raise ValueError("damaged chunk of a wavelet file")
+            raw = min(CHUNK, plane_bytes - i % per * CHUNK)
+            return np.frombuffer(packed if len(packed) == raw else unpack.decompress(packed), np.uint8)
+
+        planes = [Plane(plane_bytes, chunk=lambda c, k=k: chunk(k * per + c)) for k in range(head["width"])]
+        blocks = -(-plane_bytes // BLOCK) + 1
+        return cls(head["n"], head["width"], head["zeros"], planes, [ranks[k * blocks : (k + 1) * blocks] for k in range(head["width"])], docs, lengths)
+
+    @classmethod
+    def frombytes(cls, content: bytes) -> WaveletMatrix:
+        view = memoryview(content)
+        return cls.open(lambda at, n: bytes(view[at : at + n]), len(content))
+
+
+def open_shard(folder: str, name: str) -> WaveletMatrix:
+    """A shard file, for access, rank, select and counts; what is asked for is read, not the file."""
+    system, path = file_system(folder)
+    held = system.open_input_file(f"{path}/{name}")
+    return WaveletMatrix.open(lambda at, n: held.read_at(n, at), held.size())
 
 
 @lru_cache(maxsize=2)
@@ -260,42 +330,48 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, wide: bool,
         yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), ids, encode(batch.column(1))], names=["shard", "doc_id", "ids"])
 
 
-def _packed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard to one file each; one shard is in memory."""
+def _packed(batches: Iterator[pa.RecordBatch], folder: str, width: int, roll: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard to files and their lines of the manifest; one file is in memory.
+
+    A shard is one file unless one id (or none) has so many rows that it exceeds ``roll`` bytes of ids; then it is several.
+    """
     dtype = np.uint32 if width > 16 else np.uint16
-    shard, docs, parts = None, [], []
+    shard, part, held, docs, parts = None, 0, 0, [], []
 
     def closed() -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(parts), dtype=dtype)
         lengths = np.array([len(p) for p in parts], dtype=np.int64) // ids.itemsize
         none = np.array([d is None for d in docs])
         numbers = np.array([0 if d is None else d for d in docs], dtype=np.int64)
-        matrix = WaveletMatrix.build(ids, width, np.concatenate([numbers, none.astype(np.int64)]), lengths)
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([matrix.tobytes()], pa.binary())], names=["shard", "n_docs", "n_tokens", "content"])
+        content = WaveletMatrix.build(ids, width, np.concatenate([numbers, none.astype(np.int64)]), lengths).tobytes()
+        name = f"shard-{shard:07d}-{part:03d}.wvm"
+        put_file(folder, name, content)
+        return pa.RecordBatch.from_pydict({"shard": [shard], "part": [part], "name": [name], "n_docs": [len(docs)], "n_tokens": [len(ids)], "bytes": [len(content)]})
 
     for batch in batches:
         for s, d, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if s != shard and docs:
+            if docs and (s != shard or held >= roll):
                 yield closed()
-                docs, parts = [], []
+                docs, parts, held, part = [], [], 0, (part + 1 if s == shard else 0)
             shard = s
             docs.append(d)
             parts.append(p)
+            held += len(p)
     if docs:
         yield closed()
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch], starts: dict[int, int]) -> Iterator[pa.RecordBatch]:
+def _unpacked(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for shard, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            matrix = WaveletMatrix.frombytes(content)
+        for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            matrix = WaveletMatrix.frombytes(get_file(folder, name))
             ids, n = matrix.decode().astype("<u4"), len(matrix.lengths)
             ends = np.cumsum(matrix.lengths)
             begins = ends - matrix.lengths
             view = memoryview(ids.tobytes())
             crcs = [zlib.crc32(view[4 * a : 4 * z]) for a, z in zip(begins.tolist(), ends.tolist(), strict=True)]
             docs = pa.array(matrix.docs[:n], pa.int64(), mask=matrix.docs[n:].astype(bool))
-            yield pa.RecordBatch.from_arrays([docs, pa.array(begins + starts[shard], pa.int64()), pa.array(matrix.lengths, pa.int64()), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([docs, pa.array(begins + start, pa.int64()), pa.array(matrix.lengths, pa.int64()), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def _thrifty(work: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,15 +379,7 @@ def _thrifty(work: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work
 
 
-def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1, shard_bytes: int = SHARD_BYTES) -> str:
-    """Encodes every row of ``docs`` (doc_id, text; more columns are not looked at) and writes the shards; returns the folder.
-
-    A null or empty text is the end id alone. Null doc_ids come last; rows of one doc_id follow each other, ordered by
-    their ids' bytes. An empty table gives a folder without shards.
-    """
-    spark = docs.sparkSession
-    workers_can_import(spark)
-    to = to or scratch(spark, "tokens")
+def _written(docs: DataFrame, path: str, to: str, end: int, shard_bytes: int) -> None:
     slim = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"))
     slim = cut(slim.groupBy("doc_id").agg(F.sum("n").alias("n")))
     placed = ranked(slim.filter("doc_id is not null"), [F.col("doc_id")], "place", {"before": "n"})
@@ -322,20 +390,40 @@ def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1
     width = max(1, max(tk.get_vocab_size(with_added_tokens=True) - 1, end).bit_length())
     width = 16 if width <= 16 else 32
     encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _encoded(it, path, end, width > 16, bounds), "shard long, doc_id long, ids binary")
-    dealt = encoded.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")
-    dealt.mapInArrow(lambda it: _thrifty(_packed(it, width)), FILES).write.option("compression", "uncompressed").parquet(to)
-    drop(slim)
+    dealt = encoded.repartition(-(-(len(bounds) + 1) // 2), "shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # two shards a task
+    dealt.mapInArrow(lambda it: _thrifty(_packed(it, to, width, 2 * per)), MANIFEST).write.json(f"{to}/manifest")
+
+
+def write_tokens(docs: DataFrame, path: str, to: str | None = None, end: int = 1, shard_bytes: int = SHARD_BYTES) -> str:
+    """Encodes every row of ``docs`` (doc_id, text; more columns are not looked at) and writes the shards; returns the folder.
+
+    A null or empty text is the end id alone, a text of any length is encoded whole. Null doc_ids come last; rows of one
+    doc_id follow each other, ordered by their ids' bytes. An empty table gives a folder without shards.
+    """
+    spark = docs.sparkSession
+    workers_can_import(spark)
+    to = to or scratch(spark, "tokens")
+    with tidying():
+        _written(docs, path, to, end, shard_bytes)
     return to
 
 
+def manifest_of(spark, folder: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+
+
+@tidy
+def _starts(files: DataFrame) -> DataFrame:
+    """name, start: the ids of all files before each."""
+    return ranked(files, [F.col("shard"), F.col("part")], "place", {"start": "n_tokens"}).select("name", "start")
+
+
 def read_tokens(spark, folder: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
     workers_can_import(spark)
-    files = spark.read.schema(FILES).parquet(folder)
-    sizes = sorted((r["shard"], r["n_tokens"]) for r in files.select("shard", "n_tokens").collect())  # at most MOST_SHARDS + 1
-    before = np.concatenate([[0], np.cumsum([n for _, n in sizes])]).tolist()
-    starts = {s: b for (s, _), b in zip(sizes, before, strict=False)}
-    return files.select("shard", "content").mapInArrow(lambda it: _thrifty(_unpacked(it, starts)), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    placed = _starts(manifest_of(spark, folder))
+    tasks = max(1, min(-(-placed.count() // 2), 50_000))
+    return placed.repartition(tasks).mapInArrow(lambda it: _thrifty(_unpacked(it, folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def occurrences(spark, folder: str, token: int) -> DataFrame:
@@ -344,14 +432,16 @@ def occurrences(spark, folder: str, token: int) -> DataFrame:
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for content in frame["content"]:
-                m = WaveletMatrix.frombytes(content)
-                ends = np.cumsum(m.lengths)
+            for name in frame["name"]:
+                m = open_shard(folder, name)
+                ends, n = np.cumsum(m.lengths), len(m.lengths)
                 at = np.array([m.select(token, j) for j in range(m.count(token))], dtype=np.int64)
                 k = np.searchsorted(ends, at, side="right")
-                yield pd.DataFrame({"doc_id": m.docs[k], "place": at - (ends - m.lengths)[k]})
+                docs = pd.array(m.docs[k], dtype="Int64")
+                docs[m.docs[n:][k].astype(bool)] = pd.NA
+                yield pd.DataFrame({"doc_id": docs, "place": at - (ends - m.lengths)[k]})
 
-    return spark.read.schema(FILES).parquet(folder).select("content").mapInPandas(find, "doc_id long, place long")
+    return manifest_of(spark, folder).select("name").mapInPandas(find, "doc_id long, place long")
 
 
 def op2_tokens(spark, sf_dir: str, path: str | None = None) -> DataFrame:
