@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, table, workers_can_import
+from .common import cut, table, tidy, workers_can_import
 from .graph import components
 
 COSINE = 0.9
 CELL = 256  # classes aimed at per cell
-MOST_CELLS, SAMPLE_PER_CELL = 4096, 16  # the centroids are fitted on a sample of at most their product
+CELLS, SAMPLE_PER_CELL = 4096, 16  # cells up to which there is one for CELL classes; beyond, they grow with the root of the classes
+SAMPLE_BYTES = 256 << 20  # of the vectors that the centroids are fitted on, at most
 PART = 8192  # classes aimed at per block; two blocks are compared in one task
 PART_BYTES = 16 << 20  # of a block's vectors
 STRIP = 1 << 22  # similarities that are held at once
@@ -40,8 +41,9 @@ def fit_centroids(sample: np.ndarray, cells: int, rounds: int = 4) -> np.ndarray
     """Spherical k-means from evenly spread rows of the sample."""
     cells = max(1, min(cells, len(sample)))
     c = sample[np.linspace(0, len(sample) - 1, cells).astype(int)]
+    step = max(1, STRIP // cells)
     for _ in range(rounds):
-        own = np.argmax(sample @ c.T, axis=1)
+        own = np.concatenate([np.argmax(sample[lo : lo + step] @ c.T, axis=1) for lo in range(0, len(sample), step)])
         sums = np.zeros_like(c)
         np.add.at(sums, own, sample)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -67,9 +69,10 @@ def _matrix(lists: list, dim: int) -> np.ndarray:
 
 def _homes(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, dim: int) -> Iterator[pa.RecordBatch]:
     """Each class with the cell of its nearest centroid and its cosine to that."""
+    step = max(1, STRIP // (4 * len(centroids)))
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
+        for lo in range(0, batch.num_rows, step):
+            part = batch.slice(lo, step)
             sims = _unit(_dense(part.column(1), dim)[0]) @ centroids.T
             home = np.argmax(sims, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), pa.array(sims[np.arange(len(home)), home]), *part.columns], names=["cell", "cosine", "node", "v", "copies"])
@@ -100,9 +103,10 @@ def _visits(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, low: np.nd
     """Each class with its own group and, as a list, all groups it has to visit."""
     order = np.argsort(group, kind="stable")
     begin = np.searchsorted(group[order], np.arange(groups))  # every group has a cell
+    step = max(1, STRIP // (4 * len(centroids)))
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
+        for lo in range(0, batch.num_rows, step):
+            part = batch.slice(lo, step)
             home = part.column(0).to_numpy()
             cells = reachable(_unit(_dense(part.column(2), dim)[0]), home, centroids, low, high, least)
             to = np.logical_or.reduceat(cells[:, order], begin, axis=1)
@@ -174,31 +178,42 @@ def _compared(held: pa.Table, dim: int, least: float) -> pa.Table:
     return pa.table({"node": pa.array(nodes[some], pa.int64()), "links": pa.array(links[some].astype(np.int64)), "root": pa.array(nodes[root[some]], pa.int64())})
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """Vectors that are equal in every component: node, copies, the least id, v, and whether another vector has the node too."""
+    order = F.struct(F.col("vec_id").isNull().alias("none"), F.col("vec_id").alias("vec_id"))
+    return cut(rows.filter("ok").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("least"), F.min("v").alias("v"), (F.min("v") != F.max("v")).alias("clash")))
+
+
+@tidy
 def link_vectors(vectors: DataFrame, least: float = COSINE, cell: int = CELL) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     A vector that is null, empty, zero, or has null or non-finite components links with nothing; vectors of unequal
     length do not link. Rows of one vec_id are vectors of their own that share a component_id only if they link; a
-    null vec_id counts as larger than any. Labels and other columns are not looked at.
+    null vec_id counts as larger than any. An empty table gives an empty one. Labels and other columns are not looked at.
     """
     spark = vectors.sparkSession
     workers_can_import(spark)
     wide = F.col("embedding").cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     rows = cut(vectors.select("vec_id", wide.alias("v")).withColumn("ok", F.coalesce(F.col("v").isNotNull() & (F.size("v") > 0) & fine, F.lit(False))).withColumn("node", F.when(F.col("ok"), F.xxhash64("v"))))
-    order = F.struct(F.col("vec_id").isNull().alias("none"), F.col("vec_id").alias("vec_id"))
-    classes = cut(rows.filter("ok").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("least"), F.min("v").alias("v")))
+    classes = _classes(rows)
+    while clashes := [r[0] for r in classes.filter("clash").select("node").collect()]:  # n ** 2 / 2 ** 65 of n vectors on average
+        rows = cut(rows.withColumn("node", F.when(F.col("node").isin(clashes), F.xxhash64(F.to_json(F.struct("v")))).otherwise(F.col("node"))))
+        classes = _classes(rows)
     facts = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
     if not facts["n"]:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim, cells = int(facts["dim"]), int(min(MOST_CELLS, max(1, -(-facts["n"] // cell))))
-    most = cells * SAMPLE_PER_CELL
+    dim = int(facts["dim"])
+    room = max(1, SAMPLE_BYTES // (8 * dim))
+    cells = int(min(max(CELLS, facts["n"] ** 0.5), max(1, -(-facts["n"] // cell)), max(1, room // 4)))
+    most = min(cells * SAMPLE_PER_CELL, room)
     share = min(1.0, most / facts["n"])
     picked = classes.filter(F.xxhash64("node", F.lit(SEED)) / F.lit(2.0**64) + 0.5 < share).orderBy("node").limit(2 * most).select("v").collect()
     sample = _unit(_matrix([r["v"] for r in picked], dim)) if picked else np.eye(1, dim)
     centroids = fit_centroids(sample, cells)
     dealt = cut(classes.select("node", "v", "copies").mapInArrow(lambda it: _homes(it, centroids, dim), "cell long, cosine double, node long, v array<double>, copies long"))
-    facts_of = {r["cell"]: r for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("low"), F.max("cosine").alias("high")).collect()}  # at most MOST_CELLS
+    facts_of = {r["cell"]: r for r in dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("low"), F.max("cosine").alias("high")).collect()}  # one row a cell
     used = sorted(facts_of)
     number = np.zeros(len(centroids), np.int64)
     number[used] = np.arange(len(used))
@@ -218,8 +233,7 @@ def link_vectors(vectors: DataFrame, least: float = COSINE, cell: int = CELL) ->
     labels = components(found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = cut(classes.select("node", "copies", "least").join(counts, "node", "left").join(labels, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "least", F.coalesce("component", "node").alias("c")))
     best = known.groupBy("c").agg(F.min("least").alias("best"))
-    named = cut(known.join(best, "c").select("node", "n_links", F.col("best.vec_id").alias("component_id")))
-    drop(classes, dealt, found, known)
+    named = known.join(best, "c").select("node", "n_links", F.col("best.vec_id").alias("component_id"))
     out = rows.select("vec_id", "node").join(named, "node", "left")
     alone = F.col("n_links").isNull()
     component = F.when(alone, F.col("vec_id")).otherwise(F.col("component_id"))
