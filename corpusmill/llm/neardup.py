@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, slices, table, texts_of, workers_can_import
+from .common import cut, drop, salted_join, slices, table, texts_of, tidy, workers_can_import
 from .decontaminate import keyed_texts
 from .graph import components
 
@@ -36,7 +36,6 @@ CROWD = 32  # a bucket of more classes has one hub, the one that shares most
 BLOCK, BLOCK_BYTES = 400, 1 << 20  # classes, and bytes of their sets, that are compared with as many others in one task
 FIRST_BAND = 0.125  # height of the lowest rank region
 SLACK = 3.0  # darts: k * (ln k + SLACK); coordinates that stay empty get a further rank region
-SET_BITS = 40  # of a shingle's hash, when sets are compared
 
 _A = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _U = 2.0**-53
@@ -174,8 +173,7 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, rows: int, bands: int,
 
 
 def pack_set(e: np.ndarray, w: np.ndarray, counted: bool) -> bytes:
-    short = e >> np.uint64(64 - SET_BITS)
-    gaps = np.diff(short, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    gaps = np.diff(e, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
     body = np.ascontiguousarray(gaps).tobytes() + (w.astype("<f8").tobytes() if counted else b"")
     return len(e).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(body)
 
@@ -220,8 +218,9 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(mask)
 
 
+@tidy
 def near_duplicates(docs: DataFrame, least: float = SIMILAR, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS, counted: bool = False) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, tie, class_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, tie, class_id, kept, worded (whether the text has words).
 
     Documents link if the Jaccard similarity of their sets of word shingles (with ``counted``: of their multisets) is
     at least ``least``; a class is a component of links, its class_id the smallest doc_id. ``kept`` marks the rows of
@@ -249,9 +248,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, size: int = SHINGLE
         if more.limit(1).count():
             labels = cut(components(links.unionByName(more)))
     drop(shared, pairs, contents, clusters, open_)
-    out = cut(_classes(signed, nodes, labels))
-    drop(signed, nodes, links)
-    return out
+    return _classes(signed, nodes, labels)
 
 
 def _hub_pairs(shared: DataFrame) -> DataFrame:
@@ -288,7 +285,7 @@ def _open(clusters: DataFrame, labels: DataFrame) -> DataFrame:
     """node, c (component), cluster, n: the classes of clusters of candidates that hold several components, and their number."""
     at = clusters.select("node", F.col("component").alias("cluster")).join(labels, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c"))
     several = at.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("cluster", "n")
-    return at.join(several, "cluster").select("node", "c", "cluster", "n")
+    return salted_join(at, several, ["cluster"], F.xxhash64("node")).select("node", "c", "cluster", "n")
 
 
 def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool) -> DataFrame:
@@ -308,10 +305,11 @@ def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool)
     own = lambda n: F.pmod(h, F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     kept = ["node", "c", "content"]
-    same = held.withColumnRenamed("level", "low").join(alone, ["cluster", "low"]).select("cluster", "low", own("below").alias("own"), upto("below").alias("other"), *kept)
+    met = lambda rows, few: salted_join(rows, few, ["cluster", "low"], F.xxhash64("node", F.lit(1)))
+    same = met(held.withColumnRenamed("level", "low"), alone).select("cluster", "low", own("below").alias("own"), upto("below").alias("other"), *kept)
     same = same.select("cluster", "low", F.lit(False).alias("two"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *kept)
-    under = held.withColumnRenamed("level", "low").join(near, ["cluster", "low"]).select("cluster", "low", F.lit(True).alias("two"), own("below").alias("i"), upto("above").alias("j"), *kept)
-    over = held.withColumn("low", F.col("level") - 1).join(near, ["cluster", "low"]).select("cluster", "low", F.lit(True).alias("two"), upto("below").alias("i"), own("above").alias("j"), *kept)
+    under = met(held.withColumnRenamed("level", "low"), near).select("cluster", "low", F.lit(True).alias("two"), own("below").alias("i"), upto("above").alias("j"), *kept)
+    over = met(held.withColumn("low", F.col("level") - 1), near).select("cluster", "low", F.lit(True).alias("two"), upto("below").alias("i"), own("above").alias("j"), *kept)
     keyed = same.unionByName(under).unionByName(over)
     return keyed.groupBy("cluster", "low", "two", "i", "j").applyInPandas(lambda f: _compared(f, least, counted), "a binary, b binary")
 
@@ -365,21 +363,32 @@ def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFram
     rows = signed.select("doc_id", "tie", "node").join(named, "node", "left")
     alone = F.col("best").isNull()
     kept = alone | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tie") == F.col("best.tie")))
-    return rows.select("doc_id", "tie", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), kept.alias("kept"))
+    return rows.select("doc_id", "tie", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), kept.alias("kept"), F.col("node").isNotNull().alias("worded"))
 
 
 def deduplicated(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` with one of each class kept, all columns; of equal rows of the kept id one stays.
+    """The rows of ``docs`` with one of each class kept, all columns.
 
-    Rows without words all stay.
+    Rows without words are no one's duplicates: all of them stay, whatever ids and texts they share. Of several rows
+    with the kept id and text one stays, by the smallest hash of its other columns.
     """
     found = near_duplicates(docs, **kw)
-    gone = cut(found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct())
+    key = [F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")]
+    # rows of one id and text: how many there are decides what goes: all of them, or all but one
+    marked = found.groupBy(*key).agg(F.max("kept").alias("_kept"), F.max("worded").alias("_worded"), F.count(F.lit(1)).alias("_n"))
+    marked = cut(marked.filter("_worded and (not _kept or _n > 1)").select("_id", "_tie", "_kept"))
     drop(found)
-    gone = gone.hint("merge")  # at any size the same plan
-    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_tie"])
-    left = docs.join(gone, (F.coalesce(docs["doc_id"], F.lit(0)) == F.coalesce(gone["_id"], F.lit(0))) & same, "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    marked = marked.hint("merge")  # at any size the same plan
+    same = docs["doc_id"].eqNullSafe(marked["_id"]) & (F.xxhash64(docs["text"]) == marked["_tie"])
+    joined = docs.join(marked, (F.coalesce(docs["doc_id"], F.lit(0)) == F.coalesce(marked["_id"], F.lit(0))) & same, "left")
+    columns = [docs[c] for c in docs.columns]
+    left = joined.filter(F.col("_tie").isNull()).select(*columns)
+    again = joined.filter("_kept")  # few: only rows whose id and text occur more than once
+    if not marked.filter("_kept").limit(1).count():
+        return left
+    held = again.select(F.struct("_id", "_tie").alias("key"), F.struct(*columns).alias("row"), F.xxhash64(*columns).alias("h"))
+    one = held.groupBy("key").agg(F.min_by("row", "h").alias("row"))  # combined before the shuffle, however often a row occurs
+    return left.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
 
 
 def op8_near_duplicates(spark, sf_dir: str) -> DataFrame:
