@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, drop, fresh, ranked, table
+from .common import cut, fresh, ranked, table, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
+MARKS = 32  # levels that are tried in one round
 LEVELS = (3, 6, 9)  # hexadecimal digits of a cell's name at each level: 4096 cells, each of them cut in 4096, twice
 
 
@@ -30,26 +31,27 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], cap: int, share:
     """Columns src, source_size, target (double): one row per source.
 
     Sources in code point order, null last, get the weights in turn. The level ``v`` with
-    ``sum(least(cap * size, v * weight)) = share * total`` is found in one pass over the sources in the order in which
-    they reach their cap: the first at which the rest of the budget is reached before the cap gives it. One row goes
-    to the driver, never the sources.
+    ``sum(least(cap * size, v * weight)) = share * total`` lies between two sources in the order in which they reach
+    their cap. Each round takes MARKS quantiles of that order that are still in question and sums what each would fill,
+    so rounds grow with the logarithm of the number of sources; only these sums go to the driver, never the sources.
     """
     per_source = sized.groupBy("src").agg(F.sum("size").alias("source_size"))
-    name = [F.col("src").isNull(), F.col("src")]
-    sources = ranked(per_source, name, "place")
+    sources = ranked(per_source, [F.col("src").isNull(), F.col("src")], "place")
     wheel = F.array(*[F.lit(int(w)) for w in weights])
-    bound = F.col("source_size") * cap
-    sources = sources.withColumn("weight", F.element_at(wheel, (F.col("place") % len(weights) + 1).cast("int"))).withColumn("bound", bound)
-    sources = cut(sources.withColumn("ratio", bound.cast("double") / F.col("weight")))
-    row = sources.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weight")).first()
-    total, heavy = int(row["total"] or 0), int(row["weight"] or 0)
+    bound, weight, ratio = F.col("source_size") * cap, F.col("weight"), F.col("source_size").cast("double") * cap / F.col("weight")
+    sources = cut(sources.withColumn("weight", F.element_at(wheel, (F.col("place") % len(weights) + 1).cast("int"))))
+    total = int(sources.agg(F.sum("source_size")).first()[0] or 0)
     budget = int(total * share) if share != 1 else total
-    filled = ranked(sources, [F.col("ratio"), *name], "turn", {"capped": "bound", "past": "weight"})
-    level = (F.lit(budget) - F.col("capped")).cast("double") / (F.lit(heavy) - F.col("past")).cast("double")
-    first = filled.select("turn", "ratio", level.alias("level")).filter(F.col("ratio") >= F.col("level")).agg(F.min(F.struct("turn", "level")).alias("s")).first()["s"]
-    most = sources.agg(F.max("ratio")).first()[0]
-    want = F.col("weight") * F.lit(float(first["level"] if first else most or 0.0))  # a budget beyond all caps fills them
-    return sources.select("src", "source_size", F.when(want > F.col("bound"), F.col("bound").cast("double")).otherwise(want).alias("target"))
+    lo, hi = -1.0, float("inf")
+    while marks := sources.filter((ratio > lo) & (ratio < hi)).agg(F.percentile_approx(ratio, [i / MARKS for i in range(1, MARKS + 1)]).alias("m")).first()[0]:
+        marks = sorted(set(marks))
+        filled = sources.agg(*[F.sum(F.least(bound.cast("double"), weight * F.lit(m))).alias(f"f{i}") for i, m in enumerate(marks)]).first()
+        lo = max([lo] + [m for m, f in zip(marks, filled, strict=True) if f < budget])
+        hi = min([hi] + [m for m, f in zip(marks, filled, strict=True) if f >= budget])
+    row = sources.agg(F.sum(F.when(ratio <= lo, bound).otherwise(0)), F.sum(F.when(ratio <= lo, 0).otherwise(weight))).first()
+    level = (budget - row[0]) / row[1] if row[1] else lo  # a budget beyond all caps fills them
+    want = weight * F.lit(float(level or 0.0))
+    return sources.select("src", "source_size", F.when(want > bound, bound.cast("double")).otherwise(want).alias("target"))
 
 
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -69,13 +71,18 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         found = joined.groupBy("src", "source_size", "target", "copies", "rest", "before").agg(F.min(beyond).alias("edge"))
         start = F.col("before") + F.coalesce(F.col("edge.upto") - F.col("edge.tokens"), F.lit(0.0))
         found = found.select("src", "source_size", "target", "copies", "rest", F.coalesce(F.col("edge.cell"), F.lit("")).alias("cut_at"), start.alias("before"), F.coalesce(F.col("edge.tokens"), F.lit(0)).alias("edge_tokens"))
-        last = plan
         plan = cut(found)
-        drop(last)
     over = F.col("before") + F.col("edge_tokens") - F.col("rest")
     return plan.select("src", "source_size", "target", "copies", "cut_at", ((F.col("edge_tokens") > 0) & (over < F.col("rest") - F.col("before"))).alias("cut_in"))
 
 
+@tidy
+def planned(docs: DataFrame, weights: tuple[int, ...], cap: int, share: float, row_id: str, text: str, source: str) -> DataFrame:
+    """The thresholds of every source; the only table that a mix needs."""
+    sized = cut(docs.select(F.col(source).alias("src"), token_count(F.col(text)).alias("size"), row_hash(F.col(row_id), F.col(text)).alias("hash")))
+    return thresholds(sized, source_targets(sized.select("src", "size"), weights, cap, share))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, share: float = 1.0, row_id: str = "doc_id", text: str = "text", source: str = "source", out: str = "mix") -> DataFrame:
     """All rows of ``docs`` plus the struct ``out``: size, source_size, target, copies (how often the mix takes the row).
 
@@ -85,10 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, sha
     times. No source is sampled or sorted; a hot source only fills more of its 4096 cells.
     """
     out = fresh(docs, out)
-    sized = cut(docs.select(F.col(source).alias("src"), token_count(F.col(text)).alias("size"), row_hash(F.col(row_id), F.col(text)).alias("hash")))
-    targets = source_targets(sized.select("src", "size"), weights, cap, share)
-    plan = thresholds(sized, targets)
-    drop(sized)
+    plan = planned(docs, weights, cap, share, row_id, text, source)
     a, b, h = fresh(docs, "_plan_source"), fresh(docs, "_plan"), fresh(docs, "_hash")
     packed = plan.select(F.col("src").alias(a), F.struct("source_size", "target", "copies", "cut_at", "cut_in").alias(b))
     joined = docs.join(packed, F.col(source).eqNullSafe(F.col(a)), "left").withColumn(h, row_hash(F.col(row_id), F.col(text)))
