@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import json
 import re
 
 import duckdb
@@ -151,14 +153,43 @@ def test_warc_round_trip(spark, tmp_path):
     assert all(hashlib.sha256(g[5]).hexdigest() == g[2] for g in got if g[3] == "response")
 
 
-def test_warc_is_deterministic(spark, tmp_path):
+def test_warc_files_are_plain(spark, tmp_path):
+    """Equal input gives equal files; gzip and a plain parser read them without this package; the manifest is the truth."""
     df = spark.read.parquet(f"{DIR}/pages.parquet")
-    names = []
+    held = []
     for k, d in enumerate((df, df.repartition(7))):
-        archive = warc.write_warc(d, shard_bytes=40_000, roll_bytes=8_000)
-        folder = tmp_path / str(k)
-        names.append({n: (folder / n).read_bytes() for n in warc.export_files(spark, archive, str(folder))})
-    assert names[0] == names[1] and len(names[0]) > 2
+        archive = warc.write_warc(d, f"{tmp_path}/{k}", shard_bytes=40_000, roll_bytes=8_000)
+        files = {p.name: p.read_bytes() for p in (tmp_path / str(k)).glob("*.warc.gz")}
+        manifest = [json.loads(x) for p in (tmp_path / str(k) / "manifest").glob("*.json") for x in p.read_text().splitlines()]
+        assert {m["name"]: (m["bytes"], m["sha256"]) for m in manifest} == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in files.items()}
+        assert not list((tmp_path / str(k)).glob("*.tmp")) and not list((tmp_path / str(k)).glob(".*.tmp"))
+        held.append(files)
+    assert held[0] == held[1] and len(held[0]) > 2
+    pages = {r["page_id"]: r["html"].encode() for r in df.collect()}
+    met = set()
+    for content in held[0].values():
+        plain = gzip.decompress(content)
+        while plain:
+            head, _, rest = plain.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            block, plain = rest[: int(fields["Content-Length"])], rest[int(fields["Content-Length"]) + 4 :]
+            page = int(fields["WARC-Page-ID"])
+            met.add(page)
+            assert fields["WARC-Type"] == "revisit" or block.partition(b"\r\n\r\n")[2] == pages[page]
+    assert met == set(pages)
+    (tmp_path / "1" / "stray.warc.gz").write_bytes(b"left by a lost task")
+    assert warc.read_warc(spark, f"{tmp_path}/1").count() == len(pages)
+    next((tmp_path / "1").glob("part-*.warc.gz")).write_bytes(b"damaged")
+    with pytest.raises(Exception, match="manifest"):
+        warc.read_warc(spark, f"{tmp_path}/1").collect()
+
+
+def test_warc_null_ids_and_long_payloads(spark):
+    same, long = "n" * 150, "long " * 600_000
+    rows = [(None, "a", same), (None, "b", same), (None, "b", same), (None, "c", long), (8, "d", long), (9, "e", None), (9, "e", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.read_warc(spark, warc.write_warc(df, shard_bytes=100)).collect()), key=str)
+    assert got == sorted([(8, 3_000_000, "response", None), (None, 3_000_000, "revisit", 8), (None, 150, "response", None), (None, 150, "revisit", None), (None, 150, "revisit", None), (9, 0, "response", None), (9, 0, "response", None)], key=str)
 
 
 def test_warc_empty(spark):

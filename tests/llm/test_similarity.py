@@ -91,6 +91,33 @@ def test_near_duplicates_edges(spark):
     assert [r["doc_id"] for r in neardup.deduplicated(same).collect()] == [3]
 
 
+def test_deduplicated_keeps_rows_without_words(spark):
+    rows = [(1, None, "a"), (1, None, "b"), (1, "", "c"), (None, "...", "d"), (None, "...", "d"), (2, "one two three four five six", "e"), (2, "one two three four five six", "f"), (3, "one two three four five six", "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit(1))
+    left = neardup.deduplicated(df)
+    got = sorted(((r["doc_id"], r["source"]) for r in left.collect()), key=str)
+    assert left.columns == df.columns and [g for g in got if g[0] != 2] == [(1, "a"), (1, "b"), (1, "c"), (None, "d"), (None, "d")]
+    assert [g[1] in ("e", "f") for g in got if g[0] == 2] == [True]
+    assert neardup.deduplicated(df.limit(0)).count() == 0
+
+
+def test_counted_shingles(spark):
+    """A text that says one thing over and over is like another by the multiplicities, not by the set."""
+    a, b = "a b c d e " * 40, "a b c d e " * 12
+    df = spark.createDataFrame([(1, a), (2, b), (3, "a b c d e " * 38)], "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 1}
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df, counted=True).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_long_texts(spark, rng):
+    w = [f"w{rng.randint(0, 50_000)}" for _ in range(200_000)]
+    v = list(w)
+    for i in rng.sample(range(len(v)), 2000):
+        v[i] = "changed"
+    df = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(v)), (3, " ".join(reversed(w))), (4, "x" * 1_500_000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_crowd_of_copies(spark, rng):
     """A large group whose copies are close to their original, not to each other."""
     w = ["w%d" % i for i in range(300)]

@@ -38,6 +38,39 @@ def test_wavelet_matrix(rng):
         tokens.WaveletMatrix.frombytes(tokens.WaveletMatrix.build(x, 16).tobytes()[:-9])
 
 
+def test_wavelet_file_is_read_in_parts():
+    """Access, rank, select and counts read the head and a chunk or two a plane, not the file; damage is found where it is read."""
+    g = np.random.default_rng(0)
+    x = (g.zipf(1.3, 2_000_000) % 50_000).astype(np.uint16)
+    content, asked = tokens.WaveletMatrix.build(x, 16).tobytes(), []
+
+    def read(at, n):
+        asked.append(n)
+        return content[at : at + n]
+
+    m = tokens.WaveletMatrix.open(read, len(content))
+    assert m.access(1_234_567) == x[1_234_567] and sum(asked) < len(content) / 5
+    places = np.flatnonzero(x == 77)
+    assert m.count(77) == len(places) and m.select(77, 5) == places[5] and (m.decode() == x).all()
+    bad = bytearray(content)
+    bad[-5] ^= 1
+    with pytest.raises(ValueError):
+        tokens.WaveletMatrix.frombytes(bytes(bad)).decode()
+
+
+def test_tokens_of_long_texts_and_many_rows_of_one_id(spark):
+    """A text of megabytes, and ids (also none) with more rows than a shard has room for."""
+    rows = [(1, "Word and 12 signs, " * 120_000)] + [(2, f"text {i % 3}") for i in range(300)] + [(None, "none")] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = tokens.write_tokens(df, PATH, shard_bytes=100)
+    got = sorted((tuple(r) for r in tokens.read_tokens(spark, folder).collect()), key=lambda r: r[1])
+    tk = Tokenizer.from_file(PATH)
+    known = {t: [*tk.encode(t, add_special_tokens=False).ids, 1] for _, t in rows}
+    assert sorted((r[0] or 0, r[2], r[3]) for r in got) == sorted((d or 0, len(known[t]), zlib.crc32(np.array(known[t], "<u4").tobytes())) for d, t in rows)
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()] and [r[0] for r in got] == [1] + [2] * 300 + [None] * 200
+    assert tokens.manifest_of(spark, folder).filter("part > 0").count() > 0
+
+
 def test_token_round_trip(spark):
     rows = [(3, "One two"), (1, None), (1, "again"), (1, "again"), (None, "last"), (2, ""), (-4, "Ünder 12 %%%")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash"))
@@ -49,7 +82,7 @@ def test_token_round_trip(spark):
         options = [[*tk.encode(t or "", add_special_tokens=False).ids, 1] for d, t in rows if d == doc]
         assert at == start and any(n == len(o) and crc == zlib.crc32(np.array(o, "<u4").tobytes()) for o in options)
         start += n
-    places = sorted((tuple(r) for r in tokens.occurrences(spark, folder, 1).collect()))
+    places = sorted((tuple(r) for r in tokens.occurrences(spark, folder, 1).collect()), key=str)
     assert len(places) == len(rows)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.read_tokens(spark, tokens.write_tokens(empty, PATH)).count() == 0
@@ -86,7 +119,8 @@ def test_decontamination_against_brute_force(spark, rng, monkeypatch):
     want = sorted(dec.brute(docs, [x for x in items if x[0] is not None]), key=str)
     assert digest(contamination(spark, docs, items)) == want
     monkeypatch.setattr(dec, "BLOCK_BYTES", 60)
-    monkeypatch.setattr(dec.blocks_of, "__defaults__", (60, dec.WINDOW))
+    monkeypatch.setattr(dec.blocks_of, "__defaults__", (60,))
+    monkeypatch.setattr(dec, "AT_ONCE", 64)
     assert digest(contamination(spark, docs, items)) == want
 
 
@@ -102,6 +136,36 @@ def test_clean_keeps_clean_rows_of_a_shared_id(spark):
     assert left.columns == docs.columns and sorted(r["n"] for r in left.collect()) == [2, 4, 5, 6]
 
 
+def test_proximity_against_brute_force(spark, rng, monkeypatch):
+    say = lambda n: " ".join(rng.choice("abcdefghij") for _ in range(n))
+    docs = [(i % 35, rng.choice([None, "", say(5), say(80)])) for i in range(40)]
+    items = [(i, say(rng.choice([1, 2, 2, 3, 4]))) for i in range(10)] + [(20, None), (None, "a"), (21, "zz a"), (22, "A a")]
+    want = []
+    for d, t in docs:
+        w = (t or "").split()
+        for i, q in items:
+            terms = set((q or "").lower().split())
+            places = [s for s in range(len(w)) if w[s] in terms and terms <= set(w[s : s + 6])]
+            if places and i is not None:
+                want.append((d, str(i), len(w), places))
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("places", F.lit("clash"))
+    for size in (1 << 20, 4):
+        monkeypatch.setattr(dec.blocks_of, "__defaults__", (size,))
+        got = dec.find_near(df, spark.createDataFrame(items, "item_id long, text string"), 6)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want, key=str) and len(want) > 50
+
+
+def test_decontamination_of_long_texts(spark):
+    """A passage near the end of a text of several MB, and a benchmark of many windows, which are not copied a window."""
+    item = "alpha beta gamma delta epsilon zeta eta theta iota"
+    text = "lorem ipsum dolor sit amet " * 120_000 + item
+    found = contamination(spark, [(1, text), (2, "x"), (3, text[:1000])], [(7, item), (8, item + " kappa"), (9, "lorem ipsum dolor sit amet lorem ipsum dolor sit")])
+    got = {r["doc_id"]: (r["items"], r["contaminated"]) for r in found.collect()}
+    assert got == {1: (["7", "8", "9"], True), 2: ([], False), 3: (["9"], False)}
+    many = dec.TestWindows(list(range(500)), [(f"w{i} " * 300).encode() for i in range(500)])
+    assert sum(x.nbytes for x in (many.start, many.size, many.name, many.back)) <= 33 * 150_000
+
+
 def test_near_terms():
     s = dec.Segment.build([1, 2], [b"a x x b c", b"b a"])
     key = lambda w: dec.word_keys(np.frombuffer(w, np.uint8))
@@ -225,6 +289,51 @@ def test_secrets_without_limits():
     assert found(f'pwd = "your{"word1A" * 50}"') == found(f'pwd = "{"x" * 5000}"') == set()
 
 
+def test_secrets_in_other_syntax():
+    """Quotes over several lines, blocks, elements, attributes in either order, and names used before they are assigned."""
+    found = lambda text: [text[a:z] for a, z in secrets.lexed_spans(text)]
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIEow IBAAKC\nAQEA\n-----END RSA PRIVATE KEY-----"
+    assert found(f'private_key = """\n{pem}\n"""') == [f"\n{pem}\n"]
+    block = "\n".join("  " + x for x in pem.split("\n"))
+    assert found(f"private_key: |\n{block}\nother: 1") == [block.strip()]
+    assert found("<db_password> Zk39dkL0aQ11zz </db_password>") == ["Zk39dkL0aQ11zz"]
+    assert found('<add key="db_pwd" value="Zk39dkL0aQ11zz"/>') == found('<x value="Zk39dkL0aQ11zz"  name="db_pwd"/>') == ["Zk39dkL0aQ11zz"]
+    assert found('<add key="colour" value="Zk39dkL0aQ11zz"/> pwd') == []
+    assert found('db_pwd = x\nx = y + "aB3$"\ny = "Zk39dkL0aQ11zz"') == ["aB3$", "Zk39dkL0aQ11zz"]
+    assert found("db_pwd = x\nx = z\nz = x") == found('a = """ never closed pwd\nb = ```') == []
+
+
+def test_secret_programs(spark, rng):
+    """Random programs of literals, copies and sums in any order, against a plain evaluation of each name."""
+    rows, want = [], []
+    for i in range(60):
+        names = [f"v{k}" for k in range(8)]
+        made: dict[str, list] = {}
+        for n in names:
+            made[n] = rng.choice([[f'"Lit{rng.randint(0, 10**6)}Xy$z{rng.randint(0, 10**6)}"'], [rng.choice(names)], [rng.choice(names), '"tail#9Zq"']])
+        lines = [f"{n} = {' + '.join(v)}" for n, v in made.items()]
+        rng.shuffle(lines)
+        target = rng.choice(names)
+        text = "\n".join(lines) + f"\ndb_pwd = {target}\n"
+
+        def reach(n, seen, made=made):
+            if n.startswith('"'):
+                return {n[1:-1]}
+            if n in seen:
+                return None
+            each = [reach(x, seen | {n}) for x in made[n]]
+            return None if None in each else set().union(*each)
+
+        rows.append((i, text))
+        want.append(reach(target, set()) or set())
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    for r in secrets.scan_secrets(df).collect():
+        text = rows[r["doc_id"]][1]
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s.startswith("literal")]
+        assert {text[a:z] for a, z in spans} == want[r["doc_id"]]
+    assert secrets.scan_secrets(df.limit(0)).count() == 0
+
+
 def test_suffix_sort(rng):
     for size in (8, 12, 20):
         data = np.frombuffer("".join(rng.choice(["abc ", "foo ", "é", "q"]) for _ in range(300)).encode(), np.uint8)
