@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, langid, mixing, neardup, tokens
-from corpusmill.llm.common import fresh, scratch, table
+from corpusmill.llm.common import remove, scratch, table, tidying
 
 LEAST_SCORE = 0.5  # posterior of the predicted language
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, langid.default_vocabulary())
-    lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
-    found = langid.predict(docs, model, lang, score)
+    found = langid.predict(docs, model)
+    lang, score = found.columns[-2:]
     return found.filter((F.col(lang) != langid.UND) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
@@ -59,8 +59,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with tidying():
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs
 
 
