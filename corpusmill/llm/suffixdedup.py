@@ -121,8 +121,14 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[i
 
 
 def _runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, slim: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (tie, text) to runs: (gram, x) for counting, or (gram, body, more, tie, place), place being first * 256 + last - first."""
+    """Rows (tie, text) to runs: (gram, x) for counting, or (gram, body, more, tie, place), place being first * 256 + last - first.
+
+    Of equal texts in a task only the first gives its runs; others would give the same rows.
+    """
+    seen: set[int] = set()
     for batch in slices(batches, 1, PIECE):
+        new = [t not in seen and not seen.add(t) for t in batch.column(0).to_pylist()]
+        batch = batch.filter(pa.array(new, pa.bool_()))
         ties = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         texts = [b"" if x is None else x for x in batch.column(1).to_pylist()]
         for who, offset, data, ends in _pieces(texts, length):
@@ -361,13 +367,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     shared = cut(counted.groupBy("gram").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.count(F.lit(1)).alias("n")).filter("x0 <> x1").select("gram", "n"))
     every = shared.agg(F.sum("n")).first()[0] or 0
     hot = F.col("gram").isin([r[0] for r in shared.filter(F.col("n") > every / HOT).select("gram").collect()])  # fewer than HOT
-    dealt = lambda df: df.withColumn("salt", F.when(hot, F.pmod("body", F.lit(SALTS))).otherwise(0).cast("int"))
+    dealt = lambda df, by: df.withColumn("salt", F.when(hot, F.pmod(by, F.lit(SALTS))).otherwise(0).cast("int"))
     spread = lambda df: df.withColumn("salt", F.explode(F.when(hot, F.lit(list(range(SALTS)))).otherwise(F.lit([0]))))
     runs = long_.mapInArrow(lambda it: _runs(it, length, gram, False), "gram long, body long, more long, tie long, place long")
-    members = cut(dealt(runs).join(spread(shared.select("gram")), ["gram", "salt"]).groupBy("gram", "salt", "body", "more", "tie", "place").agg(F.lit(1).alias("one")).drop("one", "salt"))
+    members = cut(dealt(runs, F.xxhash64("tie", "place")).join(spread(shared.select("gram")), ["gram", "salt"]).groupBy("gram", "salt", "body", "more", "tie", "place").agg(F.lit(1).alias("one")).drop("one", "salt"))
     classes = cut(members.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("tie", "place")).alias("m")))
     mixed = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    open_ = dealt(classes).join(spread(mixed), ["gram", "salt"]).select(*key, (F.col("n") > MANY).alias("many"), F.col("m.tie").alias("tie"), F.col("m.place").alias("place"))
+    open_ = dealt(classes, F.col("body")).join(spread(mixed), ["gram", "salt"]).select(*key, (F.col("n") > MANY).alias("many"), F.col("m.tie").alias("tie"), F.col("m.place").alias("place"))
     asked = open_.groupBy("tie").agg(F.collect_list(F.struct(*key, "many", "place")).alias("runs"))
     asked = cut(asked.join(texts, "tie").select("tie", "rep", "runs"))  # a list holds runs of one text
     packed = own.mapInArrow(_compressed, "doc_id long, tie long, packed binary")
