@@ -97,7 +97,8 @@ def urls(text: Column) -> Column:
     """Links and bare domains outside e-mail addresses."""
     without = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, "(?U)" + lx.EMAIL, " ")).otherwise(text)
     edge = r"[.,;:!?()\[\]{}<>\"']"
-    found = F.when(without.rlike(r"[./]"), F.regexp_extract_all(without, F.lit(URL), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    # every link has a scheme with a slash, or a dot before what is no space
+    found = F.when(F.contains(without, F.lit(":/")) | without.rlike(r"\.[^ \t\n\r]"), F.regexp_extract_all(without, F.lit(URL), F.lit(0))).otherwise(F.array().cast("array<string>"))
     return F.transform(found, lambda u: fixed_scheme(F.regexp_replace(tx.stripped(u), f"^{edge}+|{edge}+$", "")))
 
 
@@ -149,10 +150,6 @@ def signatures(text: Column) -> Column:
     return tx.count(text, "(?iU)" + lx.SIGNATURE)
 
 
-def promo_symbols(text: Column) -> Column:
-    return tx.count(text, f"[{lx.PROMO_SYMBOLS}]")
-
-
 def digit_runs(text: Column) -> Column:
     return tx.count(text, r"(?U)\b\d{4,}\b")
 

@@ -1,10 +1,13 @@
 """Column expressions over texts: character classes, words, lines and tokens.
 
-They follow Python's rules for white space, digits and case where these differ from Java's.
+They follow Python's rules for white space, digits and case where these differ from Java's. Counts of characters of any
+class come from one table of the text's characters (``histogram``), not from a scan of the text for each class.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,19 +63,40 @@ def sum_lengths(items: Column) -> Column:
     return F.aggregate(items, F.lit(0), lambda s, w: s + F.length(w))
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a value that is computed once, however often it is used there, within lambdas too."""
+    return F.transform(F.array(value), make)[0]
+
+
 def multiplicities(items: Column) -> Column:
-    """struct(top, repeated): the largest multiplicity and how many items occur more than once; one sort, no shuffle."""
-    zero = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("top"), F.lit(0).alias("repeated"))
+    """array<struct<c, n>>: each distinct item and how often it occurs, in order; one sort within the row, no shuffle."""
+
+    def tabled(s: Column) -> Column:
+        starts = F.filter(F.transform(s, lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        return bound(starts, lambda b: F.transform(b, lambda at, k: F.struct(s[at].alias("c"), (F.coalesce(F.get(b, k + 1), F.size(s)) - at).alias("n"))))
+
+    return bound(F.array_sort(items), tabled)
+
+
+def histogram(text: Column) -> Column:
+    """The distinct characters of a text and how often each occurs."""
+    return multiplicities(F.filter(characters(text), lambda c: c != ""))
+
+
+def count_where(hist: Column, test: Callable[[Column], Column]) -> Column:
+    """Characters for which the test holds."""
+    return F.aggregate(F.filter(hist, lambda h: test(h["c"])), F.lit(0), lambda s, h: s + h["n"])
+
+
+def count_class(hist: Column, pattern: str) -> Column:
+    """Characters that a pattern for one character matches."""
+    return count_where(hist, lambda c: c.rlike(pattern))
 
-    def step(s: Column, w: Column) -> Column:
-        run = F.when(w == s["last"], s["run"] + 1).otherwise(1)
-        return F.struct(w.alias("last"), run.alias("run"), F.greatest(s["top"], run).alias("top"), (s["repeated"] + F.when(run == 2, 1).otherwise(0)).alias("repeated"))
 
-    return F.aggregate(F.array_sort(items), zero, step)
+def count_signs(hist: Column, *signs: str) -> Column:
+    return count_where(hist, lambda c: c.isin(*signs))
 
 
-def entropy(text: Column) -> Column:
-    """Shannon entropy of the characters in bits."""
-    n = F.length(text).cast("double")
-    shares = F.transform(F.array_distinct(characters(text)), lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / F.length(c) / n)
-    return F.when(F.length(text) == 0, 0.0).otherwise(-F.aggregate(shares, F.lit(0.0), lambda s, p: s + p * F.log2(p)))
+def entropy(hist: Column, n: Column) -> Column:
+    """Shannon entropy of the ``n`` characters in bits."""
+    return F.when(n == 0, 0.0).otherwise(bound(n.cast("double"), lambda m: -F.aggregate(hist, F.lit(0.0), lambda s, h: s + h["n"] / m * F.log2(h["n"] / m))))

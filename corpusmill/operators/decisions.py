@@ -12,7 +12,7 @@ LANGUAGE_THRESHOLD, SPAM_THRESHOLD, QUALITY_THRESHOLD = 0.75, 0.75, 0.65
 CERTAIN = 0.90
 
 
-def language_keep(language: Column, score: Column, wanted: str = "it", threshold: float = LANGUAGE_THRESHOLD) -> Column:
+def language_keep(language: Column, score: Column, wanted: str | Column = "it", threshold: float = LANGUAGE_THRESHOLD) -> Column:
     return F.coalesce((language == wanted) & (score > threshold), F.lit(False))
 
 
@@ -71,6 +71,17 @@ def quality_decision(score: Column, complete: Column, threshold: float = QUALITY
     return F.struct(good.alias("keep"), reason.alias("reason"), F.when(good, "good").otherwise("bad").alias("label"), F.round(F.coalesce(s, F.lit(0.0)), 4).alias("score"))
 
 
+def tagged(df: DataFrame, spam: Column | None = None, quality: Column | None = None) -> DataFrame:
+    """The steps that tag and never drop: all rows, with the labels and scores of the decisions (``spam_decision``,
+    ``quality_decision``) that are given as columns."""
+    out = df
+    if spam is not None:
+        out = out.withColumns({"spam_pred_label": spam["pred_label"], "spam_pred_score": spam["pred_score"]})
+    if quality is not None:
+        out = out.withColumns({"quality_label": quality["label"], "quality_score": quality["score"]})
+    return out
+
+
 def complete(struct: Column, names: list[str]) -> Column:
     out = F.lit(True)
     for k in names:
@@ -85,7 +96,11 @@ def valid_labels(df: DataFrame, label: str, allowed: tuple[str, ...] = ("ham", "
 
 
 def reject_audit(rejects: DataFrame, text: str, label: str, stage: str) -> DataFrame:
-    """Rejected rows by gold label: text, label_rilevata, scartato_da, file (good or bad); rows without a label are left out."""
+    """Rejected rows by gold label: text, label_rilevata, scartato_da, file (good or bad).
+
+    Rows without a label, and stages that only serve inspection, are left out.
+    """
+    rejects = rejects.filter(~F.coalesce(F.contains(F.col(stage), F.lit("inspection")), F.lit(False)))
     clean = F.lower(tx.stripped(F.col(label).cast("string")))
     rows = rejects.filter(F.col(label).isNotNull() & (F.col(label).cast("string") != ""))
     return rows.select(F.col(text).alias("text"), clean.alias("label_rilevata"), F.col(stage).alias("scartato_da"), F.when(clean == "good", "good").otherwise("bad").alias("file"))

@@ -1,6 +1,6 @@
 """Metrics of binary scores: confusion, reports, rank statistics, curves, sweeps, correlations, folds.
 
-Everything that needs an order aggregates by distinct score first, so windows run over distinct scores, not rows.
+Everything that needs an order aggregates by distinct score first and takes running sums over range partitions of these.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..tables import cut, ranked
+
 
 def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
@@ -69,10 +71,11 @@ def by_score(df: DataFrame, y: str, score: str) -> DataFrame:
 
 def cumulated(df: DataFrame, y: str, score: str) -> DataFrame:
     """Per distinct score, from the highest: tp and fp when it is the threshold."""
-    upto = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.partitionBy()
-    s = by_score(df, y, score)
-    return s.select("score", "pos", "neg", F.sum("pos").over(upto).alias("tp"), F.sum("neg").over(upto).alias("fp"), F.sum("pos").over(every).alias("n_pos"), F.sum("neg").over(every).alias("n_neg"))
+    s = cut(by_score(df, y, score))
+    every = s.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")).first()
+    before = ranked(s, [F.desc("score")], "_place", {"_tp": "pos", "_fp": "neg"})
+    n = lambda k: F.lit(every[k] or 0).cast("long").alias(k)
+    return before.select("score", "pos", "neg", (F.col("_tp") + F.col("pos")).alias("tp"), (F.col("_fp") + F.col("neg")).alias("fp"), n("n_pos"), n("n_neg"))
 
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
@@ -97,30 +100,64 @@ def pr_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     return cumulated(df, y, score).select(F.col("score").alias("threshold"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("n_pos")).alias("recall"))
 
 
-def threshold_sweep(df: DataFrame, y: str, score: str, thresholds: list[float]) -> DataFrame:
-    """One row per threshold: confusion and all rates, in one pass over the rows."""
+def threshold_sweep(df: DataFrame, y: str, score: str, thresholds: list[float], positive: str = "spam", negative: str = "ham") -> DataFrame:
+    """One row per threshold: rates, confusion and operating counts by name of the class, in one pass over the rows."""
     hit = lambda t, a, up: F.count(F.when((F.col(y) == a) & ((F.col(score) >= t) if up else (F.col(score) < t)), 1))
     made = df.agg(*[F.struct(F.lit(t).alias("threshold"), hit(t, 0, False).alias("tn"), hit(t, 0, True).alias("fp"), hit(t, 1, False).alias("fn"), hit(t, 1, True).alias("tp")).alias(f"t{i}") for i, t in enumerate(thresholds)])
     rows = made.select(F.explode(F.array(*[f"t{i}" for i in range(len(thresholds))])).alias("r")).select("r.*")
-    return rows.select("threshold", "tn", "fp", "fn", "tp", *[v.alias(k) for k, v in rates().items()])
+    return rows.select("threshold", *[v.alias(k) for k, v in sweep_columns(positive, negative).items()])
 
 
-def correlations(df: DataFrame, names: list[str]) -> DataFrame:
-    """Pearson correlation of every pair a < b of columns, in one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    made = df.agg(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return made.select(F.explode(F.array(*[f"p{i}" for i in range(len(pairs))])).alias("p")).select("p.*")
+def sweep_columns(p: str, n: str) -> dict[str, Column]:
+    """The columns of a sweep from tn, fp, fn, tp, for classes named ``p`` and ``n``."""
+    tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
+    r = rates()
+    out = {"accuracy": r["accuracy"], "balanced_accuracy": r["balanced_accuracy"]}
+    out |= {f"{k}_{name}": r[f"{k}_{i}"] for name, i in ((p, 1), (n, 0)) for k in ("precision", "recall", "f1")}
+    out |= {"true_negative": tn, "false_positive": fp, "false_negative": fn, "true_positive": tp}
+    out |= {f"true_{n}": tn + fp, f"true_{p}": tp + fn, f"predicted_{n}": tn + fn, f"predicted_{p}": fp + tp}
+    out |= {f"{n}_correct": tn, f"{n}_lost_as_{p}": fp, f"{n}_preservation_rate": r["preservation_rate"], f"{n}_loss_rate": r["loss_rate"]}
+    out |= {f"{p}_in_predicted_{n}": fn, f"{p}_contamination_in_predicted_{n}": r["contamination_rate"]}
+    out |= {f"{p}_detected": tp, f"{p}_missed_as_{n}": fn, f"{p}_detection_rate": r["detection_rate"], f"{p}_miss_rate": r["miss_rate"]}
+    return out | {f"fp_rate_on_{n}": r["loss_rate"], f"fn_rate_on_{p}": r["miss_rate"]}
+
+
+def correlations(df: DataFrame, names: list[str], least: float | None = None) -> DataFrame:
+    """Pearson correlation of every pair a < b of columns (in the order given); null where a column is constant.
+
+    With ``least`` only the pairs of a larger magnitude. Columns are standardised in one pass and multiplied in
+    another; only the matrix goes to the driver.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+
+    x = lambda k: F.coalesce(F.col(k).cast("double"), F.lit(0.0))
+    facts = df.agg(*[f(x(k)).alias(f"{i}_{j}") for i, k in enumerate(names) for j, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean, std = [facts[f"{i}_m"] or 0.0 for i in range(len(names))], [facts[f"{i}_s"] or 0.0 for i in range(len(names))]
+    z = F.array(*[(x(k) - F.lit(m)) / F.lit(s) if s > 1e-12 * max(1.0, abs(m)) else F.lit(0.0) for k, m, s in zip(names, mean, std, strict=True)])
+    found = Correlation.corr(df.select(array_to_vector(z).alias("z")), "z").first()[0].toArray() if facts["0_m"] is not None else None
+    flat = [s <= 1e-12 * max(1.0, abs(m)) for m, s in zip(mean, std, strict=True)]
+    r = lambda i, j: None if found is None or flat[i] or flat[j] else float(found[i, j])
+    rows = [(a, b, r(i, j)) for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    kept = rows if least is None else [x for x in rows if x[2] is not None and abs(x[2]) > least]
+    return df.sparkSession.createDataFrame(kept, "a string, b string, r double")
+
+
+def _corr(x: Column, y: Column) -> Column:
+    """Pearson correlation; ``corr`` itself fails on a constant column."""
+    scale = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.when(scale > 0, F.try_divide(F.covar_pop(x, y), scale))
 
 
 def label_correlations(df: DataFrame, names: list[str], y: str) -> DataFrame:
-    """Correlation of each column with the label, largest magnitude first."""
-    made = df.agg(*[F.struct(F.lit(a).alias("feature"), F.corr(F.col(a).cast("double"), F.col(y).cast("double")).alias("r")).alias(f"p{i}") for i, a in enumerate(names)])
+    """Correlation of each column with the label, largest magnitude first; null for a constant column."""
+    made = df.agg(*[F.struct(F.lit(a).alias("feature"), _corr(F.col(a).cast("double"), F.col(y).cast("double")).alias("r")).alias(f"p{i}") for i, a in enumerate(names)])
     return made.select(F.explode(F.array(*[f"p{i}" for i in range(len(names))])).alias("p")).select("p.*").orderBy(F.desc_nulls_last(F.abs("r")), "feature")
 
 
-def stacked(df: DataFrame, names: list[str]) -> DataFrame:
-    """(feature, value) rows of the named columns."""
-    return df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.col(k).cast("double").alias("value")) for k in names])).alias("x")).select("x.*")
+def stacked(df: DataFrame, names: list[str], kept: list[str] | None = None) -> DataFrame:
+    """(feature, value) rows of the named columns, with the ``kept`` ones."""
+    return df.select(*(kept or []), F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.col(k).cast("double").alias("value")) for k in names])).alias("x")).select(*(kept or []), "x.*")
 
 
 def scaler_fit(df: DataFrame, names: list[str]) -> DataFrame:

@@ -20,35 +20,36 @@ VOWELS = "aeiouàèéìòù"
 
 
 def prepared(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds what several features share: t, n, ws (words), low (lower-cased words), wc, sc (sentences)."""
+    """Adds what several features share: t, n, ws (words), low (lower-cased words), wc, hist and often (the characters and the lower-cased words with their counts), sc (sentences)."""
     t = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn("t", t).withColumn("n", F.length("t")).withColumn("ws", tx.words(F.col("t")))
     out = out.withColumn("low", F.transform("ws", lambda w: F.lower(w))).withColumn("wc", F.size("ws"))
-    return out.withColumn("sc", F.greatest(F.lit(1), tx.count(F.col("t"), "[.?!]")))
+    out = out.withColumn("hist", tx.histogram(F.col("t"))).withColumn("often", tx.multiplicities(F.col("low")))
+    return out.withColumn("sc", F.greatest(F.lit(1), tx.count_signs(F.col("hist"), ".", "?", "!")))
 
 
 def expressions() -> dict[str, Column]:
     """Feature name -> expression over the columns of ``prepared``; every ratio is 0 where it has nothing to divide by."""
-    t, n, ws, low, wc, sc = (F.col(c) for c in ("t", "n", "ws", "low", "wc", "sc"))
-    share = lambda pattern: tx.per(tx.count(t, pattern), n)
-    literal = lambda *signs: tx.per(sum((tx.count_literal(t, s) for s in signs), F.lit(0)), n)
+    t, n, ws, low, wc, sc, hist, often = (F.col(c) for c in ("t", "n", "ws", "low", "wc", "sc", "hist", "often"))
+    share = lambda pattern: tx.per(tx.count_class(hist, pattern), n)
+    signs = lambda *which: tx.per(tx.count_signs(hist, *which), n)
     some = lambda test: tx.per(F.size(F.filter(ws, test)), wc)
+    where = lambda hint, pattern: F.when(F.contains(t, F.lit(hint)), tx.count(t, pattern)).otherwise(0)
     lines, paragraphs = tx.lines(t), F.size(F.filter(F.split(t, "\n\n"), lambda p: ~tx.blank(p)))
     upper, lower = lambda w: w.rlike(tx.UPPER), lambda w: w.rlike(tx.LOWER)
-    bullets, urls = tx.count(t, f"(?md)^[{tx.WS}]*[-*•][{tx.WS}]"), tx.count(t, lx.PLAIN_URL)
-    emails = F.when(F.contains(t, F.lit("@")), tx.count(t, "(?U)" + lx.EMAIL_WITH_BAR)).otherwise(0)
-    tags, runs = tx.count(t, lx.HTML_TAG), tx.count(t, r"(?d)(.)\1{2,}")
-    often, distinct = tx.multiplicities(low), F.size(F.array_distinct(low))
-    stop = F.array(*[F.lit(w) for w in lx.STOPWORDS])
-    letters = tx.count(t, rf"[\p{{L}}&&[^{VOWELS}{VOWELS.upper()}]]")
+    bullets, urls = tx.count(t, f"(?md)^[{tx.WS}]*[-*•][{tx.WS}]"), where("://", lx.PLAIN_URL)
+    emails, tags = where("@", "(?U)" + lx.EMAIL_WITH_BAR), where("<", lx.HTML_TAG)
+    runs = tx.count(t, r"(?d)(.)\1{2,}")
+    repeated, distinct = F.size(F.filter(often, lambda x: x["n"] > 1)), F.size(often)
+    letters = tx.count_class(hist, rf"[\p{{L}}&&[^{VOWELS}{VOWELS.upper()}]]")
     out = {
         "length": n,
         "white_space_ratio": share(f"[{tx.WS}]"),
         "non_alpha_digit_ratio": share(r"[^\p{L}\p{N}]"),
         "digit_ratio": share(f"[{tx.DIGIT}]"),
         "uppercase_ratio": share(tx.UPPER),
-        "elipsis_ratio": share(r"\.\.\.|…"),
-        "punctuation_ratio": share(r"[.,;:!?()\[\]\"']"),
+        "elipsis_ratio": tx.per(tx.count_literal(t, "...") + tx.count_signs(hist, "…"), n),
+        "punctuation_ratio": signs(*".,;:!?()[]\"'"),
         "word_count": wc,
         "sentence_count": F.when(n == 0, 0).otherwise(sc),
         "vocabulary_size": distinct,
@@ -57,15 +58,15 @@ def expressions() -> dict[str, Column]:
         "consonant_ratio": tx.per(letters, n),
         "avg_word_length": tx.per(tx.sum_lengths(ws), wc),
         "avg_sentence_length": tx.per(wc, sc),
-        "quote_ratio": literal('"', "'", "«", "»"),
-        "parenthesis_ratio": literal("(", ")"),
-        "comma_ratio": literal(","),
-        "period_ratio": literal("."),
-        "question_mark_ratio": literal("?"),
-        "exclamation_ratio": literal("!"),
-        "colon_ratio": literal(":"),
-        "semicolon_ratio": literal(";"),
-        "stopword_ratio": tx.per(F.size(F.filter(low, lambda w: F.array_contains(stop, w))), wc),
+        "quote_ratio": signs('"', "'", "«", "»"),
+        "parenthesis_ratio": signs("(", ")"),
+        "comma_ratio": signs(","),
+        "period_ratio": signs("."),
+        "question_mark_ratio": signs("?"),
+        "exclamation_ratio": signs("!"),
+        "colon_ratio": signs(":"),
+        "semicolon_ratio": signs(";"),
+        "stopword_ratio": tx.per(F.size(F.filter(low, lambda w: w.isin(*lx.STOPWORDS))), wc),
         "line_count": F.size(lines),
         "paragraph_count": paragraphs,
         "avg_line_length": tx.per(n, F.size(lines)),
@@ -79,20 +80,20 @@ def expressions() -> dict[str, Column]:
         "email_density": tx.per(emails, wc),
         "html_tag_count": tags,
         "html_tag_ratio": tx.per(tags, n),
-        "special_char_ratio": share("[@#$%^&*+=]"),
-        "most_common_word_freq": often["top"],
-        "repeated_word_count": often["repeated"],
-        "repeated_word_ratio": tx.per(often["repeated"], wc),
+        "special_char_ratio": signs(*"@#$%^&*+="),
+        "most_common_word_freq": F.coalesce(F.array_max(F.transform(often, lambda x: x["n"])), F.lit(0)),
+        "repeated_word_count": repeated,
+        "repeated_word_ratio": tx.per(repeated, wc),
         "repeated_char_count": runs,
         "repeated_char_ratio": tx.per(runs, n),
         "repeated_sequence_count": tx.count(t, rf"(?iU)(\b\w+\b[{tx.WS}]+)\1+"),
-        "text_entropy": tx.entropy(t),
+        "text_entropy": tx.entropy(hist, n),
         "unique_word_count": distinct,
         "unique_word_ratio": tx.per(distinct, wc),
         "all_caps_word_ratio": some(lambda w: upper(w) & ~lower(w) & (F.length(w) > 1)),
         "all_lowercase_word_ratio": some(lambda w: lower(w) & ~upper(w)),
         "mixed_case_word_ratio": some(lambda w: lower(w) & upper(w)),
-        "consecutive_spaces_count": tx.count(t, " {2,}"),
+        "consecutive_spaces_count": where("  ", " {2,}"),
         "consecutive_punctuation_count": tx.count(t, "[.!?,;:]{2,}"),
     }
     return {k: out[k].cast("int" if k == "length" or k.endswith(("_count", "_size", "_freq")) else "double") for k in FEATURES}

@@ -13,17 +13,18 @@ from ..functions import text as tx
 COLUMNS = """doc_id target_label spam_target_label char_count word_count unique_word_count unique_word_ratio avg_word_length
 digit_count digit_ratio uppercase_ratio punctuation_ratio whitespace_ratio exclamation_count question_count newline_count
 currency_symbol_count url_count_text unique_url_count_text unique_domain_count_text email_count_text url_density email_density
-amount_pattern_count promo_code_pattern_count action_phrase_count promo_symbol_count uppercase_token_count short_line_count
-short_token_count ham_business_hits ham_formal_hits ham_admin_doc_hits ham_technical_business_hits business_signature_hits
-digit_run_count has_link_and_cta has_urgency_and_cta has_brand_and_link has_money_and_cta has_account_and_security
-has_delivery_and_link symbol_pressure_score has_ham_and_no_url has_formal_and_no_cta has_admin_doc_and_no_url
-has_technical_business_and_no_cta has_signature_and_no_cta suspicious_tld_count shortener_url_count cta_plus_url_score
-brand_plus_link_score urgency_cta_url_combo money_cta_combo spam_keyword_hits urgency_keyword_hits money_keyword_hits
-cta_keyword_hits account_keyword_hits security_keyword_hits delivery_keyword_hits brand_keyword_hits unsubscribe_keyword_hits
-promo_keyword_hits lang_score lang_is_ita ham_to_spam_keyword_ratio ham_to_cta_ratio ham_strength_to_spam_ratio
-ham_strength_score noise_score spam_intent_score noise_without_spam_intent promo_symbol_count_clip exclamation_count_clip
-digit_run_count_clip uppercase_token_count_clip safe_security_ham_hits safe_security_to_spam_ratio spam_keyword_density
-cta_keyword_density money_keyword_density urgency_keyword_density ham_business_density""".split()
+amount_pattern_count promo_code_pattern_count short_line_count short_token_count suspicious_tld_count shortener_url_count
+cta_plus_url_score brand_plus_link_score ham_business_hits ham_formal_hits ham_admin_doc_hits ham_technical_business_hits
+business_signature_hits action_phrase_count promo_symbol_count uppercase_token_count digit_run_count has_link_and_cta
+has_urgency_and_cta has_brand_and_link has_money_and_cta has_account_and_security has_delivery_and_link has_ham_and_no_url
+has_formal_and_no_cta has_admin_doc_and_no_url has_technical_business_and_no_cta has_signature_and_no_cta
+symbol_pressure_score urgency_cta_url_combo money_cta_combo spam_keyword_hits urgency_keyword_hits money_keyword_hits
+cta_keyword_hits account_keyword_hits security_keyword_hits delivery_keyword_hits brand_keyword_hits
+unsubscribe_keyword_hits promo_keyword_hits lang_score lang_is_ita ham_to_spam_keyword_ratio ham_to_cta_ratio
+ham_strength_to_spam_ratio ham_strength_score noise_score spam_intent_score noise_without_spam_intent
+promo_symbol_count_clip exclamation_count_clip digit_run_count_clip uppercase_token_count_clip safe_security_ham_hits
+safe_security_to_spam_ratio spam_keyword_density cta_keyword_density money_keyword_density urgency_keyword_density
+ham_business_density""".split()
 # End of the fixed values.
 # Columns that the model does not see. ``shortner_url_count`` is misspelt in the lists that results are
 # compared with, so ``shortener_url_count`` stays an input.
@@ -64,16 +65,16 @@ def ramp(x: Column, a: float, b: float, c: float, d: float) -> Column:
     return F.when(x.between(b, c), 1.0).when((x >= a) & (x < b), (x - a) / (b - a)).when((x > c) & (x <= d), 1 - (x - c) / (d - c)).otherwise(0.0)
 
 
-def language_parts(text: Column, toks: Column, language_score: Column) -> Column:
-    """struct of the ratios that the language score weighs; ``text`` is stripped, ``toks`` lower-cased."""
+def language_parts(text: Column, toks: Column, language_score: Column, hist: Column) -> Column:
+    """struct of the ratios that the language score weighs; ``text`` is stripped, ``toks`` lower-cased, ``hist`` its characters."""
     n, k = F.length(text), F.size(toks)
-    member = lambda listed: F.size(F.filter(toks, lambda w: F.array_contains(F.array(*[F.lit(x) for x in listed]), w)))
+    member = lambda listed: F.size(F.filter(toks, lambda w: w.isin(*listed)))
     parts = F.filter(F.transform(F.split(text, r"[.!?\n\r;:]+"), tx.stripped), lambda c: c != "")
     return F.struct(
-        tx.per(tx.count(text, r"\p{L}"), n).alias("alpha"),
-        tx.per(tx.count(text, f"[{tx.DIGIT}]"), n).alias("digit"),
-        tx.per(tx.count(text, rf"[^\p{{L}}\p{{N}}{tx.WS}]"), n).alias("punct"),
-        tx.per(tx.count(text, f"[{lx.ACCENTED}{lx.ACCENTED.upper()}]"), n).alias("accented"),
+        tx.per(tx.count_class(hist, r"\p{L}"), n).alias("alpha"),
+        tx.per(tx.count_class(hist, f"[{tx.DIGIT}]"), n).alias("digit"),
+        tx.per(tx.count_class(hist, rf"[^\p{{L}}\p{{N}}{tx.WS}]"), n).alias("punct"),
+        tx.per(tx.count_class(hist, f"[{lx.ACCENTED}{lx.ACCENTED.upper()}]"), n).alias("accented"),
         tx.per(member(lx.MINI_STOPWORDS), k).alias("stop"),
         tx.per(member(lx.COMMON_WORDS), k).alias("common"),
         tx.per(F.size(F.filter(toks, lambda w: F.length(w) >= 4)), k).alias("long"),
@@ -99,28 +100,28 @@ def prepared(docs: DataFrame, text: str, doc_id: Column, labels: list[Column], l
     """Shared columns, in stages so that none is computed twice."""
     held = F.struct(*docs.columns).alias("_row")
     out = docs.select(held, doc_id.cast("string").alias("id"), spam_label(*labels).alias("label"), language.cast("string").alias("language"), score.cast("double").alias("lid"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    out = out.withColumn("n", F.length("t")).withColumn("toks", tx.tokens(F.col("t"))).withColumn("pad", mt.padded(F.col("t"))).withColumn("urls", mt.urls(F.col("t")))
+    out = out.withColumn("n", F.length("t")).withColumn("hist", tx.histogram(F.col("t"))).withColumn("toks", tx.tokens(F.col("t"))).withColumn("pad", mt.padded(F.col("t"))).withColumn("urls", mt.urls(F.col("t")))
     out = out.withColumn("hits", mt.term_table(F.col("pad"), lx.CATEGORIES))
     return out.withColumn("low", F.transform("toks", lambda w: F.lower(w))).withColumn("wc", F.size("toks"))
 
 
 def counts() -> dict[str, Column]:
     """Base counts over the columns of ``prepared``; all other columns are algebra over these."""
-    t, toks, hits, found, low, n = (F.col(c) for c in ("t", "toks", "hits", "urls", "low", "n"))
+    t, toks, hits, found, low, n, hist = (F.col(c) for c in ("t", "toks", "hits", "urls", "low", "n", "hist"))
     digits, others = f"[{tx.DIGIT}]", rf"[^\p{{L}}\p{{N}}{tx.WS}]"
     has_cta, has_link = lambda c: mt.any_term(mt.padded(c), lx.CTA), mt.has_url
     cta, linked = mt.category_hits(hits, lx.CATEGORIES, "cta"), F.size(found) > 0
     guard = lambda test, x: F.when(test, x).otherwise(0)
     return {
         "char_count": n,
-        "digit_count": tx.count(t, digits),
-        "upper_count": tx.count(t, rf"[{tx.UPPER}&&[^{tx.DIGIT}]]"),
-        "space_count": tx.count(t, f"[{tx.WS}]"),
-        "punct_count": tx.count(t, rf"[{others}&&[^{tx.UPPER}]]"),
-        "exclamation_count": tx.count(t, "!"),
-        "question_count": tx.count(t, r"\?"),
-        "newline_count": tx.count(t, "\n"),
-        "currency_symbol_count": tx.count(t, "[€$]"),
+        "digit_count": tx.count_class(hist, digits),
+        "upper_count": tx.count_class(hist, rf"[{tx.UPPER}&&[^{tx.DIGIT}]]"),
+        "space_count": tx.count_class(hist, f"[{tx.WS}]"),
+        "punct_count": tx.count_class(hist, rf"[{others}&&[^{tx.UPPER}]]"),
+        "exclamation_count": tx.count_signs(hist, "!"),
+        "question_count": tx.count_signs(hist, "?"),
+        "newline_count": tx.count_signs(hist, "\n"),
+        "currency_symbol_count": tx.count_signs(hist, "€", "$"),
         "word_count": F.col("wc"),
         "unique_word_count": F.size(F.array_distinct(low)),
         "token_chars": tx.sum_lengths(toks),
@@ -130,7 +131,7 @@ def counts() -> dict[str, Column]:
         "email_count": F.size(mt.emails(t)),
         "amount_pattern_count": mt.amounts(t),
         "promo_code_pattern_count": mt.promo_codes(t),
-        "promo_symbol_count": mt.promo_symbols(t),
+        "promo_symbol_count": tx.count_signs(hist, *lx.PROMO_SYMBOLS),
         "uppercase_token_count": mt.upper_tokens(toks),
         "short_line_count": mt.short_lines(t),
         "short_token_count": mt.short_tokens(toks),
@@ -204,7 +205,7 @@ def spam_features(docs: DataFrame, text: str = "text", doc_id: Column | None = N
     """All columns of ``docs`` plus the struct ``out`` of the 84 columns (or the named ones), in their fixed order; a null text counts as empty."""
     none = F.lit(None)
     ready = prepared(docs, text, doc_id if doc_id is not None else F.lit(""), labels or [], language if language is not None else none, score if score is not None else none)
-    parts = language_parts(tx.stripped(F.col("t")), F.col("low"), F.col("lid"))
+    parts = language_parts(tx.stripped(F.col("t")), F.col("low"), F.col("lid"), F.col("hist"))
     counted = ready.select("_row", F.coalesce("id", F.lit("")).alias("id"), "label", parts.alias("lp"), flag(F.coalesce(F.lower("language"), F.lit("")).isin("ita", "it", "italian")).alias("lang_is_ita"), *[v.alias(k) for k, v in counts().items()])
     counted = counted.withColumn("lang_score", language_score(F.col("lp")))
     made = derived(lambda k: F.col(k).cast("double"))

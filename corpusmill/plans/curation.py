@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..operators import decisions as dc
 from ..operators import quality_features as qf
 from ..operators import spam_features as sf
+from ..operators.language import language_of
+from ..operators.models import ModelScore
 
 
 @dataclass
@@ -26,6 +28,8 @@ class Config:
     lang_threshold: float = dc.LANGUAGE_THRESHOLD
     threshold_spam: float = dc.SPAM_THRESHOLD
     threshold_quality: float = dc.QUALITY_THRESHOLD
+    spam_model: str = ""  # folders of saved models
+    quality_model: str = ""
 
     @classmethod
     def load(cls, argv: list[str] | None = None, env: dict[str, str] | None = None) -> Config:
@@ -48,23 +52,45 @@ class Config:
         return cls(**{f.name: type(f.default)(values[f.name]) for f in fields(cls) if f.name in values})
 
 
-def curate(docs: DataFrame, config: Config, spam_score: Callable[[Column], Column], quality_score: Callable[[Column], Column]) -> DataFrame:
+#: A score from the feature struct: a function of that column, or a step that adds the score to the table.
+Scorer = Callable[[Column], Column] | ModelScore
+
+
+def with_language(docs: DataFrame, scorer: Callable[[Column], Column] = language_of) -> DataFrame:
+    """``docs`` (text, meta), with meta.language and meta.language_score from the scorer where a document has no score of its own."""
+    m, found = F.col("meta"), F.col("_found")
+    known = m["language_score"].isNotNull()
+    rows = docs.withColumn("_found", F.when(~known, scorer(F.col("text"))))
+    meta = m.withField("language", F.when(known, m["language"]).otherwise(F.coalesce(found["language"], m["language"]))).withField("language_score", F.coalesce(m["language_score"], found["score"]))
+    return rows.withColumn("meta", meta).drop("_found")
+
+
+def _scored(rows: DataFrame, scorer: Scorer, features: str, out: str) -> DataFrame:
+    return scorer.apply(rows, features, out) if isinstance(scorer, ModelScore) else rows.withColumn(out, scorer(F.col(features)))
+
+
+def curate(docs: DataFrame, config: Config, spam_score: Scorer, quality_score: Scorer) -> DataFrame:
     """``docs`` (id, text, meta) plus spam, quality and decision.
 
     A stage works on an empty text where a stage before rejected the row, so it costs nothing there, and its features
-    are null for that row; one linear plan, nothing is computed twice. The two scores are columns made from the
-    feature structs. decision: stage (language, spam, quality, clean), keep, reason and the spam and quality details.
+    are null for that row; one linear plan, nothing is computed twice. An empty ``config.language`` lets any language
+    pass whose score is above the threshold. decision: stage (language, spam, quality, clean), keep, reason and the spam
+    and quality details.
     """
     m, cols = F.col("meta"), docs.columns
-    rows = docs.withColumn("_lang", dc.language_keep(m["language"], m["language_score"], config.language, config.lang_threshold))
+    wanted = F.lit(config.language) if config.language else m["language"]
+    rows = docs.withColumn("_lang", dc.language_keep(m["language"], m["language_score"], wanted, config.lang_threshold))
     rows = rows.withColumn("_text", F.when(F.col("_lang"), F.col("text")))
     rows = sf.spam_features(rows, "_text", F.col("id"), language=m["language"], score=m["language_score"], out="_spam")
     rows = rows.withColumn("spam", F.when(F.col("_lang"), F.col("_spam"))).drop("_spam")
-    rows = rows.withColumn("_sd", F.when(F.col("_lang"), dc.spam_decision(F.col("spam"), spam_score(F.col("spam")), config.threshold_spam)))
+    rows = _scored(rows, spam_score, "spam", "_spam_score")
+    rows = rows.withColumn("_sd", F.when(F.col("_lang"), dc.spam_decision(F.col("spam"), F.col("_spam_score"), config.threshold_spam)))
     rows = rows.withColumn("_kept", F.coalesce(F.col("_sd.keep"), F.lit(False))).withColumn("_text", F.when(F.col("_kept"), F.col("text")))
     rows = qf.quality_features(rows, qf.FEATURES, "_text", "_quality")
-    rows = rows.withColumn("quality", F.when(F.col("_kept"), F.col("_quality"))).drop("_quality")
-    rows = rows.withColumn("_qd", F.when(F.col("_kept"), dc.quality_decision(quality_score(F.col("quality")), dc.complete(F.col("quality"), qf.FEATURES), config.threshold_quality)))
+    full = F.struct(m["language_score"].cast("double").alias("language_score"), *[F.col("_quality")[k].alias(k) for k in qf.FEATURES])
+    rows = rows.withColumn("_full", F.when(F.col("_kept"), full)).withColumn("quality", F.when(F.col("_kept"), F.col("_quality"))).drop("_quality")
+    rows = _scored(rows, quality_score, "_full", "_quality_score")
+    rows = rows.withColumn("_qd", F.when(F.col("_kept"), dc.quality_decision(F.col("_quality_score"), dc.complete(F.col("_full"), qf.MODEL_FEATURES), config.threshold_quality)))
     stage = F.when(~F.col("_lang"), "language").when(~F.col("_kept"), "spam").when(F.col("_qd.keep"), "clean").otherwise("quality")
     reason = F.when(~F.col("_lang"), "language").otherwise(F.coalesce("_qd.reason", "_sd.reason"))
     details = {"spam_pred_label": "_sd.pred_label", "spam_pred_score": "_sd.pred_score", "spam_strong_evidence": "_sd.strong_evidence", "spam_uncertain_reason": "_sd.uncertain_reason", "quality_label": "_qd.label", "quality_score": "_qd.score"}

@@ -14,6 +14,9 @@ from .operators import metrics as mx
 from .operators import quality_features as qf
 from .operators import spam_features as sf
 from .operators import splits as sp
+from .operators.language import PROFILES, language_of
+from .session import spread
+from .tables import cut
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,7 +37,7 @@ def read(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark, sf_dir: str, names: list[str], table: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
-    docs = read(spark, sf_dir, table).select(key, text)
+    docs = spread(read(spark, sf_dir, table)).select(key, text)
     return qf.quality_features(docs, names, text).select(key, "quality.*")
 
 
@@ -106,19 +109,53 @@ def q_char_entropy(spark, sf_dir):
     return quality(spark, sf_dir, ["text_entropy"]).select("doc_id", F.round("text_entropy", 9).alias("text_entropy"))
 
 
-@query()
+_WORD_D = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+#: All 52 statistics of ``documents``: view ``qf`` (k numbers the rows). Runs are islands of equal neighbours.
+_QF = rf"""q0 AS (SELECT doc_id, row_number() OVER () AS k, text, CAST(length(text) AS DOUBLE) AS n, {_WORDS} AS ws, greatest(1, {_N("[.?!]")}) AS sc, string_split(text, chr(10)) AS raw,
+    list_filter(string_split(text, chr(10) || chr(10)), lambda p: regexp_matches(p, '\S')) AS ps FROM documents),
+  q1 AS (SELECT *, CASE WHEN raw[-1] = '' THEN raw[:-2] ELSE raw END AS ls FROM q0),
+  qw AS (SELECT k, max(m) AS top, count(*) FILTER (WHERE m > 1) AS rep, count(*) AS dist FROM (SELECT k, w, count(*) AS m FROM (SELECT k, unnest(list_transform(ws, lambda w: lower(w))) AS w FROM q0) GROUP BY k, w) GROUP BY k),
+  qc AS (SELECT k, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS i FROM q0),
+  qe AS (SELECT k, round(-sum(p * log2(p)), 9) AS h FROM (SELECT k, m / sum(m) OVER (PARTITION BY k) AS p FROM (SELECT k, ch, count(*) AS m FROM qc GROUP BY k, ch)) GROUP BY k),
+  qr AS (SELECT k, count(*) AS runs FROM (SELECT k, ch, g, count(*) AS m FROM (SELECT k, ch, i - row_number() OVER (PARTITION BY k, ch ORDER BY i) AS g FROM qc) GROUP BY k, ch, g) WHERE m >= 3 AND ch <> chr(10) GROUP BY k),
+  qu AS (SELECT k, unnest(us) AS u, generate_subscripts(us, 1) AS i FROM (SELECT k, regexp_extract_all(lower(text), '{_WORD_D}+\s*|[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}]+') AS us FROM q0)),
+  qs AS (SELECT k, count(*) AS seqs FROM (SELECT k, u, g, count(*) AS m FROM (SELECT k, u, i - row_number() OVER (PARTITION BY k, u ORDER BY i) AS g FROM qu WHERE regexp_matches(u, '^{_WORD_D}+\s+$')) GROUP BY k, u, g) WHERE m >= 2 GROUP BY k),
+  qf AS (SELECT q1.k, doc_id, CAST(n AS INT) AS length, {_N(r"\s")} / n AS white_space_ratio, {_N(r"[^\p{L}\p{N}]")} / n AS non_alpha_digit_ratio, {_N(r"\p{Nd}")} / n AS digit_ratio, {_N(r"\p{Lu}")} / n AS uppercase_ratio,
+    {_N(r"\.\.\.|…")} / n AS elipsis_ratio, {_N(r"[.,;:!?()\[\]\x22\x27]")} / n AS punctuation_ratio, CAST(len(ws) AS INT) AS word_count, CAST(sc AS INT) AS sentence_count, CAST(coalesce(dist, 0) AS INT) AS vocabulary_size,
+    {_N(r"\p{Ll}")} / n AS lowercase_ratio, {_N("[aeiouàèéìòù]", "lower(text)")} / n AS vowel_ratio, ({_N(r"\p{L}")} - {_N("[aeiouàèéìòùAEIOUÀÈÉÌÒÙ]")}) / n AS consonant_ratio,
+    coalesce(list_sum(list_transform(ws, lambda w: length(w))) / nullif(len(ws), 0), 0) AS avg_word_length, len(ws) / sc AS avg_sentence_length, {_N("[\\x22\\x27«»]")} / n AS quote_ratio, {_N("[()]")} / n AS parenthesis_ratio,
+    {", ".join(f"(n - length(replace(text, '{x}', ''))) / n AS {k}" for k, x in _LITERALS.items())},
+    coalesce(len(list_filter(ws, lambda w: list_contains({_STOP}, lower(w)))) / nullif(len(ws), 0), 0) AS stopword_ratio,
+    CAST(len(ls) AS INT) AS line_count, CAST(len(ps) AS INT) AS paragraph_count, coalesce(n / nullif(len(ls), 0), 0) AS avg_line_length, coalesce(n / nullif(len(ps), 0), 0) AS avg_paragraph_length,
+    coalesce(len(list_filter(ls, lambda x: NOT regexp_matches(x, '\S'))) / nullif(len(ls), 0), 0) AS empty_line_ratio, CAST({_N(r"(?m)^\s*[-*•]\s")} AS INT) AS bullet_point_count, {_N(r"(?m)^\s*[-*•]\s")} / n AS bullet_point_ratio,
+    CAST({_N(r"https?://[^\s)>\]\x22\x27}]*")} AS INT) AS url_count, coalesce({_N(r"https?://[^\s)>\]\x22\x27}]*")} / nullif(len(ws), 0), 0) AS url_density,
+    CAST({_N(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b")} AS INT) AS email_count, coalesce({_N(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b")} / nullif(len(ws), 0), 0) AS email_density,
+    CAST({_N("<[^>]+>")} AS INT) AS html_tag_count, {_N("<[^>]+>")} / n AS html_tag_ratio, {_N("[@#$%^&*+=]")} / n AS special_char_ratio,
+    CAST(coalesce(top, 0) AS INT) AS most_common_word_freq, CAST(coalesce(rep, 0) AS INT) AS repeated_word_count, coalesce(rep / nullif(len(ws), 0), 0) AS repeated_word_ratio,
+    CAST(coalesce(runs, 0) AS INT) AS repeated_char_count, coalesce(runs, 0) / n AS repeated_char_ratio, CAST(coalesce(seqs, 0) AS INT) AS repeated_sequence_count, h AS text_entropy,
+    CAST(coalesce(dist, 0) AS INT) AS unique_word_count, coalesce(dist / nullif(len(ws), 0), 0) AS unique_word_ratio, {_SHARE(f"{_UP} AND NOT {_LOW} AND length(w) > 1")} AS all_caps_word_ratio,
+    {_SHARE(f"{_LOW} AND NOT {_UP}")} AS all_lowercase_word_ratio, {_SHARE(f"{_LOW} AND {_UP}")} AS mixed_case_word_ratio, CAST({_N(" {2,}")} AS INT) AS consecutive_spaces_count, CAST({_N("[.!?,;:]{2,}")} AS INT) AS consecutive_punctuation_count
+    FROM q1 LEFT JOIN qw USING (k) LEFT JOIN qe USING (k) LEFT JOIN qr USING (k) LEFT JOIN qs USING (k))"""
+
+
+def quality_rows(spark, sf_dir: str) -> DataFrame:
+    """doc_id and all 52 statistics, the entropy to 9 digits."""
+    return quality(spark, sf_dir, qf.FEATURES).withColumn("text_entropy", F.round("text_entropy", 9))
+
+
+@query(f"WITH {_QF} SELECT doc_id, repeated_char_count, repeated_char_ratio, repeated_sequence_count FROM qf")
 def q_repeated_runs(spark, sf_dir):
     return quality(spark, sf_dir, ["repeated_char_count", "repeated_char_ratio", "repeated_sequence_count"])
 
 
-@query()
+@query(f"WITH {_QF} SELECT * EXCLUDE (k) FROM qf")
 def q_quality_features(spark, sf_dir):
-    return quality(spark, sf_dir, qf.FEATURES)
+    return quality_rows(spark, sf_dir)
 
 
 # --- spam ---------------------------------------------------------------------------------------------------------
 def spam(spark, sf_dir: str, names: list[str], table: str = "documents", key: str = "doc_id", text: str = "text") -> DataFrame:
-    docs = read(spark, sf_dir, table)
+    docs = spread(read(spark, sf_dir, table))
     language = F.col("lang") if "lang" in docs.columns else F.lit(None)
     return sf.spam_features(docs.select(key, text, *(["lang"] if "lang" in docs.columns else [])), text, F.col(key), [], language, names=names).select(key, *[F.col("spam")[k].alias(k) for k in names])
 
@@ -190,13 +227,13 @@ _EDGE_D = r"^[.,;:!?()\[\]{}<>\x22\x27]+|[.,;:!?()\[\]{}<>\x22\x27]+$"
 _URL_FEATURES = ["url_count_text", "unique_url_count_text", "unique_domain_count_text", "email_count_text", "suspicious_tld_count", "shortener_url_count"]
 
 
-@query(f"""WITH u AS (SELECT page_id, {_N(_EMAIL_D, "url")} AS emails, list_transform(regexp_extract_all(regexp_replace(url, '{_EMAIL_D}', ' ', 'g'), '{_URL_D}'), lambda x: regexp_replace(x, '{_EDGE_D}', '', 'g')) AS us FROM pages),
+@query(f"""WITH u AS (SELECT page_id, {_N(_EMAIL_D, "html")} AS emails, list_transform(regexp_extract_all(regexp_replace(html, '{_EMAIL_D}', ' ', 'g'), '{_URL_D}'), lambda x: regexp_replace(x, '{_EDGE_D}', '', 'g')) AS us FROM pages),
   v AS (SELECT *, list_filter(list_transform(us, lambda x: string_split(string_split(regexp_replace(regexp_replace(lower(x), '^https?://', ''), '^www\\.', ''), '/')[1], ':')[1]), lambda x: x <> '') AS ds FROM u)
 SELECT page_id, CAST(len(us) AS DOUBLE) AS url_count_text, CAST(len(list_distinct(list_transform(us, lambda x: lower(x)))) AS DOUBLE) AS unique_url_count_text, CAST(len(list_distinct(ds)) AS DOUBLE) AS unique_domain_count_text,
   CAST(emails AS DOUBLE) AS email_count_text, CAST(len(list_filter(ds, lambda x: regexp_matches(x, '(?:{"|".join(t.replace(".", "[.]") for t in lx.SUSPICIOUS_TLDS)})$'))) AS DOUBLE) AS suspicious_tld_count,
   CAST(len(list_filter(us, lambda x: regexp_matches(lower(x), '{"|".join(t.replace(".", "[.]") for t in lx.SHORTENERS)}'))) AS DOUBLE) AS shortener_url_count FROM v""")
 def q_url_features(spark, sf_dir):
-    return spam(spark, sf_dir, _URL_FEATURES, "pages", "page_id", "url")
+    return spam(spark, sf_dir, _URL_FEATURES, "pages", "page_id", "html")
 
 
 _ANY = lambda terms, x: "(" + " OR ".join(f"contains({x}, ' {t} ')" for t in sorted({mt.normal_term(t) for t in terms})) + ")"
@@ -207,7 +244,7 @@ _ANY = lambda terms, x: "(" + " OR ".join(f"contains({x}, ' {t} ')" for t in sor
   m AS (SELECT k, count(*) FILTER (WHERE {_ANY(lx.CTA, "p")} AND ({_ANY(lx.MONEY, "p")} OR regexp_matches(x, '(?i)€\\s?\\d+[\\d.,]*|\\d+[\\d.,]*\\s?€|\\b\\d+[\\d.,]*\\s?(?:euro|eur)\\b'))) AS n FROM q GROUP BY k)
 SELECT conv_id, turn, CAST(coalesce(n, 0) AS DOUBLE) AS money_cta_combo FROM c LEFT JOIN m USING (k)""")
 def q_cooccurrence(spark, sf_dir):
-    docs = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    docs = spread(read(spark, sf_dir, "conversations")).select("conv_id", "turn", "text")
     return sf.spam_features(docs, names=["money_cta_combo"]).select("conv_id", "turn", "spam.money_cta_combo")
 
 
@@ -225,35 +262,76 @@ _LP = _LP.replace("STOPS", _LIST(lx.MINI_STOPWORDS)).replace("COMMONS", _LIST(lx
 
 @query(f"{_PADDED}, {_LP} SELECT doc_id, CASE WHEN m > 0 THEN round(0.15e0 + 0.75e0 * greatest(0, least(1, s)), 3) ELSE 0 END AS lang_score FROM g")
 def q_lang_score(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", "text", "lang")
     ready = sf.prepared(docs, "text", F.col("doc_id"), [], F.col("lang"), F.lit(None))
-    parts = sf.language_parts(sf.tx.stripped(F.col("t")), F.col("low"), F.col("lid"))
+    parts = sf.language_parts(sf.tx.stripped(F.col("t")), F.col("low"), F.col("lid"), F.col("hist"))
     p = ready.select(F.col("_row")["doc_id"].alias("doc_id"), parts.alias("p"))
     return p.select("doc_id", F.round(sf.language_score(F.col("p"), None), 3).alias("lang_score"))
 
 
+_CAT = {**{f"{k}_keyword_hits": v for k, v in _KEYWORDS.items()}, **_HAM}
+_AMOUNT_D, _FLAG = lx.AMOUNT, lambda test: f"CASE WHEN {test} THEN 1e0 ELSE 0e0 END"
+_DIV = lambda a, b: f"coalesce({a} / nullif({b}, 0), 0)"
+_SAME = ["char_count", "word_count", "unique_word_count", "digit_count", "exclamation_count", "question_count", "newline_count", "currency_symbol_count", "url_count_text", "unique_url_count_text", "unique_domain_count_text", "email_count_text", "amount_pattern_count", "promo_code_pattern_count", "promo_symbol_count", "uppercase_token_count", "short_line_count", "short_token_count", "business_signature_hits", "digit_run_count", "suspicious_tld_count", "shortener_url_count", "cta_plus_url_score", "brand_plus_link_score", "urgency_cta_url_combo", "money_cta_combo"]
+#: All 84 columns of ``documents``: view ``sf``.
+_SF = rf"""s0 AS (SELECT doc_id, row_number() OVER () AS k, text, lang, CAST(length(text) AS DOUBLE) AS char_count, {_PAD.format(t="text")} AS p, {_TOKENS.format(t="text")} AS ts,
+    list_transform(regexp_extract_all(regexp_replace(text, '{_EMAIL_D}', ' ', 'g'), '{_URL_D}'), lambda x: regexp_replace(x, '{_EDGE_D}', '', 'g')) AS us FROM documents),
+  s1 AS (SELECT *, CAST(len(ts) AS DOUBLE) AS wc, list_filter(list_transform(us, lambda x: string_split(string_split(regexp_replace(regexp_replace(lower(x), '^https?://', ''), '^www\.', ''), '/')[1], ':')[1]), lambda x: x <> '') AS ds FROM s0),
+  sh AS (SELECT k, {", ".join(f"{_hits(v)} AS {c}" for c, v in _CAT.items())} FROM s0),
+  sp AS (SELECT k, {_PAD.format(t="x")} AS p, x, len(list_transform(regexp_extract_all(regexp_replace(x, '{_EMAIL_D}', ' ', 'g'), '{_URL_D}'), lambda u: u)) > 0 AS link FROM (SELECT k, unnest(list_filter(regexp_split_to_array(text, '[\n.!?]+'), lambda x: regexp_matches(x, '\S'))) AS x FROM s0)),
+  sx AS (SELECT k, count(*) FILTER (WHERE link AND cta) AS cta_url, count(*) FILTER (WHERE link AND brand) AS brand_url, count(*) FILTER (WHERE link AND cta AND urgent) AS urgent_url, count(*) FILTER (WHERE cta AND paid) AS cta_paid
+    FROM (SELECT k, link, {_ANY(lx.CTA, "p")} AS cta, {_ANY(lx.BRAND, "p")} AS brand, {_ANY(lx.URGENCY, "p")} AS urgent, {_ANY(lx.MONEY, "p")} OR regexp_matches(x, '(?i){_AMOUNT_D}') AS paid FROM sp) GROUP BY k),
+  d AS (SELECT k AS doc_id, text, wc FROM s1), {_LP},
+  sl AS (SELECT doc_id AS k, CASE WHEN m > 0 THEN round(0.15e0 + 0.75e0 * greatest(0, least(1, s)), 4) ELSE 0 END AS lang_score FROM g),
+  sc AS (SELECT s1.k, doc_id, char_count, wc AS word_count, CAST(len(list_distinct(list_transform(ts, lambda w: lower(w)))) AS DOUBLE) AS unique_word_count, {_DIV("list_sum(list_transform(ts, lambda w: length(w)))", "wc")} AS avg_word_length,
+    CAST({_N(r"\p{Nd}")} AS DOUBLE) AS digit_count, CAST({_N(r"\p{Lu}")} AS DOUBLE) AS uppers, CAST({_N(r"[^\p{L}\p{N}\s]")} AS DOUBLE) AS puncts, CAST({_N(r"\s")} AS DOUBLE) AS spaces, CAST({_N("!")} AS DOUBLE) AS exclamation_count, CAST({_N(r"\?")} AS DOUBLE) AS question_count,
+    CAST({_N(r"\n")} AS DOUBLE) AS newline_count, CAST({_N("[€$]")} AS DOUBLE) AS currency_symbol_count, CAST(len(us) AS DOUBLE) AS url_count_text, CAST(len(list_distinct(list_transform(us, lambda x: lower(x)))) AS DOUBLE) AS unique_url_count_text,
+    CAST(len(list_distinct(ds)) AS DOUBLE) AS unique_domain_count_text, CAST({_N(_EMAIL_D)} AS DOUBLE) AS email_count_text, CAST({_N("(?i)" + _AMOUNT_D)} AS DOUBLE) AS amount_pattern_count, CAST({_N("(?i)" + lx.PROMO_CODE_PATTERN)} AS DOUBLE) AS promo_code_pattern_count,
+    CAST({_N(f"[{lx.PROMO_SYMBOLS}]")} AS DOUBLE) AS promo_symbol_count, CAST(len(list_filter(ts, lambda w: len(regexp_extract_all(w, '\p{{L}}')) >= 2 AND upper(w) = w AND lower(w) <> w)) AS DOUBLE) AS uppercase_token_count,
+    CAST(len(list_filter(string_split(text, chr(10)), lambda x: length(regexp_replace(x, '^\s+|\s+$', '', 'g')) BETWEEN 1 AND 40)) AS DOUBLE) AS short_line_count, CAST(len(list_filter(ts, lambda w: regexp_matches(w, '^[\p{{L}}\p{{N}}]{{2}}$'))) AS DOUBLE) AS short_token_count,
+    CAST({_N("(?i)" + lx.SIGNATURE.replace(chr(39), r"\x27"))} AS DOUBLE) AS business_signature_hits, CAST({_N(r"\b\d{4,}\b")} AS DOUBLE) AS digit_run_count,
+    CAST(len(list_filter(ds, lambda x: regexp_matches(x, '(?:{"|".join(t.replace(".", "[.]") for t in lx.SUSPICIOUS_TLDS)})$'))) AS DOUBLE) AS suspicious_tld_count, CAST(len(list_filter(us, lambda x: regexp_matches(lower(x), '{"|".join(t.replace(".", "[.]") for t in lx.SHORTENERS)}'))) AS DOUBLE) AS shortener_url_count,
+    CASE WHEN cta_keyword_hits > 0 AND len(us) > 0 THEN CAST(coalesce(cta_url, 0) AS DOUBLE) ELSE 0e0 END AS cta_plus_url_score, CASE WHEN len(us) > 0 THEN CAST(coalesce(brand_url, 0) AS DOUBLE) ELSE 0e0 END AS brand_plus_link_score,
+    CASE WHEN cta_keyword_hits > 0 AND len(us) > 0 THEN CAST(coalesce(urgent_url, 0) AS DOUBLE) ELSE 0e0 END AS urgency_cta_url_combo, CASE WHEN cta_keyword_hits > 0 THEN CAST(coalesce(cta_paid, 0) AS DOUBLE) ELSE 0e0 END AS money_cta_combo,
+    {", ".join(_CAT)}, CAST(lang_score AS DOUBLE) AS lang_score, {_FLAG("lower(lang) IN ('ita', 'it', 'italian')")} AS lang_is_ita
+    FROM s1 JOIN sh USING (k) LEFT JOIN sx USING (k) LEFT JOIN sl USING (k)),
+  se AS (SELECT *, {_DIV("digit_count", "char_count")} AS digit_ratio, {_DIV("uppers", "char_count")} AS uppercase_ratio, {_DIV("puncts", "char_count")} AS punctuation_ratio, {_DIV("spaces", "char_count")} AS whitespace_ratio,
+    ham_formal_hits + ham_admin_doc_hits + ham_technical_business_hits + business_signature_hits AS ham_strength_score, {_FLAG("account_keyword_hits > 0 AND security_keyword_hits > 0")} AS has_account_and_security, {_FLAG("delivery_keyword_hits > 0 AND url_count_text > 0")} AS has_delivery_and_link FROM sc),
+  si AS (SELECT *, 1.5e0 * cta_plus_url_score + 2e0 * urgency_cta_url_combo + 1.5e0 * money_cta_combo + 1.5e0 * suspicious_tld_count + shortener_url_count + has_account_and_security + has_delivery_and_link AS spam_intent_score,
+    {_FLAG("lang_score < 0.35e0")} + {_FLAG("punctuation_ratio > 0.18e0")} + {_FLAG("digit_ratio > 0.2e0")} + {_FLAG(_DIV("short_token_count", "word_count") + " > 0.35e0")} + {_FLAG("avg_word_length < 3e0 OR avg_word_length > 12e0")} AS noise_score FROM se),
+  sf AS (SELECT k, doc_id, '' AS target_label, '' AS spam_target_label, {", ".join(_SAME)}, {_DIV("unique_word_count", "word_count")} AS unique_word_ratio, avg_word_length, digit_ratio, uppercase_ratio, punctuation_ratio, whitespace_ratio,
+    {_DIV("url_count_text", "word_count")} AS url_density, {_DIV("email_count_text", "word_count")} AS email_density, {", ".join(_CAT)}, lang_score, lang_is_ita, {_FLAG("url_count_text > 0 AND action_phrase_count > 0")} AS has_link_and_cta, {_FLAG("urgency_keyword_hits > 0 AND action_phrase_count > 0")} AS has_urgency_and_cta,
+    {_FLAG("brand_keyword_hits > 0 AND url_count_text > 0")} AS has_brand_and_link, {_FLAG("money_keyword_hits > 0 AND action_phrase_count > 0")} AS has_money_and_cta, has_account_and_security, has_delivery_and_link, {_FLAG("ham_business_hits > 0 AND url_count_text = 0")} AS has_ham_and_no_url,
+    {_FLAG("ham_formal_hits > 0 AND cta_keyword_hits = 0")} AS has_formal_and_no_cta, {_FLAG("ham_admin_doc_hits > 0 AND url_count_text = 0")} AS has_admin_doc_and_no_url, {_FLAG("ham_technical_business_hits > 0 AND cta_keyword_hits = 0")} AS has_technical_business_and_no_cta,
+    {_FLAG("business_signature_hits > 0 AND cta_keyword_hits = 0")} AS has_signature_and_no_cta, promo_symbol_count + uppercase_token_count + digit_run_count AS symbol_pressure_score, (ham_business_hits + 1) / (spam_keyword_hits + 1) AS ham_to_spam_keyword_ratio,
+    (ham_business_hits + 1) / (cta_keyword_hits + 1) AS ham_to_cta_ratio, (ham_strength_score + 1) / (spam_keyword_hits + 1) AS ham_strength_to_spam_ratio, ham_strength_score, noise_score, spam_intent_score, {_FLAG("noise_score >= 2 AND spam_intent_score = 0")} AS noise_without_spam_intent,
+    least(promo_symbol_count, 3e0) AS promo_symbol_count_clip, least(exclamation_count, 5e0) AS exclamation_count_clip, least(digit_run_count, 3e0) AS digit_run_count_clip, least(uppercase_token_count, 5e0) AS uppercase_token_count_clip, (safe_security_ham_hits + 1) / (spam_keyword_hits + 1) AS safe_security_to_spam_ratio,
+    {", ".join(f"{_DIV(f'{k}_keyword_hits', 'word_count')} AS {k}_keyword_density" for k in ("spam", "cta", "money", "urgency"))}, {_DIV("ham_business_hits", "word_count")} AS ham_business_density FROM si)"""
 _NOISE = ["noise_score", "spam_intent_score", "noise_without_spam_intent", "symbol_pressure_score", "promo_symbol_count_clip", "exclamation_count_clip", "digit_run_count_clip"]
 
 
-@query()
+@query(f"WITH {_SF} SELECT doc_id, {', '.join(_NOISE)} FROM sf")
 def q_intent_noise(spark, sf_dir):
     return spam(spark, sf_dir, _NOISE)
 
 
-@query()
+@query(f"WITH {_SF} SELECT * EXCLUDE (k) FROM sf")
 def q_spam_features(spark, sf_dir):
     return spam(spark, sf_dir, [c for c in sf.COLUMNS if c != "doc_id"])
 
 
 # --- decisions ------------------------------------------------------------------------------------------------------
-#: A stand-in for a model's score where the decision, not the model, is under test.
-_SCORE = "CAST((doc_id * 37) % 1000 AS DOUBLE) / 1000"
+_FUNCTION_WORDS = {k: "[" + ", ".join(f"'{w}'" for w in v) + "]" for k, v in sorted(PROFILES.items())}
+_LANGUAGE = rf"""l0 AS (SELECT doc_id, [lower(x) FOR x IN {_TOKENS.format(t="text").replace("{{", "{").replace("}}", "}")}] AS ts FROM documents),
+  l1 AS (SELECT doc_id, {", ".join(f"len([x FOR x IN ts IF list_contains({v}, x)]) AS n_{k}" for k, v in _FUNCTION_WORDS.items())} FROM l0),
+  l2 AS (SELECT doc_id, {" + ".join(f"n_{k}" for k in _FUNCTION_WORDS)} AS total, greatest({", ".join(f"n_{k}" for k in _FUNCTION_WORDS)}) AS best, {", ".join(f"n_{k}" for k in _FUNCTION_WORDS)} FROM l1),
+  lg AS (SELECT doc_id, CASE WHEN total = 0 THEN NULL {" ".join(f"WHEN n_{k} = best THEN '{k}'" for k in _FUNCTION_WORDS)} END AS language, coalesce(best / nullif(total, 0), 0) AS score FROM l2)"""
 
 
-@query("""SELECT doc_id, lang, lang = 'fr' AND CAST((doc_id * 37) % 1000 AS DOUBLE) / 1000 > 0.75e0 AS keep FROM documents""")
+@query(f"WITH {_LANGUAGE} SELECT doc_id, language, score, coalesce(language = 'fr' AND score > 0.75e0, false) AS keep FROM lg")
 def q_language_filter(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    return docs.select("doc_id", "lang", dc.language_keep(F.col("lang"), F.expr(_SCORE), "fr").alias("keep"))
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", language_of(F.col("text")).alias("l"))
+    return docs.select("doc_id", "l.language", "l.score", dc.language_keep(F.col("l.language"), F.col("l.score"), "fr").alias("keep"))
 
 
 @query("""SELECT page_id, length(html) >= 120 AND length(html) - length(replace(html, '|', '')) <= 6
@@ -262,29 +340,38 @@ def q_heuristic_filter(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", dc.heuristic_keep(F.col("html")).alias("keep"))
 
 
-@query(f"""{_PADDED}, h AS (SELECT doc_id, {_HITS}, {_hits(lx.BUSINESS)} AS ham_business_hits, {_hits(lx.FORMAL + lx.ADMIN + lx.TECHNICAL)} AS strength, {_SCORE} AS s FROM d)
-SELECT doc_id, (account_keyword_hits > 0 AND security_keyword_hits > 0) OR (spam_keyword_hits >= 4 AND (cta_keyword_hits > 0 OR urgency_keyword_hits > 0 OR money_keyword_hits > 0))
-  OR (s >= 0.9e0 AND ham_business_hits = 0 AND strength = 0) AS strong_evidence FROM h""")
+#: Scores of features where the decision, not the model, is under test.
+_SPAM_SCORE, _QUALITY_SCORE = "least(1e0, spam_keyword_density * 20e0)", "least(1e0, stopword_ratio * 2e0 + unique_word_ratio / 4e0)"
+_RULES = """suspicious_tld_count > 0 OR (shortener_url_count > 0 AND cta_keyword_hits > 0) OR cta_plus_url_score > 0 OR urgency_cta_url_combo > 0 OR money_cta_combo > 0 OR (account_keyword_hits > 0 AND security_keyword_hits > 0)
+  OR (delivery_keyword_hits > 0 AND url_count_text > 0) OR (brand_keyword_hits > 0 AND url_count_text > 0 AND cta_keyword_hits > 0) OR (spam_keyword_hits >= 4 AND (cta_keyword_hits > 0 OR urgency_keyword_hits > 0 OR money_keyword_hits > 0))
+  OR (s >= 0.9e0 AND ham_business_hits = 0 AND ham_strength_score = 0)"""
+
+
+def decided(spark, sf_dir: str, made) -> DataFrame:
+    """doc_id and ``made`` of the spam struct and its score."""
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", "text", "lang")
+    rows = sf.spam_features(docs, doc_id=F.col("doc_id"), language=F.col("lang"))
+    return rows.select("doc_id", "spam", F.least(F.lit(1.0), F.col("spam.spam_keyword_density") * 20).alias("s")).select("doc_id", made(F.col("spam"), F.col("s")).alias("d"))
+
+
+@query(f"WITH {_SF}, e AS (SELECT *, {_SPAM_SCORE} AS s FROM sf) SELECT doc_id, {_RULES} AS strong_evidence FROM e")
 def q_strong_evidence(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    names = {**{f"{k}_keyword_hits": v for k, v in _KEYWORDS.items()}, "ham_business_hits": lx.BUSINESS, "ham_strength_score": lx.FORMAL + lx.ADMIN + lx.TECHNICAL}
-    hits = docs.select("doc_id", F.expr(_SCORE).alias("s"), mt.padded(F.col("text")).alias("p")).withColumn("h", mt.term_table(F.col("p"), names))
-    rest = [F.lit(0.0).alias(k) for k in ("suspicious_tld_count", "shortener_url_count", "cta_plus_url_score", "urgency_cta_url_combo", "money_cta_combo", "url_count_text")]
-    packed = hits.select("doc_id", "s", F.struct(*[mt.category_hits(F.col("h"), names, k).cast("double").alias(k) for k in names], *rest).alias("spam"))
-    return packed.select("doc_id", dc.strong_evidence(F.col("spam"), F.col("s")).alias("strong_evidence"))
+    return decided(spark, sf_dir, dc.strong_evidence).select("doc_id", F.col("d").alias("strong_evidence"))
 
 
-@query()
+@query(f"""WITH {_SF}, e AS (SELECT *, {_SPAM_SCORE} AS s FROM sf), f AS (SELECT doc_id, s, {_RULES} AS strong FROM e)
+SELECT doc_id, NOT (s >= 0.75e0 AND strong) AS keep, CASE WHEN s >= 0.75e0 AND strong THEN 'spam_detected' END AS reason, CASE WHEN s >= 0.75e0 THEN 'spam' ELSE 'ham' END AS pred_label, round(s, 6) AS pred_score, strong AS strong_evidence,
+  CASE WHEN s >= 0.75e0 AND NOT strong THEN 'high_score_but_weak_spam_evidence' END AS uncertain_reason FROM f""")
 def q_spam_decision(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    made = sf.spam_features(docs, doc_id=F.col("doc_id"), language=F.col("lang"))
-    return made.select("doc_id", dc.spam_decision(F.col("spam"), F.expr(_SCORE)).alias("d")).select("doc_id", "d.*")
+    return decided(spark, sf_dir, dc.spam_decision).select("doc_id", "d.*")
 
 
-@query(f"""SELECT doc_id, {_SCORE} >= 0.65e0 AS keep, CASE WHEN {_SCORE} >= 0.65e0 THEN NULL ELSE 'quality_bad' END AS reason, CASE WHEN {_SCORE} >= 0.65e0 THEN 'good' ELSE 'bad' END AS label, {_SCORE} AS score FROM documents""")
+@query(f"""WITH {_QF}, e AS (SELECT doc_id, {_QUALITY_SCORE} AS s FROM qf)
+SELECT doc_id, s >= 0.65e0 AS keep, CASE WHEN s >= 0.65e0 THEN NULL ELSE 'quality_bad' END AS reason, CASE WHEN s >= 0.65e0 THEN 'good' ELSE 'bad' END AS label, round(s, 4) AS score FROM e""")
 def q_quality_decision(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    return docs.select("doc_id", dc.quality_decision(F.expr(_SCORE), F.lit(True)).alias("d")).select("doc_id", "d.*")
+    made = qf.quality_features(spread(read(spark, sf_dir, "documents")).select("doc_id", "text")).select("doc_id", "quality")
+    score = F.least(F.lit(1.0), F.col("quality.stopword_ratio") * 2 + F.col("quality.unique_word_ratio") / 4)
+    return made.select("doc_id", dc.quality_decision(score, dc.complete(F.col("quality"), qf.FEATURES)).alias("d")).select("doc_id", "d.*")
 
 
 @query("""SELECT text, label_rilevata, scartato_da, file FROM (
@@ -375,47 +462,45 @@ def q_pr_curve(spark, sf_dir):
     return mx.pr_curve(scored(spark, sf_dir), "y", "score")
 
 
+_SWEEP = {"precision_spam": "precision_1", "recall_spam": "recall_1", "f1_spam": "f1_1", "precision_ham": "precision_0", "recall_ham": "recall_0", "f1_ham": "f1_0", "true_negative": "tn", "false_positive": "fp", "false_negative": "fn", "true_positive": "tp", "true_ham": "tn + fp", "true_spam": "tp + fn", "predicted_ham": "tn + fn", "predicted_spam": "fp + tp", "ham_correct": "tn", "ham_lost_as_spam": "fp", "ham_preservation_rate": "recall_0", "ham_loss_rate": "loss_rate", "spam_in_predicted_ham": "fn", "spam_contamination_in_predicted_ham": "contamination_rate", "spam_detected": "tp", "spam_missed_as_ham": "fn", "spam_detection_rate": "recall_1", "spam_miss_rate": "miss_rate", "fp_rate_on_ham": "loss_rate", "fn_rate_on_spam": "miss_rate"}
 _STEPS = [0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90]
 
 
-@query(f"{_SCORED}, t AS (SELECT CAST(unnest({_STEPS}) AS DOUBLE) AS threshold), c AS (SELECT threshold, {_CONF} FROM (SELECT threshold, y, (score >= threshold)::INT AS p FROM t, s) GROUP BY threshold) {_ALL_RATES}")
+@query(f"{_SCORED}, t AS (SELECT CAST(unnest({_STEPS}) AS DOUBLE) AS threshold), c AS (SELECT threshold, {_CONF} FROM (SELECT threshold, y, (score >= threshold)::INT AS p FROM t, s) GROUP BY threshold), m AS ({_ALL_RATES}) SELECT threshold, accuracy, balanced_accuracy, {', '.join(f'{v} AS {k}' for k, v in _SWEEP.items())} FROM m")
 def q_threshold_sweep(spark, sf_dir):
     return mx.threshold_sweep(scored(spark, sf_dir), "y", "score", _STEPS)
 
 
-_FEW = ["length", "word_count", "uppercase_ratio", "avg_word_length", "unique_word_ratio"]
-_FEW_SQL = f"""WITH d AS (SELECT doc_id, length(text) AS length, {_N(r"\p{Lu}")} / length(text) AS uppercase_ratio, {_WORDS} AS ws FROM documents),
-  f AS (SELECT doc_id, CAST(length AS DOUBLE) AS length, CAST(len(ws) AS DOUBLE) AS word_count, uppercase_ratio, coalesce(list_sum(list_transform(ws, lambda w: length(w))) / nullif(len(ws), 0), 0) AS avg_word_length,
-    coalesce(len(list_distinct(list_transform(ws, lambda w: lower(w)))) / nullif(len(ws), 0), 0) AS unique_word_ratio, CAST(l.quality AS DOUBLE) AS y FROM d JOIN labels l USING (doc_id))"""
+_ALL = f"WITH {_QF}, f AS (SELECT qf.*, CAST(l.quality AS DOUBLE) AS y FROM qf JOIN labels l USING (doc_id)), u AS (SELECT k, feature, CAST(value AS DOUBLE) AS value, y FROM (SELECT k, y, unnest([{', '.join(repr(c) for c in qf.FEATURES)}]) AS feature, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in qf.FEATURES)}]) AS value FROM f))"
+_NUMBER = "list_position([" + ", ".join(repr(c) for c in qf.FEATURES) + "], {f})"
+_FLAT = "v AS (SELECT feature, avg(value) AS mean, stddev_pop(value) AS std, stddev_pop(value) <= 1e-12 * greatest(1, abs(avg(value))) AS flat FROM u GROUP BY feature)"
 
 
-def few(spark, sf_dir: str) -> DataFrame:
-    return quality(spark, sf_dir, _FEW).join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
+def labelled(spark, sf_dir: str) -> DataFrame:
+    """All 52 statistics and y of the labelled documents."""
+    return quality_rows(spark, sf_dir).join(read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
 
 
-@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM f" for i, a in enumerate(_FEW) for b in _FEW[i + 1 :]))
+@query(f"""{_ALL}, {_FLAT}, z AS (SELECT k, feature, CASE WHEN flat THEN NULL ELSE (value - mean) / std END AS z FROM u JOIN v USING (feature))
+SELECT a.feature AS a, b.feature AS b, round(avg(a.z * b.z), 5) AS r FROM z a JOIN z b ON a.k = b.k AND {_NUMBER.format(f="a.feature")} < {_NUMBER.format(f="b.feature")} GROUP BY 1, 2""")
 def q_corr_pairs(spark, sf_dir):
-    return mx.correlations(few(spark, sf_dir), _FEW).select("a", "b", F.round("r", 6).alias("r"))
+    return mx.correlations(cut(labelled(spark, sf_dir)), qf.FEATURES).select("a", "b", F.round("r", 5).alias("r"))
 
 
-@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS feature, round(corr({a}, y), 6) AS r FROM f" for a in _FEW))
+@query(f"{_ALL}, {_FLAT} SELECT feature, CASE WHEN any_value(flat) THEN NULL ELSE round(corr(value, y), 6) END AS r FROM u JOIN v USING (feature) GROUP BY feature")
 def q_label_correlations(spark, sf_dir):
-    return mx.label_correlations(few(spark, sf_dir), _FEW, "y").select("feature", F.round("r", 6).alias("r"))
+    return mx.label_correlations(labelled(spark, sf_dir), qf.FEATURES, "y").select("feature", F.round("r", 6).alias("r"))
 
 
-@query(_FEW_SQL + " " + " UNION ALL ".join(f"SELECT '{a}' AS feature, round(avg({a}), 6) AS mean, round(stddev_pop({a}), 6) AS std FROM f" for a in _FEW))
+@query(f"{_ALL}, {_FLAT} SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM v")
 def q_scaler_fit(spark, sf_dir):
-    return mx.scaler_fit(few(spark, sf_dir), _FEW).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    return mx.scaler_fit(labelled(spark, sf_dir), qf.FEATURES).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-_NC = ["n_chars", "quality", "toxic"]
-
-
-@query("""WITH v AS (SELECT 'n_chars' AS feature, CAST(n_chars AS DOUBLE) AS value FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'quality', quality FROM documents LEFT JOIN labels USING (doc_id)
-    UNION ALL SELECT 'toxic', toxic FROM documents LEFT JOIN labels USING (doc_id)), c AS (SELECT feature, value, count(*) AS n FROM v GROUP BY feature, value)
+@query(f"""{_ALL}, c AS (SELECT feature, value, count(*) AS n FROM u GROUP BY feature, value)
 SELECT feature, count(*) AS n_distinct, max(n) / CAST(sum(n) AS DOUBLE) AS top_share, count(*) <= 1 AS constant, max(n) / CAST(sum(n) AS DOUBLE) >= 0.995e0 AS near_constant FROM c GROUP BY feature""")
 def q_near_constant(spark, sf_dir):
-    return mx.near_constant(read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left"), _NC)
+    return mx.near_constant(labelled(spark, sf_dir), qf.FEATURES)
 
 
 _PLACED = "p AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(concat(CAST(doc_id AS VARCHAR), '42')), doc_id) AS i, count(*) OVER (PARTITION BY quality) AS n FROM labels)"
@@ -432,69 +517,85 @@ def q_kfold(spark, sf_dir):
     return sp.stratified_folds(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "quality")
 
 
-_FOLDS = """f AS (SELECT lang AS model, doc_id % 5 AS fold, avg(quality) AS q, avg(toxic) AS t FROM documents JOIN labels USING (doc_id) GROUP BY lang, doc_id % 5),
-  m AS (SELECT model, avg(q) AS q_mean, stddev_pop(q) AS q_std, avg(t) AS t_mean, stddev_pop(t) AS t_std FROM f GROUP BY model)"""
+#: Models of one feature each, scored by the feature itself, over the stratified folds.
+_ONE = ["stopword_ratio", "unique_word_ratio", "lowercase_ratio", "all_lowercase_word_ratio"]
+_FOLDS = f"""{_ALL}, {_PLACED}, o AS (SELECT feature AS model, CAST((p.i - 1) % 5 AS INT) AS fold, CAST(u.y AS INT) AS y, (value >= 0.5e0)::INT AS p FROM u JOIN f USING (k) JOIN p USING (doc_id) WHERE feature IN ({", ".join(repr(c) for c in _ONE)})),
+  c AS (SELECT model, fold, {_CONF} FROM o GROUP BY model, fold), r AS ({_ALL_RATES}), m AS (SELECT model, {", ".join(f"avg({k}) AS {k}_mean, stddev_pop({k}) AS {k}_std" for k in ("accuracy", "f1_1", "f1_0"))} FROM r GROUP BY model)"""
 
 
 def fold_means(spark, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
-    folds = rows.groupBy(F.col("lang").alias("model"), (F.col("doc_id") % 5).alias("fold")).agg(F.avg("quality").alias("q"), F.avg("toxic").alias("t"))
-    return mx.fold_summary(folds, "model", ["q", "t"])
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = sp.stratified_folds(labels, "doc_id", "quality").join(quality(spark, sf_dir, _ONE), "doc_id")
+    each = mx.stacked(rows.select("fold", F.col("quality").alias("y"), *_ONE), _ONE, ["fold", "y"])
+    p = (F.col("value") >= 0.5).cast("int")
+    folds = each.groupBy(F.col("feature").alias("model"), "fold").agg(*mx.counts(F.col("y"), p))
+    return mx.fold_summary(folds.withColumns(mx.rates()), "model", ["accuracy", "f1_1", "f1_0"])
 
 
-@query(f"WITH {_FOLDS} SELECT model, round(q_mean, 9) AS q_mean, round(q_std, 9) AS q_std, round(t_mean, 9) AS t_mean, round(t_std, 9) AS t_std FROM m")
+@query(f"{_FOLDS} SELECT model, {', '.join(f'round({k}_{w}, 9) AS {k}_{w}' for k in ('accuracy', 'f1_1', 'f1_0') for w in ('mean', 'std'))} FROM m")
 def q_fold_summary(spark, sf_dir):
-    return fold_means(spark, sf_dir).select("model", *[F.round(c, 9).alias(c) for c in ("q_mean", "q_std", "t_mean", "t_std")])
+    done = fold_means(spark, sf_dir)
+    return done.select("model", *[F.round(c, 9).alias(c) for c in done.columns if c != "model"])
 
 
-@query(f"WITH {_FOLDS} SELECT model, row_number() OVER (ORDER BY round(q_mean, 9) DESC, round(t_mean, 9) DESC, model) AS rank FROM m")
+@query(f"{_FOLDS} SELECT model, row_number() OVER (ORDER BY round(f1_1_mean, 9) DESC, round(accuracy_mean, 9) DESC, model) AS rank FROM m")
 def q_model_ranking(spark, sf_dir):
-    rounded = fold_means(spark, sf_dir).select("model", F.round("q_mean", 9).alias("q_mean"), F.round("t_mean", 9).alias("t_mean"))
-    return mx.ranking(rounded, ["q_mean", "t_mean"]).select("model", F.col("rank").cast("long").alias("rank"))
+    rounded = fold_means(spark, sf_dir).select("model", F.round("f1_1_mean", 9).alias("f1_1_mean"), F.round("accuracy_mean", 9).alias("accuracy_mean"))
+    return mx.ranking(rounded, ["f1_1_mean", "accuracy_mean"]).select("model", F.col("rank").cast("long").alias("rank"))
 
 
 # --- models and whole runs ----------------------------------------------------------------------------------------------
-def quality_matrix(spark, sf_dir: str) -> DataFrame:
+def matrices(spark, sf_dir: str) -> dict[str, DataFrame]:
+    """id, y and the model's features of the labelled documents, by task; y is quality, or toxic for spam."""
     from .operators import models as md
 
-    made = quality(spark, sf_dir, qf.FEATURES).join(read(spark, sf_dir, "labels"), "doc_id")
-    return md.matrix(made, "doc_id", {k: F.col(k) for k in qf.FEATURES}, F.col("quality")).cache()
+    labels = read(spark, sf_dir, "labels")
+    made = {"quality": (quality(spark, sf_dir, qf.FEATURES), qf.FEATURES, "quality"), "spam": (spam(spark, sf_dir, sf.MODEL_FEATURES), sf.MODEL_FEATURES, "toxic")}
+    return {task: cut(md.matrix(df.join(labels, "doc_id"), "doc_id", {k: F.col(k) for k in names}, F.col(y))) for task, (df, names, y) in made.items()}
+
+
+def tried(spark, sf_dir: str, task: str, kind: str) -> tuple:
+    """A model fitted on four fifths of the labelled documents, and the other fifth."""
+    from .operators import models as md
+
+    names = {"quality": qf.FEATURES, "spam": sf.MODEL_FEATURES}[task]
+    data = cut(sp.stratified_split(matrices(spark, sf_dir)[task], "id", "y", {"train": 0.8, "test": 0.2}))
+    return md.fit(kind, data.filter("split = 'train'"), names, task=task), data.filter("split = 'test'"), names
 
 
 @query()
 def q_quality_model(spark, sf_dir):
     from .operators import models as md
 
-    data = sp.stratified_split(quality_matrix(spark, sf_dir), "id", "y", {"train": 0.8, "test": 0.2})
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    return md.score_by("logistic_regression", train, test, qf.FEATURES).select(F.col("id").alias("doc_id"), "y", "score")
+    model, test, _ = tried(spark, sf_dir, "quality", "gbdt")
+    return md.scored(model, test).select(F.col("id").alias("doc_id"), "y", "score")
 
 
 @query()
 def q_spam_model(spark, sf_dir):
     from .operators import models as md
 
-    made = spam(spark, sf_dir, sf.MODEL_FEATURES).join(read(spark, sf_dir, "labels"), "doc_id")
-    data = sp.stratified_split(md.matrix(made, "doc_id", {k: F.col(k) for k in sf.MODEL_FEATURES}, F.col("toxic")).cache(), "id", "y", {"train": 0.8, "test": 0.2})
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    return md.error_rows(md.score_by("gbdt", train, test, sf.MODEL_FEATURES, trees=20), 0.75).select(F.col("id").alias("doc_id"), "true_label", "pred_label", "spam_probability", "threshold", "is_error", "error_type")
+    model, test, _ = tried(spark, sf_dir, "spam", "gbdt")
+    return md.error_rows(md.scored(model, test), 0.75).select(F.col("id").alias("doc_id"), "true_label", "pred_label", "spam_probability", "threshold", "is_error", "error_type")
 
 
 @query()
 def q_topk_importance(spark, sf_dir):
     from .operators import models as md
 
-    names = ["length", "unique_word_ratio", "text_entropy"]
-    data = quality_matrix(spark, sf_dir)
-    model = md.fit("logistic_regression", data, names)
-    return md.importance_shares(md.permutation_importance(model, data, names, 0.5, repeats=2), 10)
+    model, test, names = tried(spark, sf_dir, "quality", "random_forest")
+    return md.importance_shares(md.permutation_importance(model, test, names, 0.5), 10)
 
 
 @query()
 def q_full_pipeline(spark, sf_dir):
-    from .plans.curation import Config, curate
-
-    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.col("lang").alias("language"), F.lit(1.0).alias("language_score"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label")).alias("meta"))
-    done = curate(rows, Config(language="fr"), lambda s: F.least(F.lit(1.0), s["spam_keyword_hits"] / 10), lambda q: F.least(F.lit(1.0), q["unique_word_ratio"] * 2))
-    return done.select("id", "decision.*")
+    """All documents, in any language, through features and two models that were fitted on the labelled ones."""
+    from .operators import models as md
+    from .plans.curation import Config, curate, with_language
+
+    data = matrices(spark, sf_dir)
+    scorers = [md.ModelScore(md.fit("logistic_regression", data[task], names, task=task), names) for task, names in (("spam", sf.MODEL_FEATURES), ("quality", qf.FEATURES))]
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text")).join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    label = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "bad")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("language_score"), label.alias("label")).alias("meta"))
+    return curate(with_language(rows), Config(language="", lang_threshold=0.5), *scorers).select("id", "decision.*")

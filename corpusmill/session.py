@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -26,3 +26,12 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, memory: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores, dealt over all cores; other scans as they are.
+
+    For plain scans only: any other plan would have to run to tell its partitions.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -90,6 +90,18 @@ def write_predictions(rows: DataFrame, folder: str) -> None:
         t.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
+def write_importance(triaged: DataFrame, folder: str) -> None:
+    """All features with their groups, and each group, as CSV."""
+    plain = triaged.select("feature", "importance_mean", "importance_std")
+    tables = {"all": triaged, **{k: plain.filter(triaged[k]) for k in ("strong", "to_review", "negative")}}
+    for name, t in tables.items():
+        t.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_splits(rows: DataFrame, folder: str, column: str = "split") -> None:
     rows.write.mode("overwrite").option("header", True).csv(f"{folder}/all")
     rows.write.mode("overwrite").partitionBy(column).option("header", True).csv(f"{folder}/by_split")
@@ -97,4 +109,4 @@ def write_splits(rows: DataFrame, folder: str, column: str = "split") -> None:
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
     """A small dict as one JSON file."""
-    spark.createDataFrame([(json.dumps(report, indent=2, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    write_text(spark, json.dumps(report, indent=2, default=str), path)
