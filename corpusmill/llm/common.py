@@ -1,14 +1,11 @@
-"""Shared pieces: the shared folder, lineage cuts, global ranks and Arrow helpers."""
+"""Shared pieces: files from tasks, salted joins, what workers remember, and Arrow helpers; tables between steps are the package's own."""
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
-import functools
 import os
 import re
-import shutil
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -17,14 +14,17 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..session import spread
+from ..tables import cut, drop, fresh, ranked, remove, scratch, tidy, tidying
+
+__all__ = ["cut", "drop", "fresh", "ranked", "remove", "scratch", "tidy", "tidying"]  # for the operators, with what follows
 
 ROOT = str(Path(__file__).resolve().parents[2])
-LOCAL_DEFAULT = "/tmp/checkpoints/corpusmill"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def workers_can_import(spark: SparkSession) -> None:
@@ -37,22 +37,6 @@ def workers_can_import(spark: SparkSession) -> None:
     env |= {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which every executor sees; where it is unset, a local one if executors are local too."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that every executor sees")
-    return (folder or LOCAL_DEFAULT).rstrip("/")
-
-
-def scratch(spark: SparkSession, kind: str) -> str:
-    """A new path in the shared folder; below the local default it is removed when this process ends."""
-    path = f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
-    if path.startswith(LOCAL_DEFAULT):
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path
-
-
 def file_system(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's URI (a plain path is a local one) and the path there, for code in tasks."""
     uri = f"file://{folder}" if folder.startswith("/") else re.sub("^file:/(?=[^/])", "file:///", folder)
@@ -86,88 +70,6 @@ def salted_join(many: DataFrame, few: DataFrame, on: list[str], spread: Column,
     return left.join(right, [*on, salt], how).drop(salt)
 
 
-_made: list[list[DataFrame]] = []  # tables that were cut within each open ``tidying``
-
-
-def cut(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: lineage ends here and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = scratch(spark, "tables")
-    df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    if _made:
-        _made[-1].append(out)
-    return out
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def drop(*tables: DataFrame) -> None:
-    """Deletes what ``cut`` wrote."""
-    for df in tables:
-        remove(df.sparkSession, df.stored_at)
-
-
-@contextlib.contextmanager
-def tidying() -> Iterator[list[DataFrame]]:
-    """Deletes, at the end, all tables that are cut within and still in the list."""
-    _made.append(held := [])
-    try:
-        yield held
-    finally:
-        _made.pop()
-        drop(*held)
-
-
-def tidy(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A function whose result is cut and whose other tables are deleted."""
-
-    @functools.wraps(make)
-    def run(*args, **kw) -> DataFrame:
-        with tidying() as held:
-            out = cut(make(*args, **kw))
-            held.pop()  # cut last
-        if _made:
-            _made[-1].append(out)
-        return out
-
-    return run
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, or a variant that no column of ``df`` has."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
-def ranked(df: DataFrame, order: list[Column], rank: str, sums: dict[str, str] | None = None) -> DataFrame:
-    """``df`` with its 0-based position in ``order`` and, for each ``{new: column}`` of ``sums``, the exact sum over the rows before.
-
-    Rows are range-partitioned; only one row of totals per partition meets in one task. ``order`` must be total for
-    the outcome not to depend on the partition bounds.
-    """
-    sums = sums or {}
-    pid = fresh(df, "_pid")
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(df.repartitionByRange(n, *order).withColumn(pid, F.spark_partition_id()))
-    within = Window.partitionBy(pid).orderBy(*order)
-    totals = placed.groupBy(pid).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"_s{i}") for i, c in enumerate(sums.values())])
-    before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(pid, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), *[F.coalesce(F.sum(f"_s{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(len(sums))])
-    out = placed.join(offsets, pid)
-    prior = within.rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn(rank, F.row_number().over(within) - 1 + F.col("_n0"))
-    for i, (new, c) in enumerate(sums.items()):
-        out = out.withColumn(new, F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))).over(prior), F.lit(0)) + F.col(f"_o{i}"))
-    return out.drop(pid, "_n0", *[f"_o{i}" for i in range(len(sums))])
-
-
 _caches: dict[str, Callable[[], None]] = {}
 
 
