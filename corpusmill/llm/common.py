@@ -62,10 +62,10 @@ def get_file(folder: str, name: str) -> bytes:
         return held.read()
 
 
-def salted_join(many: DataFrame, few: DataFrame, on: list[str], spread: Column, how: str = "inner", salts: int = 32) -> DataFrame:
-    """A join whose hot keys of ``many`` are dealt over ``salts`` tasks by ``spread``; the rows of ``few`` (few a key) are repeated."""
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], by: Column, how: str = "inner", salts: int = 32) -> DataFrame:
+    """A join whose hot keys of ``many`` are dealt over ``salts`` tasks by ``by``; the rows of ``few`` (few a key) are repeated."""
     salt = fresh(many, "_salt")
-    left = many.withColumn(salt, F.pmod(spread, F.lit(salts)).cast("int"))
+    left = many.withColumn(salt, F.pmod(by, F.lit(salts)).cast("int"))
     right = few.withColumn(salt, F.explode(F.lit(list(range(salts)))))
     return left.join(right, [*on, salt], how).drop(salt)
 

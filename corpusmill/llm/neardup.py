@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, salted_join, slices, table, texts_of, tidy, workers_can_import
+from .common import cut, drop, fresh, salted_join, slices, table, texts_of, tidy, workers_can_import
 from .decontaminate import keyed_texts
 from .graph import components
 
@@ -373,20 +373,19 @@ def deduplicated(docs: DataFrame, **kw) -> DataFrame:
     with the kept id and text one stays, by the smallest hash of its other columns.
     """
     found = near_duplicates(docs, **kw)
-    key = [F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")]
+    own, other, stays = fresh(docs, "_own"), fresh(docs, "_tie"), fresh(docs, "_kept")
     # rows of one id and text: how many there are decides what goes: all of them, or all but one
-    marked = found.groupBy(*key).agg(F.max("kept").alias("_kept"), F.max("worded").alias("_worded"), F.count(F.lit(1)).alias("_n"))
-    marked = cut(marked.filter("_worded and (not _kept or _n > 1)").select("_id", "_tie", "_kept"))
+    marked = found.groupBy(F.col("doc_id").alias(own), F.col("tie").alias(other)).agg(F.max("kept").alias(stays), F.max("worded").alias("worded"), F.count(F.lit(1)).alias("n"))
+    marked = cut(marked.filter(F.col("worded") & (~F.col(stays) | (F.col("n") > 1))).select(own, other, stays))
     drop(found)
     marked = marked.hint("merge")  # at any size the same plan
-    same = docs["doc_id"].eqNullSafe(marked["_id"]) & (F.xxhash64(docs["text"]) == marked["_tie"])
-    joined = docs.join(marked, (F.coalesce(docs["doc_id"], F.lit(0)) == F.coalesce(marked["_id"], F.lit(0))) & same, "left")
-    columns = [docs[c] for c in docs.columns]
-    left = joined.filter(F.col("_tie").isNull()).select(*columns)
-    again = joined.filter("_kept")  # few: only rows whose id and text occur more than once
-    if not marked.filter("_kept").limit(1).count():
+    same = docs["doc_id"].eqNullSafe(marked[own]) & (F.xxhash64(docs["text"]) == marked[other])
+    joined = docs.join(marked, (F.coalesce(docs["doc_id"], F.lit(0)) == F.coalesce(marked[own], F.lit(0))) & same, "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    left = joined.filter(F.col(other).isNull()).select(*columns)
+    if not marked.filter(stays).limit(1).count():
         return left
-    held = again.select(F.struct("_id", "_tie").alias("key"), F.struct(*columns).alias("row"), F.xxhash64(*columns).alias("h"))
+    held = joined.filter(stays).select(F.struct(own, other).alias("key"), F.struct(*columns).alias("row"), F.xxhash64(*columns).alias("h"))
     one = held.groupBy("key").agg(F.min_by("row", "h").alias("row"))  # combined before the shuffle, however often a row occurs
     return left.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
 

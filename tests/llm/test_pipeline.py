@@ -1,5 +1,7 @@
 """The five stages, each against brute force on its own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from corpusmill.llm import decontaminate as dec
 from corpusmill.llm import langid, mixing
@@ -43,5 +45,27 @@ def test_language_stage_rejects(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(range(30)) and langid.UND == "und"
 
 
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty texts, repeated rows, columns whose names the operators use, and no rows at all."""
+    prose = "the cat and the dog were in the house of the old man by the sea {} and slept"
+    rows = [(i, prose.format(i % 7) + f" word{i} " * (i % 3), "en", "s1" if i % 2 else None, None) for i in range(30)]
+    rows += [(None, None, None, None, None), (None, "", "en", "s1", 0), (3, None, "en", None, 1), (5, "12 34", None, "s2", 1), (None, prose.format("alone"), None, "s1", 5)] + [(40, prose.format("twice"), "en", "s1", 1)] * 3
+    names = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, names)
+    for c in ("score", "lang_pred", "mix", "node", "tie", "shard", "_bad", "_id"):
+        docs = docs.withColumn(c, F.lit(1))
+    for k, given in enumerate((docs, docs.limit(0))):
+        for j, (_, stage) in enumerate(cp.STAGES):
+            stage(spark, given, DIR).write.parquet(f"{tmp_path}/{k}{j}")
+            after = spark.read.parquet(f"{tmp_path}/{k}{j}")
+            if j < 4:
+                assert after.columns == docs.columns and after.count() <= 3 * given.count()
+                given = after
+            else:
+                assert after.count() == given.count() and (k or after.count() > 5)
+    kept = spark.read.parquet(f"{tmp_path}/01").filter("doc_id = 40").count()
+    assert kept == 1 and spark.read.parquet(f"{tmp_path}/00").filter("text is null or text = ''").count() == 0
+
+
 def test_run(spark):
     assert cp.run(spark, DIR).count() > 0 and cp.ORACLE_SQL is None

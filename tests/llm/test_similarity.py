@@ -118,6 +118,22 @@ def test_long_texts(spark, rng):
     assert {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def test_clusters_of_many_blocks(spark, rng, monkeypatch):
+    """Clusters that hold several components, cut into many blocks and levels of size."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "HUBS", 1)
+    rows = []
+    for i in range(6):
+        w = [f"w{i}_{k}" for k in range(160)]
+        for j in range(12):
+            v = list(w)
+            for k in rng.sample(range(160), rng.choice([0, 1, 3, 5, 7])):
+                v[k] = f"x{i}_{j}_{k}"
+            rows.append((100 * i + j, " ".join(v[: rng.choice([160, 160, 130, 100])])))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(zip([d for d, _ in rows], classes(rows), strict=True))
+
+
 def test_crowd_of_copies(spark, rng):
     """A large group whose copies are close to their original, not to each other."""
     w = ["w%d" % i for i in range(300)]
@@ -230,3 +246,22 @@ def test_levels_of_size(spark, monkeypatch, counted):
     short = [neardup.unpack_set(neardup.pack_set(e, w, counted)) for e, w in sets]
     want = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if neardup.similarity(short[i], short[j]) >= 0.8]
     assert union_find(len(sets), [(r["a"][0], r["b"][0]) for r in found]) == union_find(len(sets), want)
+
+
+def test_overlapping_groups_of_vectors(spark):
+    """Noisy groups that run into each other, in many cells: every link is counted at both of its ends."""
+    g = np.random.default_rng(5)
+    x = np.repeat(g.normal(size=(120, 24)), 25, axis=0) + 0.33 * g.normal(size=(3000, 24))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    found = embeddings.link_vectors(df, cell=32).cache()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in found.collect()}
+    assert [got[i] for i in range(len(x))] == near.sum(axis=1).tolist() and near.sum() > 5000
+    assert embeddings.recall(df, found) == 1.0
+
+
+def test_vectors_that_share_a_key(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0], 9, True), (2, [0.0, 1.0], 9, True), (3, [2.0], 8, True)], "vec_id long, v array<double>, node long, ok boolean")
+    assert {r["node"]: r["clash"] for r in embeddings._classes(rows).collect()} == {9: True, 8: False}

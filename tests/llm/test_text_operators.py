@@ -361,5 +361,34 @@ def test_suffix_dedup_against_brute_force(spark, rng, monkeypatch, many):
     assert got == sorted(suffixdedup.brute(rows), key=str)
 
 
+def test_suffix_collisions(spark, rng, monkeypatch):
+    """A base whose hashes collide is found out by bytes and another one takes its place; so is a key that two texts share."""
+    data = np.frombuffer("".join(rng.choice("ab") for _ in range(400)).encode(), np.uint8)
+    places = np.arange(len(data) - 11)
+    want = suffixdedup.repeated_windows(data, places, 12).tolist()
+    bad = 1 << 32
+    monkeypatch.setattr(suffixdedup, "BASES", (bad, *suffixdedup.BASES[:1]))
+    assert suffixdedup.repeated_windows(data, places, 12).tolist() == want and 0 < len(want) < len(places)
+    monkeypatch.setattr(suffixdedup, "BASES", (bad,))
+    with pytest.raises(ValueError):
+        suffixdedup.repeated_windows(data, places, 12)
+    own = spark.createDataFrame([(1, 5, b"one"), (2, 5, b"two"), (3, 6, b"x"), (4, 6, b"x")], "doc_id long, tie long, raw binary")
+    texts = suffixdedup._identified(own)[1]
+    assert {r["tie"]: (r["copies"], r["sha0"] != r["sha1"]) for r in texts.collect()} == {5: (2, True), 6: (2, False)}
+
+
+def test_suffix_dedup_of_long_texts(spark):
+    """Passages that repeat across the borders of the pieces in which long texts are worked on."""
+    g = np.random.default_rng(3)
+    text = bytes(g.integers(97, 123, 2_600_000, dtype=np.uint8)).decode()
+    border = suffixdedup.PIECE
+    other = text[border - 150 : border + 170] + "#" + text[500:720] + "#" + text[2 * border - 10 : 2 * border + 195]
+    df = spark.createDataFrame([(1, text), (2, other), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixdedup.remove_repeats(df).collect()}
+    kept = text[:500] + text[720 : border - 150] + text[border + 170 : 2 * border - 10] + text[2 * border + 195 :]
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: (320 + 220 + 205, 3, sha(kept)), 2: (320 + 220 + 205, 3, sha("##")), 3: (0, 0, sha(""))}
+
+
 def test_suffix_dedup_empty(spark):
     assert suffixdedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
