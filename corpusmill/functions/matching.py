@@ -16,15 +16,22 @@ def _plain(c: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x))
 
 
-#: Characters whose decomposition without marks is one other character; those with longer ones become separators.
-_FOLDED = {chr(i): p for i in range(0xA0, 0x2000) if len(p := _plain(chr(i))) == 1 and p != chr(i).lower() and p.isascii()}
+#: Characters whose decomposition without marks has a Latin letter or digit, by rule: one other character, or several.
+_FOLDS = {c: p for c in map(chr, [*range(0xA0, 0xD800), *range(0xE000, 0x1F000)]) if (p := _plain(c)) != c.lower() and any(x.isascii() and x.isalnum() for x in p)}
+_FOLDED = {c: p for c, p in _FOLDS.items() if len(p) == 1}
+_UNFOLDED = {c: p for c, p in _FOLDS.items() if len(p) > 1}
 _MARKS = r"[̀-ͯ]"
 _OTHER = r"[^0-9a-zA-ZÀ-ÖØ-öø-ÿ]+"
 
 
 def normalised(text: Column) -> Column:
-    """Lower case, accents dropped, everything but Latin letters and digits one space, trimmed."""
-    low = F.lower(F.translate(text, "".join(_FOLDED), "".join(_FOLDED.values())))
+    """Lower case, accents dropped, compatible forms spelt out, everything but Latin letters and digits one space, trimmed."""
+    low = F.lower(text)
+    folded = F.translate(low, "".join(_FOLDED), "".join(_FOLDED.values()))
+    long, spelt = F.lit(list(_UNFOLDED)), F.lit(list(_UNFOLDED.values()))
+    there = F.filter(F.sequence(F.lit(0), F.lit(len(_UNFOLDED) - 1)), lambda i: F.contains(low, long[i]))
+    whole = F.aggregate(there, folded, lambda t, i: F.replace(t, long[i], spelt[i]))
+    low = F.when(low.rlike(f"[{''.join(_UNFOLDED)}]"), whole).otherwise(folded)
     return F.trim(F.regexp_replace(F.regexp_replace(low, _MARKS, ""), _OTHER, " "))
 
 

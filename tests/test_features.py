@@ -2,6 +2,7 @@
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -95,6 +96,13 @@ def test_term_table_equals_flat_counts(spark):
             assert r["a"] == r["b"], k
 
 
+def test_normal_form(spark):
+    texts = ["Ｃｌｉｃｃａ ｑｕｉ", "ﬁne offerta", "½ Ⅳ №5 ŉ", "città—È però", "𝐂𝐥𝐢𝐜𝐜𝐚", "straße ø"]
+    plain = lambda t: re.sub(r"[^0-9a-zA-ZÀ-ÖØ-öø-ÿ]+", " ", "".join(x for x in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(x))).strip()
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(mt.normalised(F.col("t"))).collect()]
+    assert got == [plain(t) for t in texts]
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "ciao", "x", "y")], "id int, text string, t string, n string")
     row = sf.spam_features(qf.quality_features(df, ["length"])).first()
