@@ -390,7 +390,7 @@ def _written(docs: DataFrame, path: str, to: str, end: int, shard_bytes: int) ->
     width = max(1, max(tk.get_vocab_size(with_added_tokens=True) - 1, end).bit_length())
     width = 16 if width <= 16 else 32
     encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _encoded(it, path, end, width > 16, bounds), "shard long, doc_id long, ids binary")
-    dealt = encoded.repartition(-(-(len(bounds) + 1) // 4), "shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # four shards a task
+    dealt = encoded.repartition(-(-(len(bounds) + 1) // 8), "shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # eight shards a task
     dealt.mapInArrow(lambda it: _thrifty(_packed(it, to, width, 2 * per)), MANIFEST).write.json(f"{to}/manifest")
 
 
@@ -422,7 +422,7 @@ def read_tokens(spark, folder: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
     workers_can_import(spark)
     placed = _starts(manifest_of(spark, folder))
-    tasks = max(1, min(-(-placed.count() // 4), 50_000))
+    tasks = max(1, min(-(-placed.count() // 8), 50_000))
     return placed.repartition(tasks).mapInArrow(lambda it: _thrifty(_unpacked(it, folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
