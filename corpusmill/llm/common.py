@@ -62,12 +62,22 @@ def get_file(folder: str, name: str) -> bytes:
         return held.read()
 
 
-def salted_join(many: DataFrame, few: DataFrame, on: list[str], by: Column, how: str = "inner", salts: int = 32) -> DataFrame:
-    """A join whose hot keys of ``many`` are dealt over ``salts`` tasks by ``by``; the rows of ``few`` (few a key) are repeated."""
-    salt = fresh(many, "_salt")
-    left = many.withColumn(salt, F.pmod(by, F.lit(salts)).cast("int"))
-    right = few.withColumn(salt, F.explode(F.lit(list(range(salts)))))
-    return left.join(right, [*on, salt], how).drop(salt)
+HOT, SALTS = 512, 32
+
+
+def hot_keys(counted: DataFrame, key: str, n: str) -> list:
+    """The keys of a table of counts that hold more than 1 / HOT of all; fewer than HOT."""
+    every = counted.agg(F.sum(n)).first()[0] or 0
+    return [r[0] for r in counted.filter(F.col(n) > every / HOT).select(key).collect()]
+
+
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], by: Column, hot: list) -> DataFrame:
+    """A join whose hot keys (values of the first column of ``on``) are dealt over SALTS tasks by ``by``; their rows in ``few``
+    (few a key) are repeated."""
+    salt, is_hot = fresh(many, "_salt"), F.col(on[0]).isin(hot) if hot else F.lit(False)
+    left = many.withColumn(salt, F.when(is_hot, F.pmod(by, F.lit(SALTS))).otherwise(0).cast("int"))
+    right = few.withColumn(salt, F.explode(F.when(is_hot, F.lit(list(range(SALTS)))).otherwise(F.lit([0]))))
+    return left.join(right, [*on, salt]).drop(salt)
 
 
 _caches: dict[str, Callable[[], None]] = {}

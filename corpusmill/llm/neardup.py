@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop, fresh, salted_join, slices, table, texts_of, tidy, workers_can_import
+from .common import cut, drop, fresh, hot_keys, salted_join, slices, table, texts_of, tidy, workers_can_import
 from .decontaminate import keyed_texts
 from .graph import components
 
@@ -242,9 +242,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, size: int = SHINGLE
     links = cut(_linked(pairs, contents, least))
     labels = cut(components(links))
     clusters = cut(components(pairs))
-    open_ = cut(_open(clusters, labels))
+    open_, hot = _open(clusters, labels)
+    open_ = cut(open_)
     if open_.limit(1).count():
-        more = cut(_within(open_, contents, least, counted))
+        more = cut(_within(open_, contents, least, counted, hot))
         if more.limit(1).count():
             labels = cut(components(links.unionByName(more)))
     drop(shared, pairs, contents, clusters, open_)
@@ -281,14 +282,16 @@ def _linked(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(lambda it: _verified(it, least), "a binary, b binary")
 
 
-def _open(clusters: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, c (component), cluster, n: the classes of clusters of candidates that hold several components, and their number."""
+def _open(clusters: DataFrame, labels: DataFrame) -> tuple[DataFrame, list]:
+    """node, c (component), cluster, n: the classes of clusters of candidates that hold several components, and their number;
+    and the clusters that hold a sizeable share of them."""
     at = clusters.select("node", F.col("component").alias("cluster")).join(labels, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c"))
-    several = at.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("cluster", "n")
-    return salted_join(at, several, ["cluster"], F.xxhash64("node")).select("node", "c", "cluster", "n")
+    several = cut(at.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("cluster", "n"))
+    hot = hot_keys(several, "cluster", "n")
+    return salted_join(at, several, ["cluster"], F.xxhash64("node"), hot).select("node", "c", "cluster", "n"), hot
 
 
-def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool) -> DataFrame:
+def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool, hot: list) -> DataFrame:
     """Links between components of one cluster: its classes are dealt to blocks, and each pair of blocks is compared in one task.
 
     Blocks hold sets of one level of size; a set 1 / ``least`` times as large is one level up at most, so levels farther
@@ -305,7 +308,7 @@ def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool)
     own = lambda n: F.pmod(h, F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     kept = ["node", "c", "content"]
-    met = lambda rows, few: salted_join(rows, few, ["cluster", "low"], F.xxhash64("node", F.lit(1)))
+    met = lambda rows, few: salted_join(rows, few, ["cluster", "low"], F.xxhash64("node", F.lit(1)), hot)
     same = met(held.withColumnRenamed("level", "low"), alone).select("cluster", "low", own("below").alias("own"), upto("below").alias("other"), *kept)
     same = same.select("cluster", "low", F.lit(False).alias("two"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *kept)
     under = met(held.withColumnRenamed("level", "low"), near).select("cluster", "low", F.lit(True).alias("two"), own("below").alias("i"), upto("above").alias("j"), *kept)

@@ -324,7 +324,7 @@ def encoder(path: str, end: int, dtype: type):
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, wide: bool, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     encode = encoder(path, end, np.uint32 if wide else np.uint16)
-    for batch in slices(batches, 1, 16 << 20):
+    for batch in slices(batches, 1, 12 << 20):
         ids = batch.column(0)
         shard = np.searchsorted(bounds, ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False), side="right")
         yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), ids, encode(batch.column(1))], names=["shard", "doc_id", "ids"])
@@ -390,7 +390,7 @@ def _written(docs: DataFrame, path: str, to: str, end: int, shard_bytes: int) ->
     width = max(1, max(tk.get_vocab_size(with_added_tokens=True) - 1, end).bit_length())
     width = 16 if width <= 16 else 32
     encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _encoded(it, path, end, width > 16, bounds), "shard long, doc_id long, ids binary")
-    dealt = encoded.repartition(-(-(len(bounds) + 1) // 8), "shard").sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # eight shards a task
+    dealt = encoded.repartitionById(-(-(len(bounds) + 1) // 8), F.col("shard").cast("int")).sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # eight shards a task
     dealt.mapInArrow(lambda it: _thrifty(_packed(it, to, width, 2 * per)), MANIFEST).write.json(f"{to}/manifest")
 
 

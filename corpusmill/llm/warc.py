@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, get_file, put_file, ranked, salted_join, scratch, table, tidying, workers_can_import
+from .common import cut, get_file, hot_keys, put_file, ranked, salted_join, scratch, table, tidying, workers_can_import
 
 REVISIT_FROM = 100  # bytes; smaller payloads are always written in full
 SHARD_BYTES = 32 << 20  # payload bytes of one group of records
@@ -148,7 +148,7 @@ def _written(pages: DataFrame, to: str, shard_bytes: int, roll_bytes: int, level
     none = F.col("page_id").isNull()
     key = F.struct(none.alias("none"), F.coalesce("page_id", F.lit(0)).alias("page_id"), F.col("tie").alias("tie"))
     big = slim.filter(F.col("n") >= REVISIT_FROM)
-    once = cut(big.groupBy("digest").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("digest", F.when(~F.col("first.none"), F.col("first.page_id")).alias("first"), F.col("first.tie").alias("first_tie")))
+    once = cut(big.groupBy("digest").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("digest", "c", F.when(~F.col("first.none"), F.col("first.page_id")).alias("first"), F.col("first.tie").alias("first_tie")))
     placed = ranked(slim, [none, F.col("page_id"), F.col("tie")], "place", {"before": "n"})
     per = max(shard_bytes, -(-(slim.agg(F.sum("n")).first()[0] or 0) // MOST_SHARDS))
     starts = placed.groupBy((F.col("before") / per).cast("long").alias("shard")).agg(F.min(key).alias("at"))
@@ -158,14 +158,14 @@ def _written(pages: DataFrame, to: str, shard_bytes: int, roll_bytes: int, level
     def shard_of(none: pd.Series, ids: pd.Series, ties: pd.Series) -> pd.Series:
         return pd.Series([bisect_right(bounds, k) for k in zip(none.tolist(), ids.tolist(), ties.tolist(), strict=True)], dtype="int64")
 
-    repeats = salted_join(big.select("page_id", "digest", "tie"), once, ["digest"], F.xxhash64("page_id", "tie"))
+    repeats = salted_join(big.select("page_id", "digest", "tie"), once.drop("c"), ["digest"], F.xxhash64("page_id", "tie"), hot_keys(once, "digest", "c"))
     no = F.lit(None)
     fact = F.struct(F.lit(0).alias("kind"), no.cast("string").alias("url"), no.cast("string").alias("html"), F.col("first").alias("first"), F.col("first_tie").alias("first_tie"))
     facts = repeats.groupBy("page_id", "digest", "tie").agg(F.max("first").alias("first"), F.max("first_tie").alias("first_tie")).select("page_id", "digest", "tie", fact.alias("r"))
     rows = own.select("page_id", "digest", "tie", F.struct(F.lit(1).alias("kind"), "url", "html", no.cast("long").alias("first"), no.cast("long").alias("first_tie")).alias("r"))
     both = rows.unionByName(facts).withColumn("shard", shard_of(none, F.coalesce("page_id", F.lit(0)), "tie"))
     sorting = ["shard", none, "page_id", "tie", "digest", "r.kind", "r.url", "r.html"]
-    dealt = both.repartition(3 * (len(bounds) + 1), "shard").sortWithinPartitions(*sorting)  # a task holds a shard or a few
+    dealt = both.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions(*sorting)  # a task holds one shard
     packed = dealt.select("shard", "page_id", "tie", "digest", "r.kind", "r.url", "r.html", "r.first", "r.first_tie").mapInArrow(lambda it: _pack(it, to, roll_bytes, level), MANIFEST)
     packed.write.json(f"{to}/manifest")
 
