@@ -80,10 +80,15 @@ def category_hits(table: Column, categories: dict[str, list[str]], name: str) ->
 
 
 def any_term(pad: Column, terms: list[str]) -> Column:
-    found = F.lit(False)
-    for term in sorted({normal_term(t) for t in terms}):
-        found = found | F.contains(pad, F.lit(f" {term} "))
-    return found
+    """Whether any of the terms occurs; ``pad`` is computed once."""
+
+    def found(p: Column) -> Column:
+        out = F.lit(False)
+        for term in sorted({normal_term(t) for t in terms}):
+            out = out | F.contains(p, F.lit(f" {term} "))
+        return out
+
+    return tx.bound(pad, found)
 
 
 URL = "(?iU)" + lx.URL

@@ -360,14 +360,14 @@ def q_strong_evidence(spark, sf_dir):
 
 
 @query(f"""WITH {_SF}, e AS (SELECT *, {_SPAM_SCORE} AS s FROM sf), f AS (SELECT doc_id, s, {_RULES} AS strong FROM e)
-SELECT doc_id, NOT (s >= 0.75e0 AND strong) AS keep, CASE WHEN s >= 0.75e0 AND strong THEN 'spam_detected' END AS reason, CASE WHEN s >= 0.75e0 THEN 'spam' ELSE 'ham' END AS pred_label, round(s, 6) AS pred_score, strong AS strong_evidence,
+SELECT doc_id, NOT (s >= 0.75e0 AND strong) AS keep, CASE WHEN s >= 0.75e0 AND strong THEN 'spam_detected' END AS reason, CASE WHEN s >= 0.75e0 THEN 'spam' ELSE 'ham' END AS pred_label, CAST(round(CAST(CAST(s AS VARCHAR) AS DECIMAL(20, 18)), 6) AS DOUBLE) AS pred_score, strong AS strong_evidence,
   CASE WHEN s >= 0.75e0 AND NOT strong THEN 'high_score_but_weak_spam_evidence' END AS uncertain_reason FROM f""")
 def q_spam_decision(spark, sf_dir):
     return decided(spark, sf_dir, dc.spam_decision).select("doc_id", "d.*")
 
 
 @query(f"""WITH {_QF}, e AS (SELECT doc_id, {_QUALITY_SCORE} AS s FROM qf)
-SELECT doc_id, s >= 0.65e0 AS keep, CASE WHEN s >= 0.65e0 THEN NULL ELSE 'quality_bad' END AS reason, CASE WHEN s >= 0.65e0 THEN 'good' ELSE 'bad' END AS label, round(s, 4) AS score FROM e""")
+SELECT doc_id, s >= 0.65e0 AS keep, CASE WHEN s >= 0.65e0 THEN NULL ELSE 'quality_bad' END AS reason, CASE WHEN s >= 0.65e0 THEN 'good' ELSE 'bad' END AS label, CAST(round(CAST(CAST(s AS VARCHAR) AS DECIMAL(20, 18)), 4) AS DOUBLE) AS score FROM e""")
 def q_quality_decision(spark, sf_dir):
     made = qf.quality_features(spread(read(spark, sf_dir, "documents")).select("doc_id", "text")).select("doc_id", "quality")
     score = F.least(F.lit(1.0), F.col("quality.stopword_ratio") * 2 + F.col("quality.unique_word_ratio") / 4)

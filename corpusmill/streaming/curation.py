@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.curation import Config, curate
+from ..plans.curation import Config, curate, with_language
 from ..sources import io
 
 DOCUMENT = "id string, text string, meta struct<language: string, language_score: double, label: string>"
@@ -17,11 +17,13 @@ def read_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def start(docs: DataFrame, config: Config, spam_score, quality_score, checkpoint: str) -> StreamingQuery:
-    """Decides each micro-batch once and writes it to a folder of its own, so a repeated batch overwrites itself."""
+    """Decides each micro-batch once and writes documents, feature tables and audit to a folder of its own, so a repeated batch
+    overwrites itself. Scores are columns or saved models, as in a batch run."""
 
     def each(batch: DataFrame, number: int) -> None:
-        decided = curate(batch, config, spam_score, quality_score).persist()
-        io.write_routed(decided, f"{config.output}/batch={number}")
+        decided = curate(with_language(batch), config, spam_score, quality_score).persist()
+        for write in (io.write_routed, io.write_features, io.write_audit):
+            write(decided, f"{config.output}/batch={number}")
         decided.unpersist()
 
     return docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

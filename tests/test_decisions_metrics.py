@@ -203,6 +203,7 @@ def test_stream(spark, tmp_path):
     q = st.start(st.read_stream(spark, str(tmp_path / "in")), Config(output=str(tmp_path / "out")), lambda s: F.lit(0.0), lambda q: F.lit(1.0), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.json(f"{tmp_path}/out/batch=0/clean").count() == 1
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/batch=0/quality_features").count() == 1
 
 
 def test_html():
