@@ -16,16 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
     both = cut(both.distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("label")))
+    held = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("next")))
     while True:
+        labels = held.select("node", F.col("next").alias("label"))
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         hooked = cut(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next")))
         parents = hooked.select(F.col("node").alias("next"), F.col("next").alias("above"))
         jumped = cut(hooked.join(parents, "next").select("node", "label", F.least("next", "above").alias("next")))
-        drop(labels, hooked)
-        changed = jumped.filter("next <> label").limit(1).count()
-        labels = cut(jumped.select("node", F.col("next").alias("label"))) if changed else jumped
-        if not changed:
+        drop(held, hooked)
+        if not jumped.filter("next <> label").limit(1).count():
             drop(both)
             return jumped.select("node", F.col("next").alias("component"))
-        drop(jumped)
+        held = jumped

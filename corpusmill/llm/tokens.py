@@ -36,6 +36,7 @@ SHARD_BYTES = 2 << 20  # text bytes of a shard
 MOST_SHARDS = 1 << 20  # a shard takes the larger of SHARD_BYTES and this share of all bytes; so many bounds (8 bytes each) go to each task
 MANIFEST = "shard long, part long, name string, n_docs long, n_tokens long, bytes long"
 SIGNS = ".,;:!?%$#&*()+=/@~"  # as the end of a word; no letter, digit, apostrophe or angle bracket
+BATCH_BYTES = 4 << 20  # text bytes that are encoded at once
 CACHE = 750_000  # encoded words that a worker remembers
 ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
@@ -324,7 +325,7 @@ def encoder(path: str, end: int, dtype: type):
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, wide: bool, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     encode = encoder(path, end, np.uint32 if wide else np.uint16)
-    for batch in slices(batches, 1, 12 << 20):
+    for batch in slices(batches, 1, BATCH_BYTES):
         ids = batch.column(0)
         shard = np.searchsorted(bounds, ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False), side="right")
         yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), ids, encode(batch.column(1))], names=["shard", "doc_id", "ids"])
@@ -389,7 +390,7 @@ def _written(docs: DataFrame, path: str, to: str, end: int, shard_bytes: int) ->
     tk = _tokenizer(path)
     width = max(1, max(tk.get_vocab_size(with_added_tokens=True) - 1, end).bit_length())
     width = 16 if width <= 16 else 32
-    encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _encoded(it, path, end, width > 16, bounds), "shard long, doc_id long, ids binary")
+    encoded = docs.select("doc_id", "text").mapInArrow(lambda it: _thrifty(_encoded(it, path, end, width > 16, bounds)), "shard long, doc_id long, ids binary")
     dealt = encoded.repartitionById(-(-(len(bounds) + 1) // 8), F.col("shard").cast("int")).sortWithinPartitions("shard", F.col("doc_id").isNull(), "doc_id", "ids")  # eight shards a task
     dealt.mapInArrow(lambda it: _thrifty(_packed(it, to, width, 2 * per)), MANIFEST).write.json(f"{to}/manifest")
 
