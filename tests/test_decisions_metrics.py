@@ -131,12 +131,12 @@ def test_training_and_evaluation(spark, tmp_path):
     groups = {g: spark.read.option("header", True).csv(f"{folder}/importance/{g}").count() for g in ("all", "strong", "to_review", "negative")}
     assert groups["all"] == 2 and groups["strong"] >= 1
     report_ = tr.evaluate(spark, folder, folds=2, trees=3, kinds=("gbdt", "logistic_regression", "dummy"))
-    assert report_["threshold"] == 0.5 and report_["rows" if False else "winner"] in ("gbdt", "logistic_regression")
+    assert report_["threshold"] == 0.5 and report_["winner"] in ("gbdt", "logistic_regression")
     by = {r["model"]: r for r in report_["comparison"]}
     assert by["gbdt"]["delta_roc_auc"] == 0 and by["dummy"]["delta_roc_auc"] < -0.2 and by["gbdt"]["oof_accuracy"] > 0.8 and by["dummy"]["oof_roc_auc"] is not None
     assert len(report_["saved_folds"]["folds"]) == 2 and set(report_["lift"]["lift"]) == {"roc_auc", "average_precision"} and report_["fresh_leakage"]["roc_auc"] < 0.9
     page = "".join(r[0] for r in spark.read.text(f"{folder}/evaluation_html").collect())
-    assert "<polyline" in page and "Comparison" in page and report_["roc"][0][0] == 0
+    assert "<polyline" in page and "Comparison" in page and report_["roc"][-1] == (1.0, 1.0)
     scorer = md.ModelScore.saved(spark, folder)
     rows = df.select("id", F.when(F.col("id") > 0, F.struct("a", "b")).alias("f"))
     done = {r["id"]: r["s"] for r in scorer.apply(rows, "f", "s").collect()}
@@ -163,8 +163,8 @@ def test_command_line_with_saved_models(spark, tmp_path):
     """A run as from the command line, in which both models and the language scorer are used."""
     from corpusmill.__main__ import main
 
-    df = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("y"), *[(F.col("id") % 2 + F.rand(i)).alias(k) for i, k in enumerate(["url_count_text", "spam_keyword_density"])], *[(F.col("id") % 2 * 100 + F.rand(9)).alias(k) for k in ["length"]])
-    md.save(md.fit("logistic_regression", df, ["url_count_text", "spam_keyword_density"]), str(tmp_path / "spam"), ["url_count_text", "spam_keyword_density"], 0.75)
+    df = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 2 + F.rand(1) / 10).alias("url_count_text"), (F.col("id") % 2 * 100 + F.rand(9)).alias("length"))
+    md.save(md.fit("logistic_regression", df, ["url_count_text"]), str(tmp_path / "spam"), ["url_count_text"], 0.75)
     md.save(md.fit("logistic_regression", df, ["length"]), str(tmp_path / "quality"), ["length"], 0.65)
     (tmp_path / "in").mkdir()
     long = "Questo è un testo per la prova della lingua, che non è breve e che dice più di una cosa. " * 3
