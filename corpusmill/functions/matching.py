@@ -20,6 +20,8 @@ def _plain(c: str) -> str:
 _FOLDS = {c: p for c in map(chr, [*range(0xA0, 0xD800), *range(0xE000, 0x1F000)]) if (p := _plain(c)) != c.lower() and any(x.isascii() and x.isalnum() for x in p)}
 _FOLDED = {c: p for c, p in _FOLDS.items() if len(p) == 1}
 _UNFOLDED = {c: p for c, p in _FOLDS.items() if len(p) > 1}
+#: A few ranges with all of the latter: a class of hundreds of single characters would be tried one by one.
+_MAY_UNFOLD = "[" + "".join(c for c in _UNFOLDED if c < "₨") + r"₨℀-\x{10ffff}]"
 _MARKS = r"[̀-ͯ]"
 _OTHER = r"[^0-9a-zA-ZÀ-ÖØ-öø-ÿ]+"
 
@@ -31,7 +33,7 @@ def normalised(text: Column) -> Column:
     long, spelt = F.lit(list(_UNFOLDED)), F.lit(list(_UNFOLDED.values()))
     there = F.filter(F.sequence(F.lit(0), F.lit(len(_UNFOLDED) - 1)), lambda i: F.contains(low, long[i]))
     whole = F.aggregate(there, folded, lambda t, i: F.replace(t, long[i], spelt[i]))
-    low = F.when(low.rlike(f"[{''.join(_UNFOLDED)}]"), whole).otherwise(folded)
+    low = F.when(low.rlike(_MAY_UNFOLD), whole).otherwise(folded)
     return F.trim(F.regexp_replace(F.regexp_replace(low, _MARKS, ""), _OTHER, " "))
 
 
