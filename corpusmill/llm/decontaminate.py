@@ -7,8 +7,8 @@ at once; terms near each other are found from the rarest in the same way. Any ta
 frequent term nor a frequent passage meets in one task. The benchmark is read in blocks of bounded size; the text of one
 block is what tasks are sent, and they make its windows, as flat arrays, themselves.
 
-Words of up to 7 bytes are their own keys; longer ones have two independent hashes of 63 and 64 bits, and building a
-segment fails if two different pairs ever share the first.
+Words of up to 7 bytes are their own keys; longer ones have two independent hashes of 63 and 64 bits, in which every byte
+moves every bit, and a term is the pair of both: words that share the first are told apart by the second.
 """
 
 from __future__ import annotations
@@ -41,6 +41,13 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np
 _TOP = np.uint64(1 << 63)
 
 
+def _stirred(x: np.ndarray, by: np.uint64, then: np.uint64) -> np.ndarray:
+    """A bijection of 64 bits in which each bit moves all."""
+    x = (x ^ x >> np.uint64(32)) * by
+    x = (x ^ x >> np.uint64(29)) * then
+    return x ^ x >> np.uint64(32)
+
+
 def word_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts of the words in lower-cased UTF-8 bytes (any other byte separates) and their two keys."""
     low = _LOWER[data]
@@ -59,22 +66,30 @@ def word_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     second = (first ^ sizes.astype(np.uint64)) * _M2
     key = first | sizes.astype(np.uint64) << np.uint64(56)
     long = np.flatnonzero(sizes > 7)
-    h1 = (first[long] + sizes[long].astype(np.uint64)) * _M1
-    h2, at = second[long], np.arange(len(long))
+    h1, h2 = _stirred(first[long] + sizes[long].astype(np.uint64) * _M2, _M1, _M3), _stirred(second[long], _M3, _M2)
+    at = np.arange(len(long))
     j = 8
     while len(at := at[sizes[long[at]] > j]):
         c = chunk(starts[long[at]] + j, sizes[long[at]] - j)
-        a = h1[at] ^ c
-        h1[at] = (a ^ a >> np.uint64(29)) * _M1
-        b = h2[at] + c
-        h2[at] = (b ^ b >> np.uint64(31)) * _M3
+        h1[at] = _stirred(h1[at] ^ c, _M1, _M3)
+        h2[at] = _stirred(h2[at] + c, _M3, _M2)
         j += 8
-    h1 ^= h1 >> np.uint64(32)
     key[long] = h1 | _TOP
-    second[long] = h2 ^ h2 >> np.uint64(30)
+    second[long] = h2
     return starts, key, second
 
 
+def _by_term(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the words by their pairs of keys, equal ones as they come, and where in it each term begins."""
+    order = np.argsort(key, kind="stable")
+    k, s = key[order], second[order]
+    if ((k[1:] == k[:-1]) & (s[1:] != s[:-1])).any():  # words that share the first key
+        order = np.lexsort((second, key))
+        k, s = key[order], second[order]
+    new = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    return order, np.flatnonzero(np.concatenate([[True], new])) if len(key) else np.zeros(0, np.int64)
+
+
 def keyed_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of all texts in order: their two keys, and the number of words of each text."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
@@ -104,15 +119,10 @@ class Segment:
     def build(cls, docs: list[int | None], texts: list[bytes]) -> Segment:
         key, second, counts = keyed_texts(texts)
         places = np.arange(len(key), dtype=np.int64) + np.repeat(np.arange(len(counts)), counts)
-        order = np.argsort(key, kind="stable")
-        key, second = key[order], second[order]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(new, len(key)))
-        if not (second == np.repeat(second[new], sizes)).all():
-            raise ValueError("two words share a key; cut the segments elsewhere")
+        order, new = _by_term(key, second)
         null = np.array([d is None for d in docs], dtype=bool)
         numbers = np.array([0 if d is None else d for d in docs], dtype=np.int64)
-        return cls(numbers, null, counts, key[new], second[new], np.append(new, len(key)), places[order].astype(np.uint32))
+        return cls(numbers, null, counts, key[order[new]], second[order[new]], np.append(new, len(key)), places[order].astype(np.uint32))
 
     def tobytes(self) -> bytes:
         """Lists as differences, by bytes of equal weight, compressed."""
@@ -142,10 +152,14 @@ class Segment:
         return int(self.terms_of(np.array([key], np.uint64), np.array([second], np.uint64))[0])
 
     def terms_of(self, keys: np.ndarray, seconds: np.ndarray) -> np.ndarray:
-        if not len(self.terms):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.terms, keys), len(self.terms) - 1)
-        return np.where((self.terms[at] == keys) & (self.seconds[at] == seconds), at, -1)
+        at, out, open_ = np.searchsorted(self.terms, keys), np.full(len(keys), -1), np.arange(len(keys))
+        while len(open_ := open_[at[open_] < len(self.terms)]):
+            open_ = open_[self.terms[at[open_]] == keys[open_]]
+            same = self.seconds[at[open_]] == seconds[open_]
+            out[open_[same]] = at[open_[same]]
+            open_ = open_[~same]
+            at[open_] += 1  # the next term of the same first key
+        return out
 
     def postings(self, term: int) -> np.ndarray:
         return self.places[self.offsets[term] : self.offsets[term + 1]]
@@ -249,7 +263,10 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
 
 
 class TestWindows:
-    """The windows of some items, as places in the one array of all their words."""
+    """The distinct windows of some items, as places in the one array of all their words, and the items that have them.
+
+    ``start`` and ``size`` are those of one occurrence; the items of window w are ``name[held[w] : held[w + 1]]``, numbers in ``names``.
+    """
 
     def __init__(self, items: list, texts: list[bytes], window: int = WINDOW):
         key, second, counts = keyed_texts(texts)
@@ -257,16 +274,36 @@ class TestWindows:
         known = np.array([i is not None for i in items], dtype=bool)
         n = np.where(known & (counts > 0), np.maximum(1, counts - window + 1), 0)
         owner = np.repeat(np.arange(len(n)), n)
-        self.start = (np.cumsum(counts) - counts)[owner] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.size, self.name, self.window = np.minimum(counts[owner], window), name[owner].astype(np.int64), window
-        self.terms, self.back = np.unique(key, return_inverse=True)
-        self.second_of = np.zeros(len(self.terms), np.uint64)
-        self.second_of[self.back] = second
-        if not (self.second_of[self.back] == second).all():
-            raise ValueError("two words of the benchmark share a key")
+        start = (np.cumsum(counts) - counts)[owner] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        size, self.window = np.minimum(counts[owner], window), window
+        order, new = _by_term(key, second)
+        self.terms, self.second_of, self.back = key[order[new]], second[order[new]], np.zeros(len(key), np.int64)
+        self.back[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(key))))
+        which = self._alike(start, size)
+        _, one = np.unique(which, return_index=True)
+        self.start, self.size = start[one], size[one]
+        pairs = np.unique(which * max(1, len(self.names)) + name[owner])  # a window and an item, once
+        self.name = pairs % max(1, len(self.names))
+        self.held = np.searchsorted(pairs // max(1, len(self.names)), np.arange(len(one) + 1))
+
+    def _alike(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of the windows, from 0, the same for the same words: two stretches of 2 ** j words, ranked, make a window."""
+        ranks, span, out, upto = self.back, 1, np.zeros(len(start), np.int64), 0
+        while span <= self.window:
+            for n in np.unique(size[(size >= span) & (size < 2 * span)]).tolist():
+                at = np.flatnonzero(size == n)
+                _, own = np.unique(ranks[start[at]] * len(self.back) + ranks[start[at] + n - span], return_inverse=True)
+                out[at] = own + upto
+                upto += own.max() + 1
+            ranks = np.unique(ranks[:-span] * len(self.back) + ranks[span:], return_inverse=True)[1] if len(ranks) > span else ranks[:0]
+            span *= 2
+        return out
 
     def hits(self, segment: Segment) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows found in the segment: their numbers, the documents and the words at which they begin."""
+        """Windows found in the segment: their numbers, the documents and the words at which they begin.
+
+        Distinct windows of one size begin at a word but once, so there are ``window`` times as many as words at most.
+        """
         where = np.append(segment.terms_of(self.terms, self.second_of)[self.back], -1)
         missing = np.concatenate([[0], np.cumsum(where[:-1] < 0)])
         alive = np.flatnonzero(missing[self.start + self.size] == missing[self.start])
@@ -300,7 +337,7 @@ def _search(batches: Iterator[pa.RecordBatch], block: TestWindows, every: bool)
         for number, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             segment = Segment.frombytes(content)
             w, doc, a = block.hits(segment)
-            spans, items = _united(doc, a, a + block.size[w]), _named(doc, block.name[w], block.names)
+            spans, items = _united(doc, a, a + block.size[w]), _named(doc, w, block)
             rows = range(len(segment.docs)) if every else sorted(spans)
             if not rows:
                 continue
@@ -311,23 +348,30 @@ def _search(batches: Iterator[pa.RecordBatch], block: TestWindows, every: bool)
 
 def _united(doc: np.ndarray, a: np.ndarray, z: np.ndarray) -> dict[int, list[dict[str, int]]]:
     """Stretches of words of each document that the intervals cover."""
-    order = np.lexsort((a, doc))
     out: dict[int, list[dict[str, int]]] = {}
-    for d, x, y in zip(doc[order].tolist(), a[order].tolist(), z[order].tolist(), strict=True):
-        held = out.setdefault(d, [])
-        if held and x <= held[-1]["z"]:
-            held[-1]["z"] = max(held[-1]["z"], y)
-        else:
-            held.append({"a": x, "z": y})
+    if not len(doc):
+        return out
+    order = np.lexsort((a, doc))
+    doc, a, z = doc[order], a[order], z[order]
+    far = doc * (z.max() + 2)  # documents one after the other, with a gap
+    upto = np.maximum.accumulate(z + far)
+    begins = np.flatnonzero(np.concatenate([[True], (a + far)[1:] > upto[:-1]]))
+    ends = np.append(begins[1:], len(doc)) - 1
+    for d, x, y in zip(doc[begins].tolist(), a[begins].tolist(), (upto - far)[ends].tolist(), strict=True):
+        out.setdefault(d, []).append({"a": x, "z": y})
     return out
 
 
-def _named(doc: np.ndarray, name: np.ndarray, names: np.ndarray) -> dict[int, list[str]]:
-    """Names found in each document, in order."""
+def _named(doc: np.ndarray, w: np.ndarray, block: TestWindows) -> dict[int, list[str]]:
+    """Names of the items whose windows were found in each document, in order."""
     out: dict[int, list[str]] = {}
-    pairs = np.unique(np.stack([doc, name]), axis=1) if len(doc) else np.zeros((2, 0), np.int64)
-    for d, k in zip(*pairs.tolist(), strict=True):
-        out.setdefault(d, []).append(names[k])
+    order = np.argsort(doc, kind="stable")
+    docs, begins = np.unique(doc[order], return_index=True)
+    for d, found in zip(docs.tolist(), np.split(w[order], begins[1:]), strict=len(docs) > 0):
+        found = np.unique(found)
+        n = block.held[found + 1] - block.held[found]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.held[found], n)
+        out[d] = block.names[np.unique(block.name[at])].tolist()
     return out
 
 

@@ -166,6 +166,44 @@ def test_decontamination_of_long_texts(spark):
     assert sum(x.nbytes for x in (many.start, many.size, many.name, many.back)) <= 33 * 150_000
 
 
+def test_decontamination_of_words_alike_but_for_two_bytes(spark):
+    """Words that differ in their 8th and 16th byte only: each is a term of its own, and no segment fails."""
+    letters = "0123456789abcdefghijklmnopqrstuvwxyz"
+    words = [f"account{x}segment{y}" for x in letters for y in letters]
+    docs = [(k, " ".join(words[k * 36 : k * 36 + 36])) for k in range(36)] + [(99, " ".join(words))]
+    items = [(k, w) for k, w in enumerate(words)]
+    assert digest(contamination(spark, docs, items)) == sorted(dec.brute(docs, items), key=str)
+
+
+def test_words_that_share_a_key(monkeypatch):
+    """The second key tells words apart that share the first, in the index and in the windows."""
+    whole = dec.word_keys
+
+    def few(data):
+        starts, key, second = whole(data)
+        return starts, key % np.uint64(3), second ^ key
+
+    monkeypatch.setattr(dec, "word_keys", few)
+    docs = ["a b c d e f g h i j".split(), "j i h a b c z".split(), "b a d c".split()]
+    built = dec.Segment.build([1, 2, 3], [" ".join(d).encode() for d in docs])
+    s = dec.Segment.frombytes(built.tobytes())
+    items = ["a b c", "c", "h i", "d c", "y", "a b d"]
+    block = dec.TestWindows(list(range(len(items))), [t.encode() for t in items])
+    w, doc, at = block.hits(s)
+    got = sorted((d, p, block.names[n]) for k, d, p in zip(w.tolist(), doc.tolist(), at.tolist(), strict=True) for n in block.name[block.held[k] : block.held[k + 1]].tolist())
+    want = sorted((d, p, str(n)) for d, x in enumerate(docs) for n, t in enumerate(items) for p in range(len(x)) if x[p : p + len(t.split())] == t.split())
+    assert got == want and len(s.terms) == 11
+
+
+def test_windows_of_one_word():
+    """A text and an item of one word over and over, whose windows are alike: each place is found once, not once a window."""
+    n = 20_000
+    s = dec.Segment.build([1], [b"buy " * n])
+    block = dec.TestWindows([3, 4], [b"buy " * n, b"buy " * 9])
+    w, doc, at = block.hits(s)
+    assert len(at) == n - 7 and dec._united(doc, at, at + block.size[w]) == {0: [{"a": 0, "z": n}]} and dec._named(doc, w, block) == {0: ["3", "4"]}
+
+
 def test_near_terms():
     s = dec.Segment.build([1, 2], [b"a x x b c", b"b a"])
     key = lambda w: dec.word_keys(np.frombuffer(w, np.uint8))
