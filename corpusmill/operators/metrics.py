@@ -144,9 +144,9 @@ def correlations(df: DataFrame, names: list[str], least: float | None = None) ->
 
 
 def _corr(x: Column, y: Column) -> Column:
-    """Pearson correlation; ``corr`` itself fails on a constant column."""
-    scale = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.when(scale > 0, F.try_divide(F.covar_pop(x, y), scale))
+    """Pearson correlation; ``corr`` itself fails on a constant column, whose deviation may come out a little above 0."""
+    varies = lambda c: F.stddev_pop(c) > F.greatest(F.lit(1.0), F.abs(F.avg(c))) * 1e-12
+    return F.when(varies(x) & varies(y), F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def label_correlations(df: DataFrame, names: list[str], y: str) -> DataFrame:

@@ -114,6 +114,14 @@ def test_sweep_and_correlations(spark):
     assert [(r["a"], r["b"]) for r in mx.correlations(df, ["s", "t", "y", "c"], 0.9).collect()] == [("s", "t")]
 
 
+def test_label_correlation_of_a_constant(spark):
+    """Means of parts of 49 ones are merged as 49 * (1 / 49), a little less than 1; the column is constant all the same."""
+    df = spark.range(0, 98, 1, 2).select(F.lit(1.0).alias("one"), (F.col("id") % 2).alias("y"), F.col("id").alias("n"), (F.col("id") * 1e-9).alias("small"))
+    got = {r["feature"]: r["r"] for r in mx.label_correlations(df, ["one", "n", "small"], "y").collect()}
+    assert got["one"] is None and abs(got["n"]) > 0.01 and abs(got["small"] - got["n"]) < 1e-9
+    assert [r["r"] for r in mx.label_correlations(df, ["n", "small"], "one").collect()] == [None, None]
+
+
 def test_triage_groups_overlap(spark):
     df = spark.createDataFrame([("a", 0.5, 0.1), ("b", 0.0005, 0.0), ("c", -0.2, 0.3), ("d", -0.2, 0.1)], "feature string, importance_mean double, importance_std double")
     got = {r["feature"]: (r["strong"], r["to_review"], r["negative"]) for r in md.triage(df).collect()}
