@@ -291,7 +291,7 @@ def _open(clusters: DataFrame, labels: DataFrame) -> tuple[DataFrame, list]:
     return salted_join(at, several, ["cluster"], F.xxhash64("node"), hot).select("node", "c", "cluster", "n"), hot
 
 
-def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool, hot: list) -> DataFrame:
+def _within(open_: DataFrame, contents: DataFrame, least: float, counted: bool, hot: list | tuple = ()) -> DataFrame:
     """Links between components of one cluster: its classes are dealt to blocks, and each pair of blocks is compared in one task.
 
     Blocks hold sets of one level of size; a set 1 / ``least`` times as large is one level up at most, so levels farther
